@@ -1,0 +1 @@
+"""Intentionally empty: every job of this library is a batch job over tables or files."""
