@@ -51,60 +51,52 @@ def letter_tokens(text: Column) -> Column:
     return F.filter(F.split(text, r"[^\p{L}]+"), lambda t: t != "")
 
 
-# Word-tokenisation rules in the order and spirit of the public
-# Penn Treebank convention. Each pair is (pattern, replacement) with Java
-# group references. Only constructs that RE2 also knows are used, so the same
-# list can be run by another SQL engine. "\u0001" stands for a full stop that
-# belongs to its word until the last rule gives it back.
-TREEBANK_RULES = (
-    # full stops that do not end a sentence: abbreviations, and initials twice
-    # because neighbouring initials share their separator
-    (
-        r"(?i)(^|[^\p{L}\p{N}])(mr|mrs|ms|dr|prof|st|jr|sr|vs|etc|inc|ltd|co|corp"
-        r"|e\.g|i\.e|u\.s|u\.k|a\.m|p\.m)\.",
-        "$1$2\u0001",
-    ),
-    (r"(^|[^\p{L}\p{N}])(\p{L})\.", "$1$2\u0001"),
-    (r"(^|[^\p{L}\p{N}])(\p{L})\.", "$1$2\u0001"),
-    # opening quotes
-    (r"([«“‘„]|`+)", " $1 "),
-    (r'^"', " `` "),
-    (r"([\s(\[{<])(\"|'')", "$1 `` "),
-    # full stops that end a sentence, with the closing marks that follow them
-    (r"([^.\s])\.([\])}>\"'»”’]*)(\s|\z)", "$1 . $2 $3"),
-    # separators and symbols
-    (r"([:,])([^\d])", " $1 $2"),
-    (r"([:,])\z", " $1 "),
-    (r"(\.\.+)", " $1 "),
-    (r"([;@#$%&?!*])", " $1 "),
-    (r"([\](){}<>\[])", " $1 "),
-    (r"--", " -- "),
-    # closing quotes
-    (r"([»”’])", " $1 "),
-    (r"\"|''", " '' "),
-    (r"([^'])'(\s|\z)", "$1 ' $2"),
-    # clitics and contractions
-    (r"(?i)([^'\s])('s|'m|'d|'ll|'re|'ve|n't)([^\p{L}\p{N}]|\z)", "$1 $2 $3"),
-    (r"(?i)(^|[^\p{L}\p{N}])(can)(not)([^\p{L}\p{N}]|\z)", "$1$2 $3$4"),
-    (r"(?i)(^|[^\p{L}\p{N}])(gim|lem)(me)([^\p{L}\p{N}]|\z)", "$1$2 $3$4"),
-    (r"(?i)(^|[^\p{L}\p{N}])(gon|wan)(na)([^\p{L}\p{N}]|\z)", "$1$2 $3$4"),
-    (r"(?i)(^|[^\p{L}\p{N}])(got)(ta)([^\p{L}\p{N}]|\z)", "$1$2 $3$4"),
-    (r"(?i)(^|[^\p{L}\p{N}])('t)(is|was)([^\p{L}\p{N}]|\z)", "$1$2 $3$4"),
-    ("\u0001", "."),
+# The word-tokenisation rules of the public Penn Treebank
+# convention, as one pattern that matches a token at a time. A text is scanned
+# once, however many rules there are; every repetition is possessive, so the
+# matcher neither backtracks nor recurses on long texts.
+ABBREVIATIONS = (
+    "mr", "mrs", "ms", "dr", "prof", "st", "jr", "sr", "vs", "etc", "inc", "ltd", "co", "corp",
+    "e.g", "i.e", "u.s", "u.k", "a.m", "p.m",
 )
+_SPACE = r"[\s\x1c-\x1f]"
+_SYMBOL = r";@#$%&?!*\[\](){}<>«“‘„»”’"
+_NO_WORD = r"(?![\p{L}\p{N}])"
+# a full stop that belongs to an abbreviation or an initial
+_KEPT_STOP = (
+    r"(?<=(?:^|[^\p{L}\p{N}])(?i:" + "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS) + r"|\p{L})\.)"
+)
+# one that ends a sentence: closing marks, then white space, an opening quote or the end
+_FINAL_STOP = r"\.(?=[\])}>'»”’]*+(?:" + _SPACE + r"|[«“‘„`]|\z))(?!" + _KEPT_STOP + ")"
+_SEPARATOR = r"[:,](?![0-9])"
+_NOT = r"[nN]'[tT]" + _NO_WORD
+_CLITIC = r"'(?i:s|m|d|ll|re|ve)" + _NO_WORD
+_LONE_QUOTE = f"'(?={_SPACE}|[{_SYMBOL}`]|--|\\.\\.|{_SEPARATOR}|{_FINAL_STOP}|\\z)"
+_CONTRACTIONS = "|".join(
+    f"(?:{first})(?=(?:{second}){_NO_WORD})"
+    for first, second in (("can", "not"), ("gim|lem", "me"), ("gon|wan", "na"), ("got", "ta"), ("'t", "is|was"))
+)
+_WORD = (
+    f"(?:[^\\s\\x1c-\\x1f{_SYMBOL}:,.'`nN-]++|[nN](?!'[tT]{_NO_WORD})|-(?!-)|[:,](?=[0-9])"
+    f"|(?!{_FINAL_STOP})\\.(?!\\.)|(?!''|{_CLITIC}|{_LONE_QUOTE})')++"
+)
+WORD_PATTERN = (
+    f"(?U)[{_SYMBOL}]|`++|''|\\.\\.++|--|{_SEPARATOR}|{_NOT}|{_CLITIC}"
+    f"|(?<![^\\s\\x1c-\\x1f])(?i:{_CONTRACTIONS})|{_WORD}|[^\\s\\x1c-\\x1f]"
+)
+_OPENING = r"(?<![^\s(\[{<])" + '"' + r"|(?<=[\s(\[{<])''"
 
 
 def word_tokens(text: Column) -> Column:
     """Word tokens: punctuation apart, contractions split, hyphens kept.
 
-    A chain of regular-expression rules; sentence ends are recognised by a rule
-    (a full stop before white space or the end, unless it closes a listed
+    Straight double quotes become `` and ''. Sentence ends are recognised by a
+    rule (a full stop before white space or the end, unless it closes a listed
     abbreviation or an initial) and not by a trained splitter.
     """
-    spaced = text
-    for pattern, replacement in TREEBANK_RULES:
-        spaced = F.regexp_replace(spaced, pattern, replacement)
-    return ws_tokens(spaced)
+    opened = F.regexp_replace(text, _OPENING, "``")
+    quoted = F.when(text.contains('"') | text.contains("''"), F.replace(opened, F.lit('"'), F.lit("''"))).otherwise(text)
+    return F.regexp_extract_all(quoted, F.lit(WORD_PATTERN), F.lit(0))
 
 
 def content_tokens(tokens: Column, stop_words: list[str] | tuple[str, ...] = ()) -> Column:
@@ -122,6 +114,6 @@ def ngrams(tokens: Column, n: int = NGRAM_SIZE) -> Column:
     """Space-joined runs of ``n`` neighbouring tokens; empty for short lists."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+    grams = F.transform(tokens, lambda t, i: F.concat_ws(" ", t, *[F.get(tokens, i + j) for j in range(1, n)]))
+    whole = F.slice(grams, F.lit(1), F.size(tokens) - (n - 1))
+    return F.when(F.size(tokens) >= n, whole).otherwise(F.array().cast("array<string>"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgrain.fixed_values import TAG_IDS
@@ -36,19 +36,34 @@ def category_lists(
     return grouped.select(*key_cols, order_col, ordered.alias("ids"))
 
 
+def seen_ids(df: DataFrame, tag_col: str, tags: dict[str, int] = TAG_IDS) -> Column:
+    """Ascending ids of the tags that occur, as a scalar for ``binarise``.
+
+    Reads the tag column of the annotations only, which is far less than the
+    grouped lists.
+    """
+    return _one_list(df.select(tag_id(F.col(tag_col), tags).alias("c")))
+
+
+def _one_list(values: DataFrame) -> Column:
+    """Distinct class ids in one row; no wider than the vectors made from it."""
+    return values.distinct().agg(F.array_sort(F.collect_list("c")).alias("classes")).scalar()
+
+
 def binarise(
-    df: DataFrame, ids_col: str, classes: str | Sequence[int] = "seen", out_col: str = "vector"
+    df: DataFrame, ids_col: str, classes: str | Sequence[int] | Column = "seen", out_col: str = "vector"
 ) -> DataFrame:
     """Add a 0/1 vector with one position per class in ascending order.
 
-    ``'seen'`` takes the classes that occur in the data, so the vector may be
-    shorter than the dictionary; ``'all'`` takes the dictionary; a list of ids
-    is used as given. The seen classes are one row read as a scalar, no wider
-    than the vector that every row gets anyway.
+    ``'seen'`` takes the classes that occur in ``ids_col``, so the vector may be
+    shorter than the dictionary, and plans ``df`` twice; ``seen_ids`` gives the
+    same classes from the annotations. ``'all'`` takes the dictionary; a list of
+    ids is used as given.
     """
-    if classes == "seen":
-        distinct = df.select(F.explode(ids_col).alias("c")).distinct()
-        chosen = distinct.agg(F.array_sort(F.collect_list("c")).alias("classes")).scalar()
+    if isinstance(classes, Column):
+        chosen = classes
+    elif classes == "seen":
+        chosen = _one_list(df.select(F.explode(ids_col).alias("c")))
     else:
         wanted = sorted(TAG_IDS.values()) if classes == "all" else list(classes)
         chosen = F.array(*[F.lit(c) for c in wanted])

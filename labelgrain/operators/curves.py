@@ -21,20 +21,22 @@ def threshold_grid(lo: float = GRID_LOW, hi: float = GRID_HIGH, step: float = GR
     return [lo + i * delta for i in range(size)]
 
 
-def _highest_passed(score: Column, grid: list[float], lo: float, step: float) -> Column:
-    """Index of the highest threshold that the score reaches, -1 for none.
+def _highest_passed(df: DataFrame, score_col: str, grid: list[float]) -> DataFrame:
+    """Add ``i``, the index of the highest threshold the score reaches, -1 for none.
 
     The index is guessed from the spacing and put right by one place with the
     single-precision comparison that decides.
     """
-    p = score.cast("float")
+    last, step = len(grid) - 1, (grid[-1] - grid[0]) / (len(grid) - 1) if len(grid) > 1 else 1.0
     levels = F.array(*[F.lit(t).cast("float") for t in grid])
-    last = len(grid) - 1
-    guess = F.greatest(F.lit(-1), F.least(F.lit(last), F.floor((score.cast("double") - lo) / step).cast("int")))
-    up = (guess < last) & (p >= F.get(levels, guess + 1))
-    down = (guess >= 0) & (p < F.get(levels, guess))
-    index = F.when(up, guess + 1).when(down, guess - 1).otherwise(guess)
-    return F.when(F.isnan(p) | p.isNull(), F.lit(-1)).otherwise(index)
+    place = F.floor((F.col(score_col).cast("double") - grid[0]) / step)
+    usable = ~F.isnan(score_col) & F.col(score_col).isNotNull()
+    guess = F.when(usable, F.greatest(F.lit(-1), F.least(F.lit(last), place)).cast("int")).otherwise(-1)
+    guessed = df.withColumn("_p", F.col(score_col).cast("float")).withColumn("_g", guess)
+    g, p = F.col("_g"), F.col("_p")
+    up = (g < last) & (p >= F.get(levels, g + 1)) & ~F.isnan(p)
+    down = (g >= 0) & (p < F.get(levels, g))
+    return guessed.withColumn("i", F.when(up, g + 1).when(down, g - 1).otherwise(g)).drop("_p", "_g")
 
 
 def threshold_sweep(
@@ -47,11 +49,8 @@ def threshold_sweep(
     these few counts give the whole grid. Groups sweep side by side.
     """
     grid = threshold_grid(lo, hi, step)
-    indexed = df.select(
-        *group_cols,
-        _highest_passed(F.col(score_col), grid, lo, step).alias("i"),
-        (F.col(label_col) == 1).alias("gold"),
-    )
+    rows = df.select(*group_cols, F.col(score_col).alias("score"), (F.col(label_col) == 1).alias("gold"))
+    indexed = _highest_passed(rows, "score", grid)
     counted = indexed.groupBy(*group_cols, "i").agg(
         F.count_if(F.col("gold")).alias("pos"), F.count_if(~F.col("gold")).alias("neg")
     )

@@ -48,18 +48,19 @@ def token_stats(df: DataFrame, count_col: str, label_col: str, q: float = 0.95)
 
     Rows are first counted per class and token count, before the shuffle, so the
     exact percentile works on distinct counts with frequencies and not on rows.
+    Rows without a class count in the overall line only.
     """
-    counted = _value_counts(df, count_col, label_col).where(F.col("class").isNotNull())
-    everything = _value_counts(df, count_col, label_col)
-    stats = [
+    rolled = _value_counts(df, count_col, label_col).rollup("class").agg(
+        F.grouping("class").alias("all_classes"),
         F.sum("n").alias("n"),
         N.ratio(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
         F.max("value").alias("max"),
         F.percentile("value", F.lit(float(q)), F.col("n")).alias("percentile"),
-    ]
-    overall = everything.agg(*stats).select(F.lit("overall").alias("scope"), "*")
-    per_class = counted.groupBy("class").agg(*stats).select(F.col("class").cast("string").alias("scope"), "n", "mean", "max", "percentile")
-    return overall.unionByName(per_class)
+    )
+    overall = F.col("all_classes") == 1
+    kept = rolled.where(overall | F.col("class").isNotNull())
+    scope = F.when(overall, "overall").otherwise(F.col("class").cast("string"))
+    return kept.select(scope.alias("scope"), "n", "mean", "max", "percentile")
 
 
 def histogram(df: DataFrame, value_col: str, class_col: str, bins: int = HISTOGRAM_BINS) -> DataFrame:

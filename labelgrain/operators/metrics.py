@@ -55,19 +55,27 @@ def multilabel_scores(
 ) -> DataFrame:
     """F1 per vector position and the plain mean of all positions (``avg``).
 
-    Conditional counts for all positions in one aggregate row, so vectors are
+    Three conditional counts per position in one aggregate row, so vectors are
     not exploded and only one row per task is shuffled.
     """
-    parts = []
+    parts = [F.count(F.lit(1)).alias("n")]
     for i, _ in enumerate(names):
-        gold, pred = F.col(gold_vec)[i], F.col(pred_vec)[i]
-        parts.append(F.struct(*count_exprs(gold, pred)).alias(f"c{i}"))
+        gold, pred = F.col(gold_vec)[i] == 1, F.col(pred_vec)[i] == 1
+        parts += [
+            F.count_if(gold & pred).alias(f"both{i}"),
+            F.count_if(gold).alias(f"gold{i}"),
+            F.count_if(pred).alias(f"pred{i}"),
+        ]
     counts = df.agg(*parts)
-    f1s = [N.f1(F.col(f"c{i}.tp"), F.col(f"c{i}.fp"), F.col(f"c{i}.fn")) for i, _ in enumerate(names)]
+    both, gold, pred = ([F.col(f"{c}{i}") for i, _ in enumerate(names)] for c in ("both", "gold", "pred"))
+    cells = [
+        {"tp": b, "fp": p - b, "fn": g - b, "tn": F.col("n") - g - p + b} for b, g, p in zip(both, gold, pred)
+    ]
+    f1s = [N.f1(c["tp"], c["fp"], c["fn"]) for c in cells]
     rows = [
         F.struct(
             F.lit(i).alias("position"), F.lit(name).alias("label"),
-            *[F.col(f"c{i}.{c}").alias(c) for c in COUNTS], f1s[i].alias("f1"),
+            *[cells[i][c].alias(c) for c in COUNTS], f1s[i].alias("f1"),
         )
         for i, name in enumerate(names)
     ]
@@ -168,16 +176,19 @@ def length_bin_errors(
     Rows outside all bins are left out. Without positives the miss rate is 0.0,
     without negatives the false-alarm rate is null.
     """
-    binned = df.withColumn("bin", N.bin_ordinal(F.col(count_col), tuple(edges))).where(F.col("bin").isNotNull())
+    binned = df.withColumn("bin", N.bin_ordinal(F.col(count_col), tuple(edges)))
     gold, pred = F.col(label_col), F.col(pred_col)
+    # the group outside all bins goes by its count, not by a filter on the bin:
+    # that would move below the aggregate and repeat the token count per edge
     grouped = binned.groupBy("bin").agg(
+        F.count("bin").alias("inside"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(gold == 1).alias("positives"),
         F.count_if((gold == 1) & (pred == 0)).alias("missed"),
         F.count_if(gold == 0).alias("negatives"),
         F.count_if((gold == 0) & (pred == 1)).alias("alarms"),
     )
-    return grouped.select(
+    return grouped.where(F.col("inside") > 0).select(
         "bin",
         N.bin_label(F.col("bin"), tuple(labels)).alias("length_bin"),
         "n",

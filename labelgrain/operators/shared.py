@@ -31,6 +31,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work on a small input all cores.
+
+    An input with fewer splits than the session has cores is dealt out over
+    them; one with enough splits, as any large input has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def top_per_group(
     df: DataFrame, group_cols: list[str], order: list[Column], k: int, spread_cols: list[str]
 ) -> DataFrame:

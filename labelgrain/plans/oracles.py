@@ -9,7 +9,7 @@ from __future__ import annotations
 from labelgrain.fixed_values import (
     GRID_HIGH, GRID_LOW, GRID_STEP, HISTOGRAM_BINS, LENGTH_EDGES, LENGTH_LABELS, SEED, STOP_WORDS, TAG_IDS, VECTOR_NAMES,
 )
-from labelgrain.functions.text import TREEBANK_RULES
+from labelgrain.functions.text import ABBREVIATIONS
 
 WIDTH = len(VECTOR_NAMES)
 
@@ -56,11 +56,39 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# Word tokens by rewriting: each rule puts spaces where tokens part. \x01 stands
+# for a full stop, \x02 for a comma and \x03 for a colon that belong to a word.
+NO_WORD = r"([^\p{L}\p{N}]|\z)"
+KEEP_STOP = (r"(^|[^\p{L}\p{N}])(" + "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS) + r"|\p{L})\.", "\\1\\2\x01")
+WORD_RULES = (
+    (r'^"', " `` "),
+    (r"([\s(\[{<])(\"|'')", r"\1 `` "),
+    (r'"', "''"),
+    ("(?i)" + KEEP_STOP[0], KEEP_STOP[1]),
+    ("(?i)" + KEEP_STOP[0], KEEP_STOP[1]),
+    (r"([«“‘„]|`+)", r" \1 "),
+    (r"([^.\s])\.([\])}>'»”’]*)(\s|\z)", r"\1 . \2 \3"),
+    (r",(\d)", "\x02\\1"),
+    (r":(\d)", "\x03\\1"),
+    (r"([:,])", r" \1 "),
+    (r"(\.\.+)", r" \1 "),
+    (r"([;@#$%&?!*]|[\](){}<>\[]|[»”’]|--|'')", r" \1 "),
+    (r"([^'\s])'(\s|\z)", r"\1 ' \2"),
+    (rf"(?i)([^'\s])('s|'m|'d|'ll|'re|'ve|n't){NO_WORD}", r"\1 \2 \3"),
+    (rf"(?i)([^'\s])('s|'m|'d|'ll|'re|'ve|n't){NO_WORD}", r"\1 \2 \3"),
+    (rf"(?i)(^|\s)(can)(not){NO_WORD}", r"\1\2 \3\4"),
+    (rf"(?i)(^|\s)(gim|lem)(me){NO_WORD}", r"\1\2 \3\4"),
+    (rf"(?i)(^|\s)(gon|wan)(na){NO_WORD}", r"\1\2 \3\4"),
+    (rf"(?i)(^|\s)(got)(ta){NO_WORD}", r"\1\2 \3\4"),
+    (rf"(?i)(^|\s)('t)(is|was){NO_WORD}", r"\1\2 \3\4"),
+)
+
+
 def word_chain(column: str) -> str:
     expr = column
-    for pattern, replacement in TREEBANK_RULES:
-        target = replacement.replace("$", "\\")
-        expr = f"regexp_replace({expr}, {quoted(pattern)}, {quoted(target)}, 'g')"
+    for pattern, replacement in WORD_RULES:
+        expr = f"regexp_replace({expr}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
+    expr = f"translate({expr}, '\x01\x02\x03', '.,:')"
     return rf"list_filter(string_split_regex({expr}, '[\s\x0b\x1c-\x1f]+'), lambda t: t <> '')"
 
 

@@ -17,7 +17,7 @@ from labelgrain.functions import labels as L
 from labelgrain.functions import numbers as N
 from labelgrain.functions import text as T
 from labelgrain.operators import categories, classify, curves, errors, explore, metrics, splits, trials
-from labelgrain.operators.shared import shared_folder
+from labelgrain.operators.shared import shared_folder, spread
 from labelgrain.sources import readers, sinks
 
 WIDTH = len(VECTOR_NAMES)
@@ -27,9 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents with grade, score, decision and error class."""
-    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+def corpus(spark: SparkSession, sf_dir: str, text_work: bool = False) -> DataFrame:
+    """Labelled documents with grade, score and decision.
+
+    ``text_work`` announces heavy work on each text.
+    """
+    docs = table(spark, sf_dir, "documents")
+    joined = (spread(docs) if text_work else docs).join(table(spark, sf_dir, "labels"), "doc_id")
     milli = F.col("toxic") * 300 + (F.col("doc_id") * 7919) % 700
     graded = joined.select(
         "doc_id", F.col("source").alias("keyword"), F.col("lang").alias("country"), "text", "toxic",
@@ -94,7 +98,7 @@ def confusion_matrix(spark, sf_dir):
 
 
 def length_bin_errors(spark, sf_dir):
-    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
+    counted = corpus(spark, sf_dir, text_work=True).withColumn("tokens", T.ws_token_count(F.col("text")))
     return metrics.length_bin_errors(counted, "tokens", "label", "pred")
 
 
@@ -140,7 +144,8 @@ def category_lists(spark, sf_dir):
 
 def category_vectors(spark, sf_dir):
     lists = _category_lists(spark, sf_dir)
-    both = categories.binarise(lists, "ids", "seen", "seen")
+    seen = categories.seen_ids(annotations(spark, sf_dir), "tag")
+    both = categories.binarise(lists, "ids", seen, "seen")
     both = categories.binarise(both, "ids", "all", "all")
     return both.select("par_id", L.format_vector(F.col("seen")).alias("seen"), L.format_vector(F.col("all")).alias("all"))
 
@@ -192,32 +197,32 @@ def _rounded_stats(stats):
 
 
 def token_stats(spark, sf_dir):
-    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
+    counted = corpus(spark, sf_dir, text_work=True).withColumn("tokens", T.ws_token_count(F.col("text")))
     return _rounded_stats(explore.token_stats(counted, "tokens", "label"))
 
 
 def word_token_stats(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("tokens", F.size(T.word_tokens(T.coerce_null(F.col("text"), "nan"))))
+    docs = spread(table(spark, sf_dir, "documents")).withColumn("tokens", F.size(T.word_tokens(T.coerce_null(F.col("text"), "nan"))))
     return _rounded_stats(explore.token_stats(docs, "tokens", "lang"))
 
 
 def token_histogram(spark, sf_dir):
-    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
+    counted = corpus(spark, sf_dir, text_work=True).withColumn("tokens", T.ws_token_count(F.col("text")))
     bars = explore.histogram(counted, "tokens", "label")
     return bars.select("label", "bin", F.round("bin_from", 6).alias("bin_from"), F.round("bin_to", 6).alias("bin_to"), "n")
 
 
 def top_ngrams(spark, sf_dir):
-    return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, tokeniser="letters")
+    return explore.top_ngrams(corpus(spark, sf_dir, text_work=True), "text", "label", k=15, tokeniser="letters")
 
 
 def top_ngrams_by_role(spark, sf_dir):
-    return explore.top_ngrams(table(spark, sf_dir, "conversations"), "text", "role", k=15, tokeniser="letters")
+    return explore.top_ngrams(spread(table(spark, sf_dir, "conversations")), "text", "role", k=15, tokeniser="letters")
 
 
 def top_word_ngrams(spark, sf_dir):
     """Full word tokeniser, equal counts ranked by first appearance."""
-    return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, order_col="doc_id")
+    return explore.top_ngrams(corpus(spark, sf_dir, text_work=True), "text", "label", k=15, order_col="doc_id")
 
 
 def train_split(spark, sf_dir):
@@ -358,7 +363,7 @@ WHOLE_TEXTS = classify.Params(features=1 << 16, max_iter=10, max_tokens=None)
 
 def _learning_parts(spark, sf_dir):
     """All labelled documents, two thirds for training and the rest as dev."""
-    rows = corpus(spark, sf_dir).select("doc_id", "text", "label")
+    rows = corpus(spark, sf_dir, text_work=True).select("doc_id", "text", "label")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
     return rows.where(part != 0), rows.where(part == 0)
 
@@ -368,7 +373,7 @@ def classifier_scores(spark, sf_dir):
     train, dev = _learning_parts(spark, sf_dir)
     model = classify.fit_classifier(train, "text", "label", splits.class_weights(train, "label"), WHOLE_TEXTS)
     tuned = curves.best_threshold(curves.threshold_sweep(classify.score(model, dev), "prob", "label")).first()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return classify.predict(model, docs, tuned["threshold"]).select("doc_id", "prob", "pred")
 
 
