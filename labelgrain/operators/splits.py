@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelgrain.functions import numbers as N
 from labelgrain.functions.labels import fail_when
+from labelgrain.operators.shared import materialise
 
 
 def keep_split(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -18,15 +21,42 @@ def keep_split(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_semi")
 
 
-def attach_in_order(ids: DataFrame, df: DataFrame, key: str, order_col: str = "row_no") -> DataFrame:
+def attach_in_order(
+    ids: DataFrame, df: DataFrame, key: str, order_col: str = "row_no", renumber: bool = False
+) -> DataFrame:
     """Every listed id with its row of ``df``, ids without one get nulls.
 
     Repeated ids on either side multiply. ``order_col`` of ``ids`` is kept as a
-    column; the order itself is only produced where the result is written.
+    column; the order itself is only produced where the result is written. With
+    ``renumber`` the result is numbered densely in list order, ties in the order
+    of ``df``, which differs from the list's own numbers once rows multiply.
     """
     if order_col not in ids.columns:
         raise ValueError(f"the id list has no column {order_col}")
-    return ids.join(df.drop(order_col), key, "left")
+    place = "_place"
+    right = df.withColumnRenamed(order_col, place) if order_col in df.columns else df.withColumn(place, F.lit(0))
+    joined = ids.join(right, key, "left")
+    if renumber:
+        joined = with_row_no(joined.withColumnRenamed(order_col, "_listed"), ["_listed", place], order_col).drop("_listed")
+    return joined.drop(place)
+
+
+def with_row_no(df: DataFrame, order_cols: Sequence[str], out_col: str = "row_no") -> DataFrame:
+    """Number rows from 0 without gaps in the order of ``order_cols``.
+
+    A distributed sort is stored once; partitions then get their first number
+    from the running count of the ones before, and rows their place inside.
+    """
+    ordered = materialise(df.orderBy(*order_cols).withColumn("_id", F.monotonically_increasing_id()))
+    # Spark puts the partition in the upper 31 bits of the id
+    parted = ordered.withColumn("_part", F.shiftright("_id", 33))
+    sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint"))
+    # one row per sort partition
+    starts = sizes.select("_part", (base - F.col("_first")).alias("_shift"))
+    numbered = parted.join(F.broadcast(starts), "_part").withColumn(out_col, F.col("_id") + F.col("_shift"))
+    return numbered.drop("_id", "_part", "_shift")
 
 
 def replace_label(df: DataFrame, label_col: str, new_col: str) -> DataFrame:
