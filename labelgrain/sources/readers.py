@@ -6,7 +6,7 @@ Every schema is declared; nothing is inferred.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelgrain.fixed_values import (
@@ -71,11 +71,13 @@ def _read_graded_quoted(spark: SparkSession, path: Path, header_lines: int, stri
     records = number_rows(reader.option("multiLine", True).csv(path))
     lines = read_lines(spark, path).where(F.col("line_no") < header_lines)
     header = lines.groupBy("file").agg(F.count_if(strip(F.col("value")) != "").alias("records"))
+    # one row per file; the header records of this and earlier files come off the number
+    so_far = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, 0)
+    header = header.withColumn("dropped", F.sum("records").over(so_far))
     body = records.join(header, "file").where(F.col("line_no") >= F.col("records"))
     grade = F.col("label")
-    # records before a file's header end are gone, so numbers keep order but have gaps
     return body.select(
-        "row_no", *GRADED_COLUMNS[:5], collapse_grade(grade, strict_labels).alias("label"), grade.alias("orig_label")
+        (F.col("row_no") - F.col("dropped")).alias("row_no"), *GRADED_COLUMNS[:5], collapse_grade(grade, strict_labels).alias("label"), grade.alias("orig_label")
     )
 
 

@@ -88,8 +88,11 @@ def test_header_is_dropped_per_file(spark, tmp_path):
 def test_quoted_mode_merges_lines(spark, tmp_path):
     body = '1\ta\tk\tc\tplain\t0\n2\ta\tk\tc\t"tab\tand\nline"\t3\n3\ta\tk\tc\tsays ""x""\t1\n'
     path = put(tmp_path, "g.tsv", HEADER + body)
-    got = rows(readers.read_graded(spark, path, quoted=True), "par_id", "text", "label")
-    assert got == [("1", "plain", 0), ("2", "tab\tand\nline", 1), ("3", 'says ""x""', 0)]
+    got = rows(readers.read_graded(spark, path, quoted=True), "row_no", "par_id", "text", "label")
+    assert got == [(0, "1", "plain", 0), (1, "2", "tab\tand\nline", 1), (2, "3", 'says ""x""', 0)]
+    put(tmp_path, "h.tsv", HEADER + body)
+    both = readers.read_graded(spark, str(tmp_path), quoted=True)
+    assert rows(both, "row_no", "par_id") == list(enumerate("123123"))
     swallowed = put(tmp_path / "open", "g.tsv", HEADER + '1\ta\tk\tc\t"never closed\t0\n2\ta\tk\tc\tt\t1\n')
     assert readers.read_graded(spark, swallowed, quoted=True).count() == 1
     assert readers.read_graded(spark, swallowed).count() == 2
