@@ -45,7 +45,7 @@ def threshold_sweep(
 ) -> DataFrame:
     """Counts and F1 at every grid threshold, from one pass over the rows.
 
-    Each row counts once, at the highest threshold it reaches; suffix sums over
+    Each row counts once, at the highest threshold it reaches; running sums over
     these few counts give the whole grid. Groups sweep side by side.
     """
     grid = threshold_grid(lo, hi, step)
@@ -54,32 +54,31 @@ def threshold_sweep(
     counted = indexed.groupBy(*group_cols, "i").agg(
         F.count_if(F.col("gold")).alias("pos"), F.count_if(~F.col("gold")).alias("neg")
     )
-    # at most one entry per threshold and one for "none", so the list is bounded
+    # at most one entry per threshold and one for "none", so the maps are bounded
     folded = counted.groupBy(*group_cols).agg(
-        F.collect_list(F.struct("i", "pos", "neg")).alias("h"), F.sum("pos").alias("all_pos")
+        F.map_from_entries(F.collect_list(F.struct("i", "pos"))).alias("pos_at"),
+        F.map_from_entries(F.collect_list(F.struct("i", "neg"))).alias("neg_at"),
+        F.sum("pos").alias("all_pos"),
+        F.sum("neg").alias("all_neg"),
     )
-
-    def above(i: Column, field: str) -> Column:
-        reached = F.filter(F.col("h"), lambda x: x["i"] >= i)
-        return F.aggregate(reached, F.lit(0).cast("bigint"), lambda acc, x: acc + x[field])
-
     levels = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold")) for i, t in enumerate(grid)])
-    rows = F.transform(
-        levels,
-        lambda g: F.struct(
-            g["i"].alias("i"), g["threshold"].alias("threshold"),
-            above(g["i"], "pos").alias("tp"), above(g["i"], "neg").alias("fp"),
-        ),
-    )
-    tp, fp = F.col("r.tp"), F.col("r.fp")
-    fn = F.col("all_pos") - tp
-    return (
-        folded.select(*group_cols, "all_pos", F.explode(rows).alias("r"))
-        .select(
-            *group_cols, F.col("r.i").alias("i"), F.col("r.threshold").alias("threshold"),
-            tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), N.f1(tp, fp, fn).alias("f1"),
-        )
+    filled = folded.select(*group_cols, "pos_at", "neg_at", "all_pos", "all_neg", F.inline(levels))
+    lower = Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+
+    def missed(counts: str) -> Column:
+        """Rows below a threshold: those that reach none and those of lower ones."""
+        zero = F.lit(0).cast("bigint")
+        here = F.coalesce(F.try_element_at(F.col(counts), F.col("i")), zero)
+        none = F.coalesce(F.try_element_at(F.col(counts), F.lit(-1)), zero)
+        return none + F.coalesce(F.sum(here).over(lower), zero)
+
+    summed = filled.select(
+        *group_cols, "i", "threshold",
+        (F.col("all_pos") - missed("pos_at")).alias("tp"),
+        (F.col("all_neg") - missed("neg_at")).alias("fp"),
+        missed("pos_at").alias("fn"),
     )
+    return summed.withColumn("f1", N.f1(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
 def best_threshold(sweep: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -100,7 +99,7 @@ def _range_bounds(counts: DataFrame, ranges: int) -> list[float]:
     if ranges < 2:
         return []
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = counts.agg(F.percentile_approx("score_d", shares, 10000).alias("c")).first()["c"] or []
+    cuts = counts.agg(F.percentile_approx("score_d", shares, max(10000, 10 * ranges)).alias("c")).first()["c"] or []
     return sorted({c for c in cuts if math.isfinite(c)})
 
 

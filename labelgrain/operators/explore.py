@@ -21,12 +21,13 @@ def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
     """Rows and percentage of all rows per class, by class.
 
     Rows without a class count in the total but form no class. The total is a
-    scalar over the same grouped counts and shares their shuffle.
+    scalar over the same grouped counts; it names both of them, and the row
+    without a class goes by its count, so that one shuffle serves both.
     """
-    counted = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n").alias("total")).scalar()
-    shares = counted.select(label_col, "n", (100.0 * F.col("n") / total).alias("pct"))
-    return shares.where(F.col(label_col).isNotNull()).orderBy(label_col)
+    counted = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"), F.count(label_col).alias("labelled"))
+    sums = counted.agg(F.struct(F.sum("n").alias("n"), F.sum("labelled").alias("labelled")).alias("sums")).scalar()
+    shares = counted.where(F.col("labelled") > 0)
+    return shares.select(label_col, "n", (100.0 * F.col("n") / sums["n"]).alias("pct")).orderBy(label_col)
 
 
 def class_counts(df: DataFrame, label_col: str) -> DataFrame:
@@ -36,9 +37,12 @@ def class_counts(df: DataFrame, label_col: str) -> DataFrame:
 
 
 def _value_counts(df: DataFrame, value_col: str, class_col: str) -> DataFrame:
-    """How often each value occurs per class: all a statistic needs of the rows."""
-    known = df.where(F.col(value_col).isNotNull())
-    return known.groupBy(F.col(class_col).alias("class"), F.col(value_col).alias("value")).agg(
+    """How often each value occurs per class: all a statistic needs of the rows.
+
+    Null values are kept as a group. A filter on the value would move below the
+    aggregate and work out an expensive value, such as a token count, twice.
+    """
+    return df.groupBy(F.col(class_col).alias("class"), F.col(value_col).alias("value")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -50,13 +54,14 @@ def token_stats(df: DataFrame, count_col: str, label_col: str, q: float = 0.95)
     exact percentile works on distinct counts with frequencies and not on rows.
     Rows without a class count in the overall line only.
     """
+    known = F.when(F.col("value").isNotNull(), F.col("n"))
     rolled = _value_counts(df, count_col, label_col).rollup("class").agg(
         F.grouping("class").alias("all_classes"),
-        F.sum("n").alias("n"),
-        N.ratio(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
+        F.sum(known).alias("n"),
+        N.ratio(F.sum(F.col("value") * known), F.sum(known)).alias("mean"),
         F.max("value").alias("max"),
         F.percentile("value", F.lit(float(q)), F.col("n")).alias("percentile"),
-    )
+    ).where(F.col("n").isNotNull())
     overall = F.col("all_classes") == 1
     kept = rolled.where(overall | F.col("class").isNotNull())
     scope = F.when(overall, "overall").otherwise(F.col("class").cast("string"))
@@ -69,11 +74,13 @@ def histogram(df: DataFrame, value_col: str, class_col: str, bins: int = HISTOGR
     The last bin is closed. A value on an edge goes where the computed edges put
     it, as in numpy; a class with one distinct value gets a range of width 1.
     """
-    counted = _value_counts(df, value_col, class_col).where(F.col("class").isNotNull())
-    # one row per class; Spark measures it and broadcasts it if it is small
+    counted = _value_counts(df, value_col, class_col)
+    # one row per class; Spark measures it and broadcasts it if it is small. The
+    # sum keeps the counted table as it is, so both sides share its shuffle.
     ranges = counted.groupBy("class").agg(
-        F.min(F.col("value").cast("double")).alias("lo"), F.max(F.col("value").cast("double")).alias("hi")
-    )
+        F.min(F.col("value").cast("double")).alias("lo"), F.max(F.col("value").cast("double")).alias("hi"),
+        F.sum("n").alias("all"),
+    ).where((F.col("all") > 0) & F.col("lo").isNotNull())
     flat = F.col("lo") == F.col("hi")
     ranges = ranges.select(
         "class",
@@ -90,7 +97,7 @@ def histogram(df: DataFrame, value_col: str, class_col: str, bins: int = HISTOGR
     guess = F.least(last, F.floor((x - lo) / (hi - lo) * F.lit(float(bins))).cast("int"))
     index = F.when(x < edge(guess), guess - 1).when((guess != last) & (x >= edge(guess + 1)), guess + 1).otherwise(guess)
     binned = counted.join(ranges, "class").select("class", "lo", "hi", index.alias("bin"), "n")
-    summed = binned.groupBy("class", "lo", "hi", "bin").agg(F.sum("n").alias("n"))
+    summed = binned.where(F.col("bin").isNotNull()).groupBy("class", "lo", "hi", "bin").agg(F.sum("n").alias("n"))
     # at most ``bins`` entries per class
     folded = summed.groupBy("class", "lo", "hi").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from labelgrain.functions.labels import fail_when
 
 BLOCK = ["file", "block", "length", "task"]
-MAX_BROADCAST_BLOCKS = 200_000
+# about 200 bytes each, so at most some 200 MB
+MAX_BROADCAST_BLOCKS = 1_000_000
 
 
 def pin_splits(spark: SparkSession) -> None:
