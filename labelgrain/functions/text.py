@@ -20,6 +20,11 @@ def tab_fields(text: Column) -> Column:
     return F.split(text, "\t")
 
 
+def tab_field_count(text: Column) -> Column:
+    """Number of ``tab_fields``, without making them."""
+    return F.length(text) - F.length(F.translate(text, "\t", "")) + 1
+
+
 def coerce_null(text: Column, null_text: str = "skip") -> Column:
     """``'nan'`` writes a null text as that word; ``'skip'`` leaves it null."""
     if null_text == "nan":

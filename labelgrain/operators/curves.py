@@ -14,28 +14,38 @@ from labelgrain.functions import numbers as N
 from labelgrain.operators.shared import materialise
 
 
+class Grid:
+    """The thresholds of ``numpy.arange(lo, hi, step)``, bit for bit."""
+
+    def __init__(self, lo: float, hi: float, step: float):
+        self.lo, self.delta = float(lo), (lo + step) - lo
+        self.size = math.ceil((hi - lo) / step)
+
+    def level(self, i: Column) -> Column:
+        return F.lit(self.lo) + i * F.lit(self.delta)
+
+    def values(self) -> list[float]:
+        return [self.lo + i * self.delta for i in range(self.size)]
+
+
 def threshold_grid(lo: float = GRID_LOW, hi: float = GRID_HIGH, step: float = GRID_STEP) -> list[float]:
-    """The grid of ``numpy.arange(lo, hi, step)``, bit for bit."""
-    size = math.ceil((hi - lo) / step)
-    delta = (lo + step) - lo
-    return [lo + i * delta for i in range(size)]
+    return Grid(lo, hi, step).values()
 
 
-def _highest_passed(df: DataFrame, score_col: str, grid: list[float]) -> DataFrame:
+def _highest_passed(df: DataFrame, score_col: str, grid: Grid) -> DataFrame:
     """Add ``i``, the index of the highest threshold the score reaches, -1 for none.
 
     The index is guessed from the spacing and put right by one place with the
     single-precision comparison that decides.
     """
-    last, step = len(grid) - 1, (grid[-1] - grid[0]) / (len(grid) - 1) if len(grid) > 1 else 1.0
-    levels = F.array(*[F.lit(t).cast("float") for t in grid])
-    place = F.floor((F.col(score_col).cast("double") - grid[0]) / step)
-    usable = ~F.isnan(score_col) & F.col(score_col).isNotNull()
-    guess = F.when(usable, F.greatest(F.lit(-1), F.least(F.lit(last), place)).cast("int")).otherwise(-1)
-    guessed = df.withColumn("_p", F.col(score_col).cast("float")).withColumn("_g", guess)
+    last, score = F.lit(grid.size - 1), F.col(score_col)
+    place = F.floor((score.cast("double") - grid.lo) / grid.delta)
+    usable = ~F.isnan(score) & score.isNotNull()
+    guess = F.when(usable, F.greatest(F.lit(-1), F.least(last, place)).cast("int")).otherwise(-1)
+    guessed = df.withColumns({"_p": score.cast("float"), "_g": guess})
     g, p = F.col("_g"), F.col("_p")
-    up = (g < last) & (p >= F.get(levels, g + 1)) & ~F.isnan(p)
-    down = (g >= 0) & (p < F.get(levels, g))
+    up = (g < last) & (p >= grid.level(g + 1).cast("float")) & ~F.isnan(p)
+    down = (g >= 0) & (p < grid.level(g).cast("float"))
     return guessed.withColumn("i", F.when(up, g + 1).when(down, g - 1).otherwise(g)).drop("_p", "_g")
 
 
@@ -48,7 +58,7 @@ def threshold_sweep(
     Each row counts once, at the highest threshold it reaches; running sums over
     these few counts give the whole grid. Groups sweep side by side.
     """
-    grid = threshold_grid(lo, hi, step)
+    grid = Grid(lo, hi, step)
     rows = df.select(*group_cols, F.col(score_col).alias("score"), (F.col(label_col) == 1).alias("gold"))
     indexed = _highest_passed(rows, "score", grid)
     counted = indexed.groupBy(*group_cols, "i").agg(
@@ -61,8 +71,8 @@ def threshold_sweep(
         F.sum("pos").alias("all_pos"),
         F.sum("neg").alias("all_neg"),
     )
-    levels = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold")) for i, t in enumerate(grid)])
-    filled = folded.select(*group_cols, "pos_at", "neg_at", "all_pos", "all_neg", F.inline(levels))
+    places = F.sequence(F.lit(0), F.lit(grid.size - 1))
+    filled = folded.select(*group_cols, "pos_at", "neg_at", "all_pos", "all_neg", F.explode(places).alias("i"))
     lower = Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
 
     def missed(counts: str) -> Column:
@@ -73,7 +83,7 @@ def threshold_sweep(
         return none + F.coalesce(F.sum(here).over(lower), zero)
 
     summed = filled.select(
-        *group_cols, "i", "threshold",
+        *group_cols, "i", grid.level(F.col("i")).alias("threshold"),
         (F.col("all_pos") - missed("pos_at")).alias("tp"),
         (F.col("all_neg") - missed("neg_at")).alias("fp"),
         missed("pos_at").alias("fn"),

@@ -16,9 +16,9 @@ def keep_split(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key is listed; repeated list entries add no rows.
 
     No broadcast hint: Spark picks one from the size it knows or measures, and
-    splits hot keys when it has to shuffle.
+    splits hot keys of ``df`` when it has to shuffle.
     """
-    return df.join(ids.select(key), key, "left_semi")
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def attach_in_order(
@@ -30,12 +30,19 @@ def attach_in_order(
     column; the order itself is only produced where the result is written. With
     ``renumber`` the result is numbered densely in list order, ties in the order
     of ``df``, which differs from the list's own numbers once rows multiply.
+
+    Found and missing ids are joined apart. An inner join can broadcast a short
+    list, so that a large ``df`` stays in place, and can split a hot key of
+    either side; a left join from the list can do neither. The missing ids only
+    read the key column.
     """
     if order_col not in ids.columns:
         raise ValueError(f"the id list has no column {order_col}")
     place = "_place"
     right = df.withColumnRenamed(order_col, place) if order_col in df.columns else df.withColumn(place, F.lit(0))
-    joined = ids.join(right, key, "left")
+    found = ids.join(right, key)
+    known = keep_split(right.select(key), ids, key).distinct()
+    joined = found.unionByName(ids.join(known, key, "left_anti"), allowMissingColumns=True)
     if renumber:
         joined = with_row_no(joined.withColumnRenamed(order_col, "_listed"), ["_listed", place], order_col).drop("_listed")
     return joined.drop(place)

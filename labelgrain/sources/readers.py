@@ -18,7 +18,7 @@ from labelgrain.fixed_values import (
     VECTOR_NAMES,
 )
 from labelgrain.functions.labels import collapse_grade, fail_when, normalise_key, parse_vector
-from labelgrain.functions.text import strip, tab_fields
+from labelgrain.functions.text import strip, tab_field_count, tab_fields
 from labelgrain.sources.lines import number_rows, read_lines
 
 Path = str | list[str]
@@ -34,10 +34,6 @@ def _checked(lines: DataFrame, bad: Column, what: str, on_bad: str) -> DataFrame
     raise ValueError("on_bad must be 'raise' or 'drop'")
 
 
-def _graded_fields(spark: SparkSession, path: Path, header_lines: int) -> DataFrame:
-    return read_lines(spark, path, header_lines).withColumn("f", tab_fields(strip(F.col("value"))))
-
-
 def read_graded(
     spark: SparkSession, path: Path, header_lines: int = HEADER_LINES, on_bad: str = "raise",
     strict_labels: bool = False, quoted: bool = False,
@@ -51,10 +47,11 @@ def read_graded(
     """
     if quoted:
         return _read_graded_quoted(spark, path, header_lines, strict_labels)
-    lines = _graded_fields(spark, path, header_lines)
-    good = _checked(lines, F.size("f") < 5, "fewer than 5 fields", on_bad)
+    lines = read_lines(spark, path, header_lines)
+    line = strip(F.col("value"))
+    good = _checked(lines, tab_field_count(line) < 5, "fewer than 5 fields", on_bad)
     grade = F.element_at("f", -1)
-    return good.select(
+    return good.select("row_no", tab_fields(line).alias("f")).select(
         "row_no",
         *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(GRADED_COLUMNS[:5])],
         collapse_grade(grade, strict_labels).alias("label"),
@@ -83,8 +80,9 @@ def _read_graded_quoted(spark: SparkSession, path: Path, header_lines: int, stri
 
 def rejected_lines(spark: SparkSession, path: Path, header_lines: int = HEADER_LINES, fields: int = 5) -> DataFrame:
     """The lines that a lenient read leaves out, with their row numbers."""
-    lines = _graded_fields(spark, path, header_lines)
-    return lines.where(F.size("f") < fields).select("row_no", "file", "value", F.size("f").alias("fields"))
+    count = tab_field_count(strip(F.col("value")))
+    lines = read_lines(spark, path, header_lines).withColumn("fields", count)
+    return lines.where(F.col("fields") < fields).select("row_no", "file", "value", "fields")
 
 
 def read_annotations(
@@ -95,15 +93,14 @@ def read_annotations(
     The two ids, the tag and the annotator count come from the stripped line,
     counted from its ends; the fields between come from the line as it is.
     """
-    lines = read_lines(spark, path, header_lines).select(
-        "row_no", "value",
-        tab_fields(strip(F.col("value"))).alias("p"),
-        tab_fields(F.col("value")).alias("q"),
-    )
-    good = _checked(lines, (F.size("p") < 2) | (F.size("q") < 8), "too few fields", on_bad)
+    lines = read_lines(spark, path, header_lines)
+    raw, stripped = F.col("value"), strip(F.col("value"))
+    short = (tab_field_count(stripped) < 2) | (tab_field_count(raw) < 8)
+    good = _checked(lines, short, "too few fields", on_bad)
+    split = good.select("row_no", tab_fields(stripped).alias("p"), tab_fields(raw).alias("q"))
     ends = {"par_id": F.get("p", F.lit(0)), "art_id": F.get("p", F.lit(1)),
             "label": F.element_at("p", -2), "num_annotators": F.element_at("p", -1)}
-    return good.select(
+    return split.select(
         "row_no",
         *[ends.get(c, F.get("q", F.lit(i))).alias(c) for i, c in enumerate(ANNOTATION_COLUMNS)],
     )
@@ -111,9 +108,9 @@ def read_annotations(
 
 def read_unlabelled(spark: SparkSession, path: Path, header_lines: int = 0, on_bad: str = "raise") -> DataFrame:
     """Five fields per line, no header; short lines get nulls, longer ones raise."""
-    lines = _graded_fields(spark, path, header_lines)
-    good = _checked(lines, F.size("f") > 5, "more than 5 fields", on_bad)
-    return good.select("row_no", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(UNLABELLED_COLUMNS)])
+    line = strip(F.col("value"))
+    good = _checked(read_lines(spark, path, header_lines), tab_field_count(line) > 5, "more than 5 fields", on_bad)
+    return good.select("row_no", tab_fields(line).alias("f")).select("row_no", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(UNLABELLED_COLUMNS)])
 
 
 def read_split(spark: SparkSession, path: Path) -> DataFrame:
