@@ -47,23 +47,38 @@ def _value_counts(df: DataFrame, value_col: str, class_col: str) -> DataFrame:
     )
 
 
-def token_stats(df: DataFrame, count_col: str, label_col: str, q: float = 0.95) -> DataFrame:
+def token_stats(
+    df: DataFrame, count_col: str, label_col: str, q: float = 0.95, exact: bool = True
+) -> DataFrame:
     """Texts, mean, maximum and interpolated ``q`` percentile, overall and per class.
 
     Rows are first counted per class and token count, before the shuffle, so the
     exact percentile works on distinct counts with frequencies and not on rows.
-    Rows without a class count in the overall line only.
+    For values without such a narrow range ``exact=False`` takes Spark's
+    approximate percentile, a value of the data, from bounded sketches. Rows
+    without a class count in the overall line only.
     """
-    known = F.when(F.col("value").isNotNull(), F.col("n"))
-    rolled = _value_counts(df, count_col, label_col).rollup("class").agg(
-        F.grouping("class").alias("all_classes"),
-        F.sum(known).alias("n"),
-        N.ratio(F.sum(F.col("value") * known), F.sum(known)).alias("mean"),
-        F.max("value").alias("max"),
-        F.percentile("value", F.lit(float(q)), F.col("n")).alias("percentile"),
-    ).where(F.col("n").isNotNull())
+    value, n = F.col("value"), F.col("n")
+    if exact:
+        known = F.when(value.isNotNull(), n)
+        rolled = _value_counts(df, count_col, label_col).rollup("class").agg(
+            F.grouping("class").alias("all_classes"),
+            F.sum(known).alias("n"),
+            N.ratio(F.sum(value * known), F.sum(known)).alias("mean"),
+            F.max(value).alias("max"),
+            F.percentile(value, F.lit(float(q)), n).alias("percentile"),
+        )
+    else:
+        rows = df.select(F.col(label_col).alias("class"), F.col(count_col).alias("value"))
+        rolled = rows.rollup("class").agg(
+            F.grouping("class").alias("all_classes"),
+            F.count(value).alias("n"),
+            F.avg(value).alias("mean"),
+            F.max(value).alias("max"),
+            F.percentile_approx(value, float(q), 10000).cast("double").alias("percentile"),
+        )
     overall = F.col("all_classes") == 1
-    kept = rolled.where(overall | F.col("class").isNotNull())
+    kept = rolled.where((n > 0) & (overall | F.col("class").isNotNull()))
     scope = F.when(overall, "overall").otherwise(F.col("class").cast("string"))
     return kept.select(scope.alias("scope"), "n", "mean", "max", "percentile")
 

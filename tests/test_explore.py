@@ -34,6 +34,13 @@ def test_token_stats(spark):
         assert (r["n"], r["max"]) == (len(numbers), max(numbers))
         assert r["mean"] == pytest.approx(statistics.mean(numbers))
         assert r["percentile"] == pytest.approx(np.quantile(numbers, 0.95))
+    rough = {r["scope"]: r for r in explore.token_stats(df, "n", "label", exact=False).collect()}
+    assert set(rough) == set(groups)
+    for scope, numbers in groups.items():
+        r = rough[scope]
+        assert (r["n"], r["max"]) == (len(numbers), max(numbers))
+        assert r["mean"] == pytest.approx(statistics.mean(numbers))
+        assert r["percentile"] in numbers and abs(r["percentile"] - np.quantile(numbers, 0.95)) <= 2
 
 
 @pytest.mark.parametrize("bins", [1, 7, 50])

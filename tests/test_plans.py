@@ -69,3 +69,19 @@ def test_semi_join_has_no_forced_broadcast(spark, conf):
     big = spark.range(10).withColumn("k", F.col("id"))
     assert "Broadcast" not in plan(splits.keep_split(big, big.select("k"), "k"))
     assert "Broadcast" not in plan(splits.attach_in_order(big.withColumn("row_no", F.col("id")), big, "k"))
+
+
+def test_attaching_texts_can_split_hot_keys_of_the_corpus(spark, conf):
+    """No left outer join: Spark could not split the corpus side of one."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    ids = spark.range(10).select(F.col("id").alias("row_no"), F.col("id").alias("k"))
+    text = plan(splits.attach_in_order(ids, ids.withColumn("text", F.lit("t")), "k"))
+    assert "LeftOuter" not in text and "Inner" in text and "LeftAnti" in text
+
+
+def test_short_list_leaves_the_corpus_in_place(spark):
+    corpus = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    ids = spark.read.parquet(f"{TABLES}/labels.parquet").select(F.col("doc_id"), F.col("doc_id").alias("row_no"))
+    text = plan(splits.attach_in_order(ids, corpus, "doc_id"), executed=True)
+    found = text.split("== Initial Plan ==")[0].split("LeftAnti")[0]
+    assert "BroadcastHashJoin" in found and "Exchange hashpartitioning" not in found
