@@ -42,7 +42,9 @@ def attach_in_order(
     right = df.withColumnRenamed(order_col, place) if order_col in df.columns else df.withColumn(place, F.lit(0))
     found = ids.join(right, key)
     known = keep_split(right.select(key), ids, key).distinct()
-    joined = found.unionByName(ids.join(known, key, "left_anti"), allowMissingColumns=True)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    rest = [c for c in ids.columns if c != key]
+    joined = found.union(ids.join(known, key, "left_anti").select(key, *rest, *nulls))
     if renumber:
         joined = with_row_no(joined.withColumnRenamed(order_col, "_listed"), ["_listed", place], order_col).drop("_listed")
     return joined.drop(place)
