@@ -77,16 +77,19 @@ _SEPARATOR = r"[:,](?![0-9])"
 _NOT = r"[nN]'[tT]" + _NO_WORD
 _CLITIC = r"'(?i:s|m|d|ll|re|ve)" + _NO_WORD
 _LONE_QUOTE = f"'(?={_SPACE}|[{_SYMBOL}`]|--|\\.\\.|{_SEPARATOR}|{_FINAL_STOP}|\\z)"
-_CONTRACTIONS = "|".join(
-    f"(?:{first})(?=(?:{second}){_NO_WORD})"
-    for first, second in (("can", "not"), ("gim|lem", "me"), ("gon|wan", "na"), ("got", "ta"), ("'t", "is|was"))
+_HALVES = (("can", "not"), ("gim|lem", "me"), ("gon|wan", "na"), ("got", "ta"), ("'t", "is|was"))
+_CONTRACTIONS = "|".join(f"(?:{first})(?=(?:{second}){_NO_WORD})" for first, second in _HALVES)
+# the common case, tried first: letters and digits with nothing to decide behind them
+_PLAIN = (
+    r"(?![cglwCGLW](?i:annot|imme|emme|onna|anna|otta))[\p{L}\p{N}]++"
+    f"(?={_SPACE}|[;!?()]|,(?![0-9])|\\z)"
 )
 _WORD = (
     f"(?:[^\\s\\x1c-\\x1f{_SYMBOL}:,.'`nN-]++|[nN](?!'[tT]{_NO_WORD})|-(?!-)|[:,](?=[0-9])"
     f"|(?!{_FINAL_STOP})\\.(?!\\.)|(?!''|{_CLITIC}|{_LONE_QUOTE})')++"
 )
 WORD_PATTERN = (
-    f"(?U)[{_SYMBOL}]|`++|''|\\.\\.++|--|{_SEPARATOR}|{_NOT}|{_CLITIC}"
+    f"(?U){_PLAIN}|[{_SYMBOL}]|`++|''|\\.\\.++|--|{_SEPARATOR}|{_NOT}|{_CLITIC}"
     f"|(?<![^\\s\\x1c-\\x1f])(?i:{_CONTRACTIONS})|{_WORD}|[^\\s\\x1c-\\x1f]"
 )
 _OPENING = r"(?<![^\s(\[{<])" + '"' + r"|(?<=[\s(\[{<])''"
