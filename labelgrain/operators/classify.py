@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,7 +34,6 @@ class Params:
     elastic_net: float = 0.0
     max_tokens: int | None = MAX_TOKENS
     min_doc_freq: int = 2
-    extra: dict = field(default_factory=dict)
 
 
 def _feature_stages(text_col: str, params: Params) -> list:
@@ -52,7 +51,7 @@ def _regression(label_col: str, params: Params) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="_features", labelCol=label_col, weightCol="_weight", probabilityCol="_probability",
         rawPredictionCol="_raw", predictionCol="_prediction", maxIter=params.max_iter,
-        regParam=params.reg, elasticNetParam=params.elastic_net, family="binomial", **params.extra,
+        regParam=params.reg, elasticNetParam=params.elastic_net, family="binomial",
     )
 
 

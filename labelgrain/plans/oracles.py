@@ -218,7 +218,6 @@ best AS (SELECT {lead}CASE WHEN f1 > 0 THEN threshold ELSE 0.5::DOUBLE END AS th
 
 SCORED = "scored AS (SELECT * FROM corpus)"
 SCORED_LOG = "scored AS (SELECT *, CAST(substr(keyword, 4) AS INTEGER) AS epoch FROM corpus)"
-LOG = ["country, epoch"]
 
 
 def trial_log() -> tuple[str, ...]:
@@ -276,6 +275,9 @@ named AS (
   UNION ALL SELECT 2, 'task1_f1', f1 FROM s)"""
 
 
+ONE_LINE = r"trim(regexp_replace(text, '[ \t\r\n\x0b\f]+', ' ', 'g'))"
+
+
 def build() -> dict[str, str]:
     counts, s = f"c AS (SELECT {COUNT} FROM corpus)", f"s AS (SELECT *, {SCORES} FROM c)"
     words = rf"list_filter({word_chain('lower(text)')}, lambda t: regexp_full_match(t, '\p{{L}}+'))"
@@ -370,7 +372,21 @@ FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id ORDER BY l.doc_id LIM
             *trial_log()),
         "graded_file": with_corpus(
             r"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_no, CAST(doc_id AS VARCHAR) AS par_id, '@art' AS art_id, keyword, country,
-  md5(trim(regexp_replace(text, '[ \t\r\n\x0b\f]+', ' ', 'g'))) AS text, label, orig_label FROM corpus"""),
+  md5(""" + ONE_LINE + """) AS text, label, orig_label FROM corpus"""),
+        "annotation_file": rf"""WITH {annotations()},
+numbered AS (SELECT doc_id, keyword, text, tag_no, row_number() OVER (ORDER BY row_no) - 1 AS row_no FROM ann),
+seen AS (SELECT doc_id, keyword, text, tag_no, min(row_no) AS first_at FROM numbered GROUP BY ALL)
+SELECT CAST(min(first_at) AS BIGINT) AS row_no, CAST(doc_id AS VARCHAR) AS par_id, keyword, md5({ONE_LINE}) AS text,
+  string_agg(CAST(tag_no AS VARCHAR), ',' ORDER BY first_at) AS ids FROM seen GROUP BY doc_id, keyword, text""",
+        "unlabelled_file": rf"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_no, CAST(doc_id AS VARCHAR) AS par_id,
+  '@art' AS art_id, source AS keyword, lang AS country, CASE WHEN lang <> 'en' THEN md5({ONE_LINE}) END AS text FROM documents""",
+        "split_file": f"""WITH {vectors()} SELECT row_number() OVER (ORDER BY v.doc_id DESC) - 1 AS row_no, CAST(v.doc_id AS VARCHAR) AS par_id,
+  CAST(list_sum(gold) >= 2 AS INTEGER) AS label, CASE WHEN l.doc_id IS NOT NULL THEN len(d.text) END AS chars
+FROM vectors v JOIN documents d ON d.doc_id = v.doc_id LEFT JOIN labels l ON l.doc_id = v.doc_id""",
+        "row_numbers": "SELECT row_number() OVER (ORDER BY len(text) DESC, doc_id) - 1 AS row_no, doc_id FROM documents",
+        "stored_probabilities": with_corpus(
+            "SELECT doc_id AS row_no, score AS prob, CAST(score >= CAST(0.12 AS FLOAT) AS INTEGER) AS pred FROM corpus"),
+        "metrics_log": with_corpus("SELECT country, epoch, threshold, best_tuned_f1 FROM log", *trial_log()),
         "label_file_scores": with_corpus(f"SELECT *, {SCORES} FROM c", counts),
         "vector_file_scores": multilabel(),
     }

@@ -18,6 +18,7 @@ from labelgrain.functions import numbers as N
 from labelgrain.functions import text as T
 from labelgrain.operators import categories, classify, curves, errors, explore, metrics, splits, trials
 from labelgrain.operators.shared import shared_folder, spread
+from labelgrain.plans.score_files import named_binary_scores
 from labelgrain.sources import readers, sinks
 
 WIDTH = len(VECTOR_NAMES)
@@ -279,15 +280,8 @@ def truncated_text(spark, sf_dir):
     return docs.select("doc_id", F.size(kept).alias("tokens"), F.md5(F.array_join(kept, " ")).alias("digest"))
 
 
-def _named_scores(scores: DataFrame, task: str) -> DataFrame:
-    names = ["precision", "recall", "f1"]
-    rows = [F.struct(F.lit(i).alias("line"), F.lit(f"{task}_{n}").alias("name"), F.col(n).alias("value"))
-            for i, n in enumerate(names)]
-    return scores.select(F.inline(F.array(*rows)))
-
-
 def report_lines(spark, sf_dir):
-    scores = _named_scores(binary_scores(spark, sf_dir), "task1")
+    scores = named_binary_scores(binary_scores(spark, sf_dir))
     return scores.select(
         "line", "name", N.fixed_point(F.col("value"), 4).alias("short"),
         N.fixed_point(100 * F.col("value"), 1, "%%").alias("pct"),
@@ -295,7 +289,7 @@ def report_lines(spark, sf_dir):
 
 
 def score_file_lines(spark, sf_dir):
-    scores = _named_scores(binary_scores(spark, sf_dir), "task1")
+    scores = named_binary_scores(binary_scores(spark, sf_dir))
     return sinks.score_lines(scores)
 
 
@@ -336,6 +330,65 @@ def graded_file(spark, sf_dir):
     return back.select("row_no", "par_id", "art_id", "keyword", "country", F.md5("text").alias("text"), "label", "orig_label")
 
 
+def annotation_file(spark, sf_dir):
+    """Annotations written as a ten-field TSV file, read back and grouped."""
+    rows = annotations(spark, sf_dir).withColumn("text", T.strip(_one_line(F.col("text"))))
+    line = F.concat_ws(
+        "\t", "par_id", "art_id", "text", "keyword", "country", F.lit("0"), F.lit("4"), F.lit("span"), "tag", F.lit("2")
+    )
+    path = _scratch(spark, "annotations")
+    rows.orderBy("row_no").select(line.alias("value")).write.text(path)
+    back = readers.read_annotations(spark, path, header_lines=0)
+    keys = ["par_id", "art_id", "text", "keyword", "country"]
+    lists = categories.category_lists(back, keys, "label")
+    return lists.select("row_no", "par_id", "keyword", F.md5("text").alias("text"), L.format_vector(F.col("ids")).alias("ids"))
+
+
+def unlabelled_file(spark, sf_dir):
+    """Documents written without labels, those without a text field short."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.when(F.col("lang") != "en", T.strip(_one_line(F.col("text"))))
+    line = F.concat_ws("\t", F.col("doc_id").cast("string"), F.lit("@art"), "source", "lang", text)
+    path = _scratch(spark, "unlabelled")
+    docs.orderBy("doc_id").select(line.alias("value")).write.text(path)
+    back = readers.read_unlabelled(spark, path)
+    return back.select("row_no", "par_id", "art_id", "keyword", "country", F.md5("text").alias("text"))
+
+
+def split_file(spark, sf_dir):
+    """A split list with votes written as CSV, read back and given its texts."""
+    votes = vote_labels(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("par_id"), F.col("votes").alias("label"))
+    path = _scratch(spark, "split")
+    votes.orderBy(F.desc("doc_id")).select("par_id", "label").write.option("header", True).csv(path)
+    ids = readers.read_split(spark, path).withColumn("label", L.vote_label(F.col("label")))
+    texts = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id")
+    known = texts.select(F.col("doc_id").cast("string").alias("par_id"), F.length("text").cast("bigint").alias("chars"))
+    return splits.attach_in_order(ids, known, "par_id").select("row_no", "par_id", "label", "chars")
+
+
+def row_numbers(spark, sf_dir):
+    """Documents numbered from the longest to the shortest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (-F.length("text")).alias("order"))
+    return splits.with_row_no(docs, ["order", "doc_id"]).select("row_no", "doc_id")
+
+
+def stored_probabilities(spark, sf_dir):
+    """Scores stored as probabilities, read back and decided at 0.12."""
+    path = _scratch(spark, "probs")
+    sinks.write_probs(corpus(spark, sf_dir), path, "score", "doc_id")
+    return readers.read_probs(spark, path).withColumn("pred", N.decide(F.col("prob"), 0.12))
+
+
+def metrics_log(spark, sf_dir):
+    """The trial log appended in two portions and read back."""
+    path = _scratch(spark, "log")
+    log = _trial_log(spark, sf_dir)
+    for portion in (F.col("country") == "en", F.col("country") != "en"):
+        sinks.append_metrics(log.where(portion), path)
+    schema = "country string, epoch int, threshold double, best_tuned_f1 double"
+    return spark.read.schema(schema).parquet(path)
+
+
 def label_file_scores(spark, sf_dir):
     """Gold and decisions written as label files, read back and scored."""
     rows = corpus(spark, sf_dir)
@@ -362,7 +415,7 @@ WHOLE_TEXTS = classify.Params(features=1 << 16, max_iter=10, max_tokens=None)
 
 
 def _learning_parts(spark, sf_dir):
-    """All labelled documents, two thirds for training and the rest as dev."""
+    """All labelled documents: two thirds are trained on, the others are dev."""
     rows = corpus(spark, sf_dir, text_work=True).select("doc_id", "text", "label")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
     return rows.where(part != 0), rows.where(part == 0)
@@ -395,6 +448,7 @@ QUERIES = {
         class_counts, token_stats, word_token_stats, token_histogram, top_ngrams, top_ngrams_by_role,
         top_word_ngrams, train_split, dev_split, preview_rows, scored_rows, hash_baseline, random_baseline,
         truncated_text, report_lines, score_file_lines, best_trial, best_so_far, graded_file,
+        annotation_file, unlabelled_file, split_file, row_numbers, stored_probabilities, metrics_log,
         label_file_scores, vector_file_scores, classifier_scores, trial_log,
     )
 }
