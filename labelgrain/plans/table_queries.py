@@ -58,9 +58,11 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", bits("doc_id").alias("gold"), bits("doc_id", 31).alias("guess"))
 
 
-def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def annotations(spark: SparkSession, sf_dir: str, one_line: bool = False) -> DataFrame:
     """One row per set bit, in an order that depends on the id, and each twice."""
     docs = table(spark, sf_dir, "documents")
+    if one_line:
+        docs = spread(docs).withColumn("text", T.strip(_one_line(F.col("text"))))
     names = F.array(*[F.lit(t) for t in sorted(TAG_IDS, key=TAG_IDS.get)])
     places = F.sequence(F.lit(0), F.lit(2 * WIDTH - 1))
     rows = docs.select("doc_id", "text", F.col("source").alias("keyword"), F.col("lang").alias("country"),
@@ -332,7 +334,7 @@ def graded_file(spark, sf_dir):
 
 def annotation_file(spark, sf_dir):
     """Annotations written as a ten-field TSV file, read back and grouped."""
-    rows = annotations(spark, sf_dir).withColumn("text", T.strip(_one_line(F.col("text"))))
+    rows = annotations(spark, sf_dir, one_line=True)
     line = F.concat_ws(
         "\t", "par_id", "art_id", "text", "keyword", "country", F.lit("0"), F.lit("4"), F.lit("span"), "tag", F.lit("2")
     )

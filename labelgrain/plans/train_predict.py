@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from labelgrain.functions.labels import normalise_key, vote_label
 from labelgrain.operators import classify, splits, trials
+from labelgrain.operators.shared import materialise
 from labelgrain.sources import sinks
 from labelgrain.sources.readers import read_graded, read_split, read_unlabelled
 
@@ -39,8 +40,11 @@ def train_and_predict(
     sinks.append_metrics(log, f"{out_dir}/training_metrics")
     model.write().overwrite().save(f"{out_dir}/model")
     threshold = trials.best_trial(log).first()["threshold"]
-    dev_scored = classify.predict(model, dev, threshold)
+    # two narrow columns are stored, so that sorting and writing score no text again
+    dev_scored, test_scored = (
+        materialise(classify.predict(model, part, threshold).select("row_no", "prob", "pred")) for part in (dev, test)
+    )
     sinks.write_label_lines(dev_scored, f"{out_dir}/dev.txt", "pred")
     sinks.write_probs(dev_scored, f"{out_dir}/dev_probs")
-    sinks.write_label_lines(classify.predict(model, test, threshold), f"{out_dir}/test.txt", "pred")
+    sinks.write_label_lines(test_scored, f"{out_dir}/test.txt", "pred")
     return model, log

@@ -1,4 +1,8 @@
-"""Writers. Ordered text goes out as part files whose names keep the order."""
+"""Writers. Ordered text goes out as part files whose names keep the order.
+
+A distributed sort reads its input twice, once to choose the ranges; store an
+input that is expensive to compute before it is written in order.
+"""
 
 from __future__ import annotations
 
