@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from labelgrain.llm.decontamination import benchmark_overlaps
 from labelgrain.llm.exact_dedup import exact_groups
 from labelgrain.llm.language_id import identify_languages
+from labelgrain.llm.packing import pack_sequences
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -24,4 +35,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_exact_dedup, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_decontamination, op6_exact_dedup, op10_language_id)}
