@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from labelgrain.llm.decontamination import benchmark_overlaps
 from labelgrain.llm.exact_dedup import exact_groups
+from labelgrain.llm.jaccard_join import similar_groups
 from labelgrain.llm.language_id import identify_languages
 from labelgrain.llm.packing import pack_sequences
 
@@ -31,8 +32,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_decontamination, op6_exact_dedup, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_decontamination, op6_exact_dedup, op8_jaccard_join, op10_language_id)}
