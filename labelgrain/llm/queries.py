@@ -12,6 +12,7 @@ from labelgrain.llm.exact_dedup import exact_groups
 from labelgrain.llm.jaccard_join import similar_groups
 from labelgrain.llm.language_id import identify_languages
 from labelgrain.llm.packing import pack_sequences
+from labelgrain.llm.suffix_dedup import repeat_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,4 +45,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op4_decontamination, op6_exact_dedup, op8_jaccard_join, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op3_suffix_dedup, op4_decontamination, op6_exact_dedup, op8_jaccard_join, op10_language_id)}
