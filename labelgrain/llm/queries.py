@@ -11,8 +11,10 @@ from labelgrain.llm.decontamination import benchmark_overlaps
 from labelgrain.llm.exact_dedup import exact_groups
 from labelgrain.llm.jaccard_join import similar_groups
 from labelgrain.llm.language_id import identify_languages
+from labelgrain.llm.line_dedup import repeated_lines
 from labelgrain.llm.packing import pack_sequences
 from labelgrain.llm.suffix_dedup import repeat_digests
+from labelgrain.llm.tool_calls import TURN_SCHEMAS, link_tool_calls, turns_as_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -33,6 +39,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_tool_calls(*turns_as_calls(table(spark, sf_dir, "conversations")), TURN_SCHEMAS)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,4 +55,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_best_fit_packing, op3_suffix_dedup, op4_decontamination, op6_exact_dedup, op8_jaccard_join, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_best_fit_packing, op3_suffix_dedup, op4_decontamination, op5_tool_calls, op6_exact_dedup, op8_jaccard_join, op10_language_id)}
