@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from labelgrain.llm.co_training import quality_scores
 from labelgrain.llm.decontamination import benchmark_overlaps
 from labelgrain.llm.exact_dedup import exact_groups
 from labelgrain.llm.jaccard_join import similar_groups
@@ -14,6 +15,7 @@ from labelgrain.llm.language_id import identify_languages
 from labelgrain.llm.line_dedup import repeated_lines
 from labelgrain.llm.packing import pack_sequences
 from labelgrain.llm.suffix_dedup import repeat_digests
+from labelgrain.llm.token_counts import redacted_counts
 from labelgrain.llm.tool_calls import TURN_SCHEMAS, link_tool_calls, turns_as_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,12 +49,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redacted_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_best_fit_packing, op3_suffix_dedup, op4_decontamination, op5_tool_calls, op6_exact_dedup, op8_jaccard_join, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op2_best_fit_packing, op3_suffix_dedup, op4_decontamination, op5_tool_calls, op6_exact_dedup, op7_quality_classifier, op8_jaccard_join, op9_token_counts, op10_language_id)}
