@@ -284,7 +284,10 @@ def bucket_rows(entries: DataFrame, counters, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, counters, width: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose texts are similar."""
+    """The pairs ``a``, ``b`` whose texts are similar.
+
+    Pairs and texts both grow with the input, so neither side is broadcast.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, np.ndarray] | None = None
@@ -300,7 +303,7 @@ def verified(pairs: DataFrame, texts: DataFrame, counters, width: int, percent:
 
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("right"))
     left = texts.select(F.col("doc").alias("a"), F.col("text").alias("left"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
 def sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -349,7 +352,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
     wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).union(members.select("class")).distinct()
-    texts = stored(source.join(wanted, "doc", "left_semi"))
+    texts = stored(source.join(wanted.hint("merge"), "doc", "left_semi"))
     links = stored(verified(pairs, texts, counters, width, percent))
     known = components(links)
 

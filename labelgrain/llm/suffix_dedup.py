@@ -125,8 +125,8 @@ def smallest_windows(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def open_strings(n: int, offsets: np.ndarray, last: np.ndarray, covered: list, versions: list) -> np.ndarray:
     """Which places begin a string that lies in one text and in no settled phrase."""
     change = np.zeros(n + 2, dtype=np.int32)
-    np.add.at(change, np.maximum(offsets[:-1], 0), 1)
-    np.add.at(change, last, -1)
+    np.add.at(change, np.clip(offsets[:-1], 0, n), 1)
+    np.add.at(change, np.minimum(last, n), -1)
     for i, ranges in enumerate(covered):
         for r in ranges or ():
             if r["version"] == versions[i]:
