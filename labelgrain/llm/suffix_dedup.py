@@ -344,7 +344,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return table.join(found, "doc", "left").select("doc", "version", "text", "ranges")
 
 
-def map_kept(rows: DataFrame, schema: str, of: Callable[[int | None, bytes, list[tuple[int, int]]], tuple]) -> DataFrame:
+def map_kept(rows: DataFrame, schema: str, kinds: list[pa.DataType], of: Callable[[int | None, bytes, list[tuple[int, int]]], tuple]) -> DataFrame:
     """One row per text: what ``of`` makes of its id, bytes and removed spans."""
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -356,7 +356,7 @@ def map_kept(rows: DataFrame, schema: str, of: Callable[[int | None, bytes, list
                 own = [(r["start"], r["end"]) for r in ranges.as_py() or () if r["version"] == version.as_py()]
                 made.append(of(doc.as_py(), data, spans(len(data), own)))
             columns = list(zip(*made, strict=True)) if made else [[] for _ in names]
-            yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return rows.mapInArrow(work, schema)
 
@@ -373,7 +373,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return doc, kept_bytes(data, removed), [{"start": a, "end": b} for a, b in removed]
 
     schema = f"{id_col} bigint, kept binary, spans array<struct<start:bigint,end:bigint>>"
-    return map_kept(repeated_spans(docs, id_col, text_col), schema, of)
+    kinds = [pa.int64(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+    return map_kept(repeated_spans(docs, id_col, text_col), schema, kinds, of)
 
 
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -384,4 +385,5 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return doc, len(data), sum(b - a for a, b in removed), len(removed), digest
 
     schema = f"{id_col} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return map_kept(repeated_spans(docs, id_col, text_col), schema, of)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    return map_kept(repeated_spans(docs, id_col, text_col), schema, kinds, of)

@@ -1,0 +1,145 @@
+"""Benchmark overlaps, tool calls and the pipeline."""
+
+import json
+import os
+import random
+
+import pytest
+
+import corpus_pipeline
+from labelgrain.llm.decontamination import benchmark_overlaps, drop_contaminated
+from labelgrain.llm.tool_calls import link_tool_calls
+
+from corpus import frame, prose, texts
+
+TABLES = "/root/testdata/sf0.001"
+
+
+def test_overlaps(spark):
+    rnd = random.Random(1)
+    items = [(k, prose(rnd, n)) for k, n in enumerate([40, 25, 12, 7, 3, 5000])] + [(50, None), (51, ""), (None, prose(rnd, 30))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    words = items[0][1].split()
+    changed = words.copy()
+    for k in (5, 12, 20, 33):
+        changed[k] = "other"
+    long = items[5][1].split()[4090:4150]
+    rows = [
+        (1, prose(rnd, 30) + "\n" + items[0][1].upper() + " " + prose(rnd, 9)),
+        (2, prose(rnd, 11) + " " + " ".join(changed)),
+        (3, " ".join(words[10:22])),
+        (4, " ".join(words[10:18]) + " " + prose(rnd, 20)),
+        (5, items[3][1] + " tail"),
+        (6, items[4][1]),
+        (7, prose(rnd, 20) + " " + " ".join(long)),
+        (8, None),
+        (9, ""),
+        (None, items[1][1]),
+        (10, prose(rnd, 200)),
+    ]
+    found = {(r.doc_id, r.item_id): (r.doc_start, r.item_start, r.n_words, r.n_equal) for r in benchmark_overlaps(frame(spark, rows), bench).collect()}
+    assert found == {
+        (1, 0): (30, 0, 40, 40),
+        (2, 0): (11, 0, 40, 36),
+        (3, 0): (0, 10, 12, 12),
+        (5, 3): (0, 0, 7, 7),
+        (7, 5): (20, 4090, 60, 60),
+        (None, 1): (0, 0, 25, 25),
+    }
+    kept = drop_contaminated(frame(spark, rows), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 6, 8, 9, 10] and kept.columns == frame(spark, rows).columns
+    assert benchmark_overlaps(frame(spark, []), bench).count() == 0
+    assert benchmark_overlaps(frame(spark, rows), bench.where("item_id > 60")).count() == 0
+    assert drop_contaminated(frame(spark, rows), bench.where("item_id > 60")).count() == len(rows)
+
+
+SCHEMAS = {"add": {"a": ("integer", True), "b": ("number", True), "note": ("string", False)}, "ping": {}}
+
+
+def test_tool_calls(spark):
+    calls = [
+        (1, 0, "x", "add", '{"b": 2.5, "a": 1}', None, "extra"),
+        (1, 2, "y", "add", '{"a": "1", "z": 1}', "x", "extra"),
+        (1, 4, "z", "ping", "{}", "y", "extra"),
+        (1, 6, "w", "ping", "[1]", "gone", "extra"),
+        (2, 0, "p", "ping", "{}", "q", "extra"),
+        (2, 2, "q", "ping", "{}", "p", "extra"),
+        (3, 0, None, "ping", "{}", "x", "extra"),
+        (3, 1, "n", None, None, "n", "extra"),
+        (3, 2, "u", "fly", "no json", None, "extra"),
+        (4, 0, "x", "ping", "{}", None, "extra"),
+        (4, 1, "v", "add", '{"a":1,"b":2,"note":null}', "z", "extra"),
+    ]
+    results = [("x", 1, "3.5\n\"ok\""), ("x", 3, "later"), ("z", 5, None), ("lost", 1, "r"), (None, 1, "r")]
+    found = link_tool_calls(
+        spark.createDataFrame(calls, "conv_id bigint, turn bigint, call_id string, tool string, arguments string, after string, result string"),
+        spark.createDataFrame(results, "call_id string, turn bigint, content string"),
+        SCHEMAS,
+    ).collect()
+    by_id = {r.call_id: r for r in found}
+    assert len(found) == len(calls) - 1
+    assert {k: (r.depth, r.status, r.problems) for k, r in by_id.items()} == {
+        "x": (0, "ok", ""),
+        "y": (1, "invalid", "a is no integer; missing b; unknown z"),
+        "z": (2, "ok", ""),
+        "w": (0, "invalid", "no object"),
+        "p": (None, "circular", ""),
+        "q": (None, "circular", ""),
+        None: (None, "no id", ""),
+        "n": (None, "circular", "no tool"),
+        "u": (0, "invalid", "unknown tool fly"),
+        "v": (3, "invalid", "note is no string"),
+    }
+    assert by_id["x"].line == '{"after":null,"arguments":{"a":1,"b":2.5},"id":"x","result":"3.5\\n\\"ok\\"","tool":"add"}'
+    for r in found:
+        assert list(json.loads(r.line)) == ["after", "arguments", "id", "result", "tool"]
+    empty = spark.createDataFrame([], "conv_id bigint, turn bigint, call_id string, tool string, arguments string, after string")
+    assert link_tool_calls(empty, spark.createDataFrame(results, "call_id string, turn bigint, content string"), SCHEMAS).count() == 0
+
+
+def test_a_long_chain_of_calls(spark):
+    calls = [(1, i, f"c{i:03}", "ping", "{}", f"c{i - 1:03}" if i else None) for i in range(100)]
+    frame_ = spark.createDataFrame(calls, "conv_id bigint, turn bigint, call_id string, tool string, arguments string, after string")
+    found = link_tool_calls(frame_, spark.createDataFrame([], "call_id string, turn bigint, content string"), SCHEMAS).collect()
+    assert all(r.depth == r.turn and r.status == "no result" for r in found)
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_pipeline_equals_its_stages_by_brute_force(spark):
+    """Each stage's rows follow from its input by a plain computation."""
+    import re
+
+    from test_dedup import roots, shingles
+
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    expected = {i: t for i, t in rows.items() if t and any(c.isalpha() for c in t)}
+    first = {}
+    for i in sorted(expected):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", expected[i]), i)
+    expected = {i: rows[i] for i in first.values()}
+    sets = {i: shingles(t) for i, t in expected.items()}
+    links = [(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) > 0]
+    expected = {i: rows[i] for i in set(roots(sets, links).values())}
+    after = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = corpus_pipeline.stored(stage(spark, docs, TABLES))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        after[name] = {r.doc_id for r in docs.collect()}
+    assert after["jaccard_join"] == set(expected)
+    items = [r.text for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").collect()]
+    held = {i for i, t in expected.items() if any(" ".join(x.split()) in " ".join(t.split()) for x in items if len(x.split()) >= 5)}
+    assert after["decontamination"] == set(expected) - held
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, TABLES).collect()
+    assert {r.doc_id for r in packed} == after["decontamination"]
+
+
+def test_pipeline_of_an_empty_table_and_odd_rows(spark, tmp_path):
+    rows = [(None, "some text here"), (1, None), (2, ""), (3, "a"), (3, "a"), (4, "a  b\n"), (5, "a b ")]
+    for name, part in (("none", []), ("odd", rows)):
+        folder = f"file://{tmp_path}/{name}"
+        frame(spark, part).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(1, "x y")], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+        found = {(r.doc_id, r.length) for r in corpus_pipeline.run(spark, folder).collect()}
+        assert {i for i, _ in found} == ({None, 3, 4} if part else set())
+    assert texts()
