@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,10 +51,10 @@ def positive_probability(logit0: Column, logit1: Column) -> Column:
 
 
 def decide(prob: Column, threshold: float | Column = DEFAULT_THRESHOLD) -> Column:
-    """1 when ``prob >= threshold``, compared in single precision; NaN is 0."""
+    """1 when ``prob >= threshold``, compared in single precision; NaN and null are 0."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     p = prob.cast("float")
-    return (~F.isnan(p) & (p >= t.cast("float"))).cast("int")
+    return F.coalesce(~F.isnan(p) & (p >= t.cast("float")), F.lit(False)).cast("int")
 
 
 def correct(pred: Column, gold: Column) -> Column:
@@ -81,27 +83,82 @@ def bin_label(ordinal: Column, labels: tuple = LENGTH_LABELS) -> Column:
     return F.get(F.array(*[F.lit(x) for x in labels]), ordinal)
 
 
+#: The log-odds of the smallest probability that a double can hold.
+LARGEST_MARGIN = 745.0
+
+
+def margin_of(prob: Column) -> Column:
+    """Log-odds of a probability; those of 0 and 1 are as far out as a double tells."""
+    p = prob.cast("double")
+    odds = F.ln(p) - F.log1p(-p)
+    return F.when(p == 0, -LARGEST_MARGIN).when(p == 1, LARGEST_MARGIN).otherwise(odds)
+
+
+def log_probability(margin: Column) -> Column:
+    """Log of the probability that has these log-odds, finite for any finite ones."""
+    return -(F.greatest(-margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin))))
+
+
 def focal_loss(
-    prob: Column, label: Column, alpha: Column, gamma: float = FOCAL_GAMMA,
+    margin: Column, label: Column, alpha: Column, gamma: float = FOCAL_GAMMA,
     smoothing: float = LABEL_SMOOTHING,
 ) -> Column:
     """Class-weighted focal loss of one row with smoothed two-class targets.
 
-    ``prob`` is the probability of class 1; the probability of the labelled
+    ``margin`` is the log-odds of class 1; the probability of the labelled
     class drives both the focusing weight and the cross entropy.
     """
-    p = F.when(label == 1, prob).otherwise(1.0 - prob)
-    entropy = -((1.0 - smoothing) * F.ln(p) + smoothing * F.ln(1.0 - p))
-    return alpha * F.pow(1.0 - p, F.lit(float(gamma))) * entropy
+    own = F.when(label == 1, margin).otherwise(-margin)
+    entropy = -((1.0 - smoothing) * log_probability(own) + smoothing * log_probability(-own))
+    return alpha * F.exp(float(gamma) * log_probability(-own)) * entropy
 
 
 def fixed_point(value: Column, digits: int, suffix: str = "") -> Column:
-    """Text with a fixed number of decimals, for small report tables."""
-    return F.format_string(f"%.{digits}f{suffix}", value)
+    """Text with a fixed number of decimals, rounded half to even on the exact binary value.
+
+    The scaled value is a double and the error of its product, found by
+    splitting both factors in halves; the error only matters where the double
+    alone lies on a tie. For values whose scaled size is below 2 to the 52nd;
+    larger ones have no fraction to round and are printed as they are.
+    """
+    scale = float(10**digits)
+    half = scale * 134217729.0
+    scale_high = half - (half - scale)
+    scale_low = scale - scale_high
+
+    def rounded(x: Column) -> Column:
+        def near(p):
+            high = p["carry"] - (p["carry"] - x)
+            low = x - high
+            error = ((high * scale_high - p["product"]) + high * scale_low + low * scale_high) + low * scale_low
+            whole = F.rint(p["product"])
+            gap = p["product"] - whole
+            return whole + F.when((gap == 0.5) & (error > 0), 1.0).when((gap == -0.5) & (error < 0), -1.0).otherwise(0.0)
+
+        return _let(F.struct((x * scale).alias("product"), (x * 134217729.0).alias("carry")), near)
+
+    def text(x: Column) -> Column:
+        figures = F.abs(rounded(x)).cast("decimal(20,0)").cast("string")
+        padded = _let(figures, lambda f: F.lpad(f, F.greatest(F.length(f), F.lit(digits + 1)), F.lit("0")))
+        pointed = _let(padded, lambda f: F.concat(F.substring(f, F.lit(1), F.length(f) - digits), F.lit("."), F.right(f, F.lit(digits)))) if digits else padded
+        sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+        return (
+            F.when(F.isnan(x), "nan")
+            .when(F.abs(x) == float("inf"), F.concat(sign, F.lit("inf")))
+            .when(F.abs(x * scale) >= float(1 << 52), F.format_string(f"%.{digits}f", x))
+            .otherwise(F.concat(sign, pointed))
+        )
+
+    return F.concat(_let(value.cast("double"), text), F.lit(suffix))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def python_float_text(value: Column) -> Column:
-    """A double the way Python prints it: no ``E``, exponents from 1e-05 down."""
+    """A double below ten million the way Python prints it: no ``E``, exponents from 1e-05 down."""
     text = value.cast("string")
     plain = F.rtrim(value.cast("decimal(38,30)").cast("string"), F.lit("0"))
     tiny = F.regexp_replace(

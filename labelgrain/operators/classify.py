@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgrain.fixed_values import DEFAULT_THRESHOLD, MAX_TOKENS
+from labelgrain.fixed_values import DEFAULT_THRESHOLD
 from labelgrain.functions import numbers as N
 from labelgrain.functions.labels import fail_when
 from labelgrain.operators.curves import best_threshold, threshold_sweep
@@ -26,27 +26,43 @@ LOG_SCHEMA = "epoch int, train_loss double, dev_f1_05 double, best_tuned_f1 doub
 
 @dataclass(frozen=True)
 class Params:
-    """Settings of one trial. ``max_tokens=None`` uses whole texts."""
+    """Settings of one trial. ``max_tokens`` cuts texts and ``min_doc_freq`` leaves out features of fewer texts."""
 
     features: int = 1 << 18
     max_iter: int = 20
     reg: float = 0.01
     elastic_net: float = 0.0
-    max_tokens: int | None = MAX_TOKENS
-    min_doc_freq: int = 2
+    max_tokens: int | None = None
+    min_doc_freq: int = 0
 
 
-def _feature_stages(text_col: str, params: Params) -> list:
+def _term_stages(text_col: str, params: Params) -> list:
     words = f"filter(split(lower(coalesce(`{text_col}`, '')), '(?U)[\\\\s\\\\x1c-\\\\x1f]+'), t -> t <> '')"
     if params.max_tokens is not None:
         words = f"slice({words}, 1, {int(params.max_tokens)})"
     return [
         SQLTransformer(statement=f"SELECT *, {words} AS _tokens FROM __THIS__"),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=params.features),
-        IDF(inputCol="_tf", outputCol="_features", minDocFreq=params.min_doc_freq),
     ]
 
 
+def _idf(params: Params) -> IDF:
+    return IDF(inputCol="_tf", outputCol="_features", minDocFreq=params.min_doc_freq)
+
+
+def term_vectors(df: DataFrame, text_col: str, params: Params = Params()) -> DataFrame:
+    """``df`` with hashed term counts, ``_tf``, in place of its text; stored, so that texts are read once.
+
+    The other functions here take it wherever they take texts.
+    """
+    terms = PipelineModel(stages=_term_stages(text_col, params)).transform(df)
+    return materialise(terms.drop("_tokens", text_col))
+
+
+def _with_terms(df: DataFrame, text_col: str, params: Params) -> DataFrame:
+    return df if "_tf" in df.columns else term_vectors(df, text_col, params)
+
+
 def _regression(label_col: str, params: Params) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="_features", labelCol=label_col, weightCol="_weight", probabilityCol="_probability",
@@ -66,28 +82,35 @@ def _weighted(df: DataFrame, label_col: str, weights: DataFrame) -> DataFrame:
 def fit_classifier(
     df: DataFrame, text_col: str, label_col: str, weights: DataFrame, params: Params = Params()
 ) -> PipelineModel:
-    """Hashed TF-IDF and logistic regression, rows weighted by class."""
-    stages = [*_feature_stages(text_col, params), _regression(label_col, params)]
-    return Pipeline(stages=stages).fit(_weighted(df, label_col, weights))
+    """Hashed TF-IDF and logistic regression, rows weighted by class; texts are tokenised once."""
+    terms = _weighted(_with_terms(df, text_col, params), label_col, weights)
+    learned = Pipeline(stages=[_idf(params), _regression(label_col, params)]).fit(terms)
+    return PipelineModel(stages=[*_term_stages(text_col, params), *learned.stages])
 
 
-def score(model: PipelineModel, df: DataFrame, prob_col: str = "prob") -> DataFrame:
-    """``df`` with the single-precision probability of class 1."""
+def score(model: PipelineModel, df: DataFrame, prob_col: str = "prob", margin_col: str | None = None) -> DataFrame:
+    """``df`` with the single-precision probability of class 1, and with its log-odds if they are named."""
+    if "_tf" in df.columns:
+        model = PipelineModel(stages=[s for s in model.stages if not isinstance(s, (SQLTransformer, HashingTF))])
     scored = model.transform(df)
     helpers = [c for c in scored.columns if c.startswith("_") and c not in df.columns]
-    prob = vector_to_array(F.col("_probability"))[1].cast("float")
-    return scored.withColumn(prob_col, prob).drop(*helpers)
+    scored = scored.withColumn(prob_col, vector_to_array(F.col("_probability"))[1].cast("float"))
+    if margin_col:
+        scored = scored.withColumn(margin_col, vector_to_array(F.col("_raw"))[1])
+    return scored.drop(*helpers)
 
 
 def run_trials(
     train: DataFrame, dev: DataFrame, grid: Sequence[Params], text_col: str = "text",
-    label_col: str = "label",
+    label_col: str = "label", after_trial: Callable[[DataFrame, PipelineModel | None], None] | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit every parameter set; return the best model and the log.
 
-    The best trial is the earliest with the highest tuned dev F1. Features are
-    computed once per feature setting and kept for its trials; a trial sends
-    four numbers to the driver.
+    The best trial is the earliest with the highest tuned dev F1, or the last one
+    as long as none is above 0. ``after_trial`` gets each trial's log row, and
+    its model if it is the best so far, so that a job that dies keeps what is
+    done. Features are computed once per feature setting and kept for its
+    trials; a trial sends four numbers to the driver.
     """
     if not grid:
         raise ValueError("grid is empty")
@@ -102,15 +125,19 @@ def run_trials(
                 prepared.release()
             prepared = _Prepared(setting, params, weighted, dev, text_col, label_col)
         regression = PipelineModel(stages=[_regression(label_col, params).fit(prepared.train)])
-        loss = dataset_loss(score(regression, prepared.train), "prob", label_col, weights).first()["loss"]
+        fitted = score(regression, prepared.train, margin_col="_margin")
+        loss = dataset_loss(fitted, "_margin", label_col, weights, log_odds=True).first()["loss"]
         scored = score(regression, prepared.dev).select(label_col, "prob")
         at_half = scored.withColumn("pred", N.decide(F.col("prob"), DEFAULT_THRESHOLD))
         f1_half = binary_scores(at_half, label_col, "pred").first()["f1"]
         tuned = best_threshold(threshold_sweep(scored, "prob", label_col)).first()
         rows.append((epoch, loss, f1_half, tuned["f1"], tuned["threshold"]))
-        if best_f1 is None or tuned["f1"] > best_f1:
+        best_now = not best_f1 or tuned["f1"] > best_f1
+        if best_now:
             best_f1 = tuned["f1"]
-            best_model = PipelineModel(stages=[*prepared.features.stages, *regression.stages])
+            best_model = PipelineModel(stages=[*prepared.stages, *regression.stages])
+        if after_trial:
+            after_trial(spark.createDataFrame(rows[-1:], LOG_SCHEMA), best_model if best_now else None)
     prepared.release()
     return best_model, spark.createDataFrame(rows, LOG_SCHEMA)
 
@@ -120,12 +147,14 @@ class _Prepared:
 
     def __init__(self, setting, params, weighted, dev, text_col, label_col):
         self.setting = setting
-        self.features = Pipeline(stages=_feature_stages(text_col, params)).fit(weighted)
-        self.train = self._keep(weighted.select(text_col, label_col, "_weight"), label_col, "_weight")
-        self.dev = self._keep(dev.select(text_col, label_col), label_col)
-
-    def _keep(self, part, *cols):
-        return self.features.transform(part).select(*cols, "_features").persist(StorageLevel.MEMORY_AND_DISK)
+        terms = _with_terms(weighted, text_col, params)
+        self.idf = _idf(params).fit(terms)
+        self.stages = [*_term_stages(text_col, params), self.idf]
+        self.train = self._keep(terms, label_col, "_weight")
+        self.dev = self._keep(_with_terms(dev, text_col, params), label_col)
+
+    def _keep(self, terms, *cols):
+        return self.idf.transform(terms).select(*cols, "_features").persist(StorageLevel.MEMORY_AND_DISK)
 
     def release(self):
         self.train.unpersist()

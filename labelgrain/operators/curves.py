@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from labelgrain.fixed_values import DEFAULT_THRESHOLD, GRID_HIGH, GRID_LOW, GRID_STEP, NOMINAL_THRESHOLD
 from labelgrain.functions import numbers as N
+from labelgrain.functions.labels import fail_when
 from labelgrain.operators.shared import materialise
 
 
@@ -114,8 +115,13 @@ def _range_bounds(counts: DataFrame, ranges: int) -> list[float]:
 
 
 def score_counts(df: DataFrame, score_col: str, label_col: str) -> DataFrame:
-    """Rows and positives of every distinct score: ties collapse before any sort."""
-    scored = df.select(F.col(score_col).alias("score"), (F.col(label_col) == 1).alias("gold"))
+    """Rows and positives of every distinct score: ties collapse before any sort.
+
+    A score that is null or NaN raises.
+    """
+    score = F.col(score_col)
+    missing = score.isNull() | F.isnan(score.cast("double"))
+    scored = df.select(fail_when(missing, "a score is missing", score).alias("score"), (F.col(label_col) == 1).alias("gold"))
     return scored.groupBy("score").agg(
         F.count_if(F.col("gold")).alias("positives"), F.count_if(~F.col("gold")).alias("negatives")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labelgrain.fixed_values import FOCAL_GAMMA, LABEL_SMOOTHING, LENGTH_EDGES, LENGTH_LABELS, VECTOR_NAMES
 from labelgrain.functions import numbers as N
+from labelgrain.functions.labels import fail_when
 
 COUNTS = ("tp", "fp", "fn", "tn")
 
@@ -31,6 +32,10 @@ def count_exprs(gold: Column, pred: Column) -> list[Column]:
 def confusion_counts(
     df: DataFrame, label_col: str, pred_col: str, group_cols: Sequence[str] = ()
 ) -> DataFrame:
+    """The counts, overall or per group; raises at a label or prediction that is neither 0 nor 1."""
+    bad = ~(F.col(label_col).isin(0, 1) & F.col(pred_col).isin(0, 1))
+    message = F.concat_ws(" ", F.lit("label and prediction must be 0 or 1, not"), *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (label_col, pred_col)))
+    df = df.where(fail_when(F.coalesce(bad, F.lit(True)), message, F.lit(True)))
     return df.groupBy(*group_cols).agg(*count_exprs(F.col(label_col), F.col(pred_col)))
 
 
@@ -199,11 +204,14 @@ def length_bin_errors(
 
 
 def dataset_loss(
-    df: DataFrame, prob_col: str, label_col: str, weights: DataFrame,
-    gamma: float = FOCAL_GAMMA, smoothing: float = LABEL_SMOOTHING,
+    df: DataFrame, score_col: str, label_col: str, weights: DataFrame,
+    gamma: float = FOCAL_GAMMA, smoothing: float = LABEL_SMOOTHING, log_odds: bool = False,
 ) -> DataFrame:
     """Mean class-weighted focal loss of a scored two-class table.
 
+    ``score_col`` is the probability of class 1, or its log-odds, which keep what
+    a probability near 0 or 1 loses. A row without a loss raises.
+
     ``weights`` has ``label`` and ``weight``. Only its rows for classes 0 and 1
     take part, folded into one row and read as a scalar, so nothing is joined.
     """
@@ -216,5 +224,7 @@ def dataset_loss(
     gold = F.col(label_col)
     weight = two.scalar()
     alpha = F.when(gold == 1, weight["w1"]).otherwise(weight["w0"])
-    loss = N.focal_loss(F.col(prob_col).cast("double"), gold, alpha, gamma, smoothing)
-    return df.agg(F.avg(loss).alias("loss"), F.count(F.lit(1)).alias("n"))
+    margin = F.col(score_col).cast("double") if log_odds else N.margin_of(F.col(score_col))
+    loss = N.focal_loss(margin, gold, alpha, gamma, smoothing)
+    whole = fail_when(loss.isNull() | F.isnan(loss), "a row has no loss: no score, label or class weight", loss)
+    return df.agg(F.avg(whole).alias("loss"), F.count(F.lit(1)).alias("n"))

@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: what ``spark.checkpoint.dir`` names.
-
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
+    """The folder for intermediate tables: what ``spark.checkpoint.dir`` names, else the warehouse folder."""
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="labelgrain-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -31,32 +22,18 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give heavy per-row work on a small input all cores.
-
-    An input with fewer splits than the session has cores is dealt out over
-    them; one with enough splits, as any large input has, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def top_per_group(
     df: DataFrame, group_cols: list[str], order: list[Column], k: int, spread_cols: list[str]
 ) -> DataFrame:
     """The first ``k`` rows of every group, with their ``rank``.
 
-    Spark prunes each partition to ``k`` rows per group before the shuffle as
-    long as ``k`` is within its group-limit threshold. Beyond it, groups are
-    first cut down in ``spread_cols`` buckets so that no task gets a whole one.
+    Groups are first cut down in ``spread_cols`` buckets, so that no task gets a
+    whole one, whatever ``k`` is.
     """
-    session = df.sparkSession
-    threshold = int(session.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > threshold:
-        buckets = int(session.conf.get("spark.sql.shuffle.partitions"))
-        df = df.withColumn("_bucket", F.pmod(F.hash(*spread_cols), F.lit(buckets)))
-        within = Window.partitionBy(*group_cols, "_bucket").orderBy(*order)
-        df = df.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= k)
-        df = df.drop("_bucket", "_rank")
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.withColumn("_bucket", F.pmod(F.hash(*spread_cols), F.lit(buckets)))
+    within = Window.partitionBy(*group_cols, "_bucket").orderBy(*order)
+    df = df.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= k)
+    df = df.drop("_bucket", "_rank")
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order)))
     return ranked.where(F.col("rank") <= k)

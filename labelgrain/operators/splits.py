@@ -18,7 +18,7 @@ def keep_split(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     No broadcast hint: Spark picks one from the size it knows or measures, and
     splits hot keys of ``df`` when it has to shuffle.
     """
-    return df.join(ids.select(key).distinct(), key, "left_semi")
+    return df.join(ids.select(key), key, "left_semi")
 
 
 def attach_in_order(
@@ -33,15 +33,15 @@ def attach_in_order(
 
     Found and missing ids are joined apart. An inner join can broadcast a short
     list, so that a large ``df`` stays in place, and can split a hot key of
-    either side; a left join from the list can do neither. The missing ids only
-    read the key column.
+    either side; a left join from the list can do neither. What is found is
+    stored, so ``df`` is read once and the missing ids are those not in it.
     """
     if order_col not in ids.columns:
         raise ValueError(f"the id list has no column {order_col}")
     place = "_place"
     right = df.withColumnRenamed(order_col, place) if order_col in df.columns else df.withColumn(place, F.lit(0))
-    found = ids.join(right, key)
-    known = keep_split(right.select(key), ids, key).distinct()
+    found = materialise(ids.join(right, key))
+    known = found.select(key).distinct()
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
     rest = [c for c in ids.columns if c != key]
     joined = found.union(ids.join(known, key, "left_anti").select(key, *rest, *nulls))

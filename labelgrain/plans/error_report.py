@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from labelgrain.fixed_values import NOMINAL_THRESHOLD
 from labelgrain.functions.labels import normalise_key, vote_label
 from labelgrain.functions.numbers import correct
-from labelgrain.functions.text import ws_token_count
+from labelgrain.functions.text import snippet, ws_token_count
 from labelgrain.operators import curves, errors, metrics, splits
+from labelgrain.operators.shared import materialise
 from labelgrain.sources.readers import read_graded, read_label_lines, read_probs, read_split
 
 
@@ -20,25 +21,24 @@ def load_dev(
 
     Labels come from the votes in the split list. Predictions belong to rows by
     position; a different number of rows raises. Stored probabilities are added
-    as ``prob`` if there are any.
+    as ``prob`` if there are any. Of the texts only the token count and the
+    characters that the report shows are kept, and the table is stored, so its
+    reports read no file again.
     """
     corpus = read_graded(spark, corpus_path).drop("label", "orig_label")
     corpus = corpus.withColumn("par_id", normalise_key(F.col("par_id")))
-    corpus = corpus.withColumn("token_count", ws_token_count(F.col("text")))
+    corpus = corpus.withColumns({"token_count": ws_token_count(F.col("text")), "text": snippet(F.col("text"))})
     ids = read_split(spark, split_path).withColumn("label", vote_label(F.col("label")))
     dev = splits.attach_in_order(ids, corpus, "par_id", renumber=True)
     dev = splits.align(dev, read_label_lines(spark, pred_path, "pred"))
     probs = read_probs(spark, prob_path) if prob_path else None
     if probs is not None:
         dev = splits.align(dev, probs)
-    return dev.withColumn("correct", correct(F.col("pred"), F.col("label")))
+    return materialise(dev.withColumn("correct", correct(F.col("pred"), F.col("label"))))
 
 
 def error_report(dev: DataFrame, n_examples: int = 8, threshold: float = NOMINAL_THRESHOLD) -> dict[str, DataFrame]:
-    """The report's tables by name; the curve's tables only with ``prob``.
-
-    Each is a job of its own over ``dev``, so persist ``dev`` first.
-    """
+    """The report's tables by name; the curve's tables only with ``prob``."""
     tables = {
         "scores": metrics.binary_scores(dev, "label", "pred"),
         "confusion": metrics.confusion_matrix(dev, "label", "pred"),

@@ -334,6 +334,11 @@ ORDER BY abs(threshold - CAST(0.12 AS FLOAT)), threshold LIMIT 1""", CURVE),
 FROM (SELECT CASE WHEN label = 1 THEN p1 ELSE 1 - p1 END AS p,
              (SELECT count(*) FROM corpus)::DOUBLE / (2 * (SELECT count(*) FROM corpus c WHERE c.label = probs.label)) AS a FROM probs)""",
             "probs AS (SELECT label, 1 / (1 + exp((1000 - score_milli) / 500 - score_milli / 500)) AS p1 FROM corpus)"),
+        "dataset_loss_extreme": with_corpus(
+            """SELECT round(avg(a * exp(2.0 * lq) * -(0.9::DOUBLE * lp + 0.1::DOUBLE * lq)), 6) AS loss, count(*) AS n
+FROM (SELECT a, -(greatest(-z, 0) + ln(1 + exp(-abs(z)))) AS lp, -(greatest(z, 0) + ln(1 + exp(-abs(z)))) AS lq FROM margins)""",
+            """margins AS (SELECT (CASE WHEN label = 1 THEN 2 * score_milli - 1000 ELSE 1000 - 2 * score_milli END)::DOUBLE AS z,
+  (SELECT count(*) FROM corpus)::DOUBLE / (2 * (SELECT count(*) FROM corpus c WHERE c.label = corpus.label)) AS a FROM corpus)"""),
         "class_weights": with_corpus(
             """SELECT label, count(*) AS n, (SELECT count(*) FROM corpus)::DOUBLE / ((SELECT max(label) + 1 FROM corpus) * count(*))::DOUBLE AS weight
 FROM corpus GROUP BY label"""),
@@ -342,6 +347,10 @@ FROM corpus GROUP BY label"""),
         "class_counts": "SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang",
         "token_stats": with_corpus(stats("counted", "label"), f"counted AS (SELECT label, len({WS_TOKENS}) AS tokens FROM corpus)"),
         "word_token_stats": f"WITH counted AS (SELECT lang, len({word_chain('text')}) AS tokens FROM documents)" + stats("counted", "lang"),
+        "null_text_stats": f"""SELECT lang, count(*) AS n, count(*) FILTER (WHERE quality IS NULL) AS n_null,
+  CAST(sum(CASE WHEN quality IS NULL THEN 1 ELSE len({WS_TOKENS}) END) AS BIGINT) AS tokens,
+  CAST(sum(CASE WHEN quality IS NOT NULL THEN len({WS_TOKENS}) END) AS BIGINT) AS tokens_skipping
+FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""",
         "token_histogram": histogram(),
         "top_ngrams": with_corpus(*reversed_pair(ngrams("corpus", "doc_id", "label", LETTERS, "ngram"))),
         "top_ngrams_by_role": "WITH " + ngrams("conversations", "conv_id", "role", LETTERS, "ngram"),
@@ -361,6 +370,9 @@ FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id ORDER BY l.doc_id LIM
   md5(array_to_string(({WS_TOKENS})[1:128], ' ')) AS digest FROM documents""",
         "report_lines": with_corpus(
             """SELECT line, name, printf('%.4f', value) AS short, printf('%.1f%%', 100 * value) AS pct FROM named""", counts, s, NAMED),
+        "fixed_point_ties": "SELECT doc_id, " + ", ".join(
+            f"printf('%.{digits}f', (doc_id + {add}::DOUBLE) / {by}::DOUBLE) AS of{by}_{digits}"
+            for by, add in ((16, 0), (32, 0), (100, 0.05)) for digits in (1, 3, 4)) + " FROM documents",
         "score_file_lines": with_corpus(
             "SELECT line, name || ':' || CAST(value AS VARCHAR) AS value FROM named", counts, s, NAMED),
         "best_trial": with_corpus(
@@ -373,13 +385,17 @@ FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id ORDER BY l.doc_id LIM
         "graded_file": with_corpus(
             r"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_no, CAST(doc_id AS VARCHAR) AS par_id, '@art' AS art_id, keyword, country,
   md5(""" + ONE_LINE + """) AS text, label, orig_label FROM corpus"""),
+        "quoted_file": with_corpus(
+            r"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_no, CAST(doc_id AS VARCHAR) AS par_id, '@art' AS art_id, keyword, country,
+  md5('say "' || text || '"' || chr(9) || '.') AS text, label, orig_label FROM corpus"""),
         "annotation_file": rf"""WITH {annotations()},
 numbered AS (SELECT doc_id, keyword, text, tag_no, row_number() OVER (ORDER BY row_no) - 1 AS row_no FROM ann),
 seen AS (SELECT doc_id, keyword, text, tag_no, min(row_no) AS first_at FROM numbered GROUP BY ALL)
 SELECT CAST(min(first_at) AS BIGINT) AS row_no, CAST(doc_id AS VARCHAR) AS par_id, keyword, md5({ONE_LINE}) AS text,
   string_agg(CAST(tag_no AS VARCHAR), ',' ORDER BY first_at) AS ids FROM seen GROUP BY doc_id, keyword, text""",
-        "unlabelled_file": rf"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_no, CAST(doc_id AS VARCHAR) AS par_id,
-  '@art' AS art_id, source AS keyword, lang AS country, CASE WHEN lang <> 'en' THEN md5({ONE_LINE}) END AS text FROM documents""",
+        "unlabelled_file": rf"""SELECT 2 * (row_number() OVER (PARTITION BY line ORDER BY doc_id) - 1) + line AS row_no, CAST(doc_id AS VARCHAR) AS par_id,
+  '@art' AS art_id, source AS keyword, lang AS country, CASE WHEN line = 0 THEN md5({ONE_LINE}) END AS text
+FROM documents, (VALUES (0), (1)) AS lines(line)""",
         "split_file": f"""WITH {vectors()} SELECT row_number() OVER (ORDER BY v.doc_id DESC) - 1 AS row_no, CAST(v.doc_id AS VARCHAR) AS par_id,
   CAST(list_sum(gold) >= 2 AS INTEGER) AS label, CASE WHEN l.doc_id IS NOT NULL THEN len(d.text) END AS chars
 FROM vectors v JOIN documents d ON d.doc_id = v.doc_id LEFT JOIN labels l ON l.doc_id = v.doc_id""",
@@ -389,6 +405,10 @@ FROM vectors v JOIN documents d ON d.doc_id = v.doc_id LEFT JOIN labels l ON l.d
         "metrics_log": with_corpus("SELECT country, epoch, threshold, best_tuned_f1 FROM log", *trial_log()),
         "label_file_scores": with_corpus(f"SELECT *, {SCORES} FROM c", counts),
         "vector_file_scores": multilabel(),
+        "submission_scores": f"SELECT line, name, value FROM ({with_corpus('SELECT * FROM named', counts, s, NAMED)})"
+        f" UNION ALL SELECT position + 3, 'task2_' || label, f1 FROM ({multilabel()})",
+        "classifier_checks": "SELECT lang, count(*) AS n, count(*) AS n_ids, count(*) AS n_probabilities, count(*) AS n_decisions FROM documents GROUP BY lang",
+        "trial_checks": "SELECT CAST(epoch AS INTEGER) AS epoch, true AS on_grid, true AS finite_loss, true AS possible_f1 FROM (VALUES (1), (2)) AS trials(epoch)",
     }
 
 

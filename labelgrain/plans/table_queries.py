@@ -12,13 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgrain.fixed_values import GRADED_COLUMNS, TAG_IDS, VECTOR_NAMES
+from labelgrain.fixed_values import GRADED_COLUMNS, TAG_IDS, TASK_FILES, VECTOR_NAMES
 from labelgrain.functions import labels as L
 from labelgrain.functions import numbers as N
 from labelgrain.functions import text as T
 from labelgrain.operators import categories, classify, curves, errors, explore, metrics, splits, trials
-from labelgrain.operators.shared import shared_folder, spread
-from labelgrain.plans.score_files import named_binary_scores
+from labelgrain.operators.shared import shared_folder
+from labelgrain.plans.score_files import named_binary_scores, score_submission
 from labelgrain.sources import readers, sinks
 
 WIDTH = len(VECTOR_NAMES)
@@ -28,13 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def corpus(spark: SparkSession, sf_dir: str, text_work: bool = False) -> DataFrame:
-    """Labelled documents with grade, score and decision.
-
-    ``text_work`` announces heavy work on each text.
-    """
-    docs = table(spark, sf_dir, "documents")
-    joined = (spread(docs) if text_work else docs).join(table(spark, sf_dir, "labels"), "doc_id")
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with grade, score and decision."""
+    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     milli = F.col("toxic") * 300 + (F.col("doc_id") * 7919) % 700
     graded = joined.select(
         "doc_id", F.col("source").alias("keyword"), F.col("lang").alias("country"), "text", "toxic",
@@ -58,11 +54,15 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", bits("doc_id").alias("gold"), bits("doc_id", 31).alias("guess"))
 
 
-def annotations(spark: SparkSession, sf_dir: str, one_line: bool = False) -> DataFrame:
-    """One row per set bit, in an order that depends on the id, and each twice."""
+def annotations(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    """One row per set bit, in an order that depends on the id, and each twice.
+
+    ``in_order`` puts texts on one line and sorts documents before rows multiply,
+    so that each text moves once; row numbers rise with the ids.
+    """
     docs = table(spark, sf_dir, "documents")
-    if one_line:
-        docs = spread(docs).withColumn("text", T.strip(_one_line(F.col("text"))))
+    if in_order:
+        docs = docs.withColumn("text", T.strip(_one_line(F.col("text")))).orderBy("doc_id")
     names = F.array(*[F.lit(t) for t in sorted(TAG_IDS, key=TAG_IDS.get)])
     places = F.sequence(F.lit(0), F.lit(2 * WIDTH - 1))
     rows = docs.select("doc_id", "text", F.col("source").alias("keyword"), F.col("lang").alias("country"),
@@ -101,7 +101,7 @@ def confusion_matrix(spark, sf_dir):
 
 
 def length_bin_errors(spark, sf_dir):
-    counted = corpus(spark, sf_dir, text_work=True).withColumn("tokens", T.ws_token_count(F.col("text")))
+    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
     return metrics.length_bin_errors(counted, "tokens", "label", "pred")
 
 
@@ -183,6 +183,13 @@ def dataset_loss(spark, sf_dir):
     return loss.select(F.round("loss", 6).alias("loss"), "n")
 
 
+def dataset_loss_extreme(spark, sf_dir):
+    """Logits so far apart that most probabilities are 0 or 1 in double precision."""
+    rows = corpus(spark, sf_dir).withColumn("margin", (2 * F.col("score_milli") - 1000).cast("double"))
+    loss = metrics.dataset_loss(rows, "margin", "label", splits.class_weights(rows, "label"), log_odds=True)
+    return loss.select(F.round("loss", 6).alias("loss"), "n")
+
+
 def class_weights(spark, sf_dir):
     return splits.class_weights(corpus(spark, sf_dir), "label")
 
@@ -200,32 +207,44 @@ def _rounded_stats(stats):
 
 
 def token_stats(spark, sf_dir):
-    counted = corpus(spark, sf_dir, text_work=True).withColumn("tokens", T.ws_token_count(F.col("text")))
+    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
     return _rounded_stats(explore.token_stats(counted, "tokens", "label"))
 
 
 def word_token_stats(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents")).withColumn("tokens", F.size(T.word_tokens(T.coerce_null(F.col("text"), "nan"))))
+    docs = table(spark, sf_dir, "documents").withColumn("tokens", F.size(T.word_tokens(T.coerce_null(F.col("text"), "nan"))))
     return _rounded_stats(explore.token_stats(docs, "tokens", "lang"))
 
 
+def null_text_stats(spark, sf_dir):
+    """Words of all documents, of which those without a label have no text; null texts count as the word they are read as."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    texts = docs.select("lang", F.when(F.col("quality").isNotNull(), F.col("text")).alias("text"))
+    counted = texts.withColumns({"tokens": T.ws_token_count(T.coerce_null(F.col("text"), "nan")), "known": F.col("text").isNotNull()})
+    skipped = T.ws_token_count(T.coerce_null(F.col("text"), "skip"))
+    return counted.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("known")).alias("n_null"),
+        F.sum("tokens").alias("tokens"), F.sum(skipped).cast("bigint").alias("tokens_skipping"),
+    )
+
+
 def token_histogram(spark, sf_dir):
-    counted = corpus(spark, sf_dir, text_work=True).withColumn("tokens", T.ws_token_count(F.col("text")))
+    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
     bars = explore.histogram(counted, "tokens", "label")
     return bars.select("label", "bin", F.round("bin_from", 6).alias("bin_from"), F.round("bin_to", 6).alias("bin_to"), "n")
 
 
 def top_ngrams(spark, sf_dir):
-    return explore.top_ngrams(corpus(spark, sf_dir, text_work=True), "text", "label", k=15, tokeniser="letters")
+    return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, tokeniser="letters")
 
 
 def top_ngrams_by_role(spark, sf_dir):
-    return explore.top_ngrams(spread(table(spark, sf_dir, "conversations")), "text", "role", k=15, tokeniser="letters")
+    return explore.top_ngrams(table(spark, sf_dir, "conversations"), "text", "role", k=15, tokeniser="letters")
 
 
 def top_word_ngrams(spark, sf_dir):
     """Full word tokeniser, equal counts ranked by first appearance."""
-    return explore.top_ngrams(corpus(spark, sf_dir, text_work=True), "text", "label", k=15, order_col="doc_id")
+    return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, order_col="doc_id")
 
 
 def train_split(spark, sf_dir):
@@ -271,11 +290,6 @@ def hash_baseline(spark, sf_dir):
     )
 
 
-def random_baseline(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", L.random_bits(1).alias("one"), L.random_bits(WIDTH).alias("seven"))
-
-
 def truncated_text(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     kept = T.truncate_tokens(T.ws_tokens(F.col("text")))
@@ -286,10 +300,21 @@ def report_lines(spark, sf_dir):
     scores = named_binary_scores(binary_scores(spark, sf_dir))
     return scores.select(
         "line", "name", N.fixed_point(F.col("value"), 4).alias("short"),
-        N.fixed_point(100 * F.col("value"), 1, "%%").alias("pct"),
+        N.fixed_point(100 * F.col("value"), 1, "%").alias("pct"),
     )
 
 
+def fixed_point_ties(spark, sf_dir):
+    """Ids as sixteenths and thirty-seconds, many of them ties, with few decimals; and hundredths, which only look like ties."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    texts = {
+        f"{name}_{digits}": N.fixed_point((F.col("doc_id") + add) / F.lit(by), digits)
+        for name, by, add in (("of16", 16.0, 0), ("of32", 32.0, 0), ("of100", 100.0, 0.05))
+        for digits in (1, 3, 4)
+    }
+    return docs.select("doc_id", *[c.alias(n) for n, c in texts.items()])
+
+
 def score_file_lines(spark, sf_dir):
     scores = named_binary_scores(binary_scores(spark, sf_dir))
     return sinks.score_lines(scores)
@@ -319,40 +344,58 @@ def _one_line(column):
     return F.regexp_replace(column, r"[ \t\r\n\x0b\f]+", " ")
 
 
+def _under_headers(ordered: DataFrame, line) -> DataFrame:
+    """Lines in the order given, four header lines before the first of each part file."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    head = F.lit("about\tthis\n\nfile\nheader\n")
+    return ordered.select(F.when(place == 0, F.concat(head, line)).otherwise(line).alias("value"))
+
+
 def graded_file(spark, sf_dir):
-    """Documents written as a graded TSV file and read back."""
+    """Documents written as graded TSV files with headers and read back."""
     rows = corpus(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("par_id"), F.lit("@art").alias("art_id"), "keyword", "country",
         T.strip(_one_line(F.col("text"))).alias("text"), F.col("orig_label").alias("label"), "doc_id",
     )
     path = _scratch(spark, "graded")
     line = F.concat_ws("\t", *GRADED_COLUMNS)
-    rows.orderBy("doc_id").select(line.alias("value")).write.text(path)
-    back = readers.read_graded(spark, path, header_lines=0)
+    _under_headers(rows.orderBy("doc_id"), line).write.text(path)
+    back = readers.read_graded(spark, path)
+    return back.select("row_no", "par_id", "art_id", "keyword", "country", F.md5("text").alias("text"), "label", "orig_label")
+
+
+def quoted_file(spark, sf_dir):
+    """Documents written as a quoted TSV file, texts with their tabs, quotes and line breaks, and read back."""
+    text = F.concat(F.lit('say "'), F.col("text"), F.lit('"\t.'))
+    rows = corpus(spark, sf_dir).withColumns({"doc": F.col("doc_id").cast("string"), "quoted": F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))})
+    line = F.concat_ws("\t", "doc", F.lit("@art"), "keyword", "country", "quoted", "orig_label")
+    path = _scratch(spark, "quoted")
+    _under_headers(rows.orderBy("doc_id"), line).write.text(path)
+    back = readers.read_graded(spark, path, quoted=True)
     return back.select("row_no", "par_id", "art_id", "keyword", "country", F.md5("text").alias("text"), "label", "orig_label")
 
 
 def annotation_file(spark, sf_dir):
     """Annotations written as a ten-field TSV file, read back and grouped."""
-    rows = annotations(spark, sf_dir, one_line=True)
+    rows = annotations(spark, sf_dir, in_order=True)
     line = F.concat_ws(
         "\t", "par_id", "art_id", "text", "keyword", "country", F.lit("0"), F.lit("4"), F.lit("span"), "tag", F.lit("2")
     )
     path = _scratch(spark, "annotations")
-    rows.orderBy("row_no").select(line.alias("value")).write.text(path)
-    back = readers.read_annotations(spark, path, header_lines=0)
+    _under_headers(rows, line).write.text(path)
+    back = readers.read_annotations(spark, path)
     keys = ["par_id", "art_id", "text", "keyword", "country"]
     lists = categories.category_lists(back, keys, "label")
     return lists.select("row_no", "par_id", "keyword", F.md5("text").alias("text"), L.format_vector(F.col("ids")).alias("ids"))
 
 
 def unlabelled_file(spark, sf_dir):
-    """Documents written without labels, those without a text field short."""
-    docs = table(spark, sf_dir, "documents")
-    text = F.when(F.col("lang") != "en", T.strip(_one_line(F.col("text"))))
-    line = F.concat_ws("\t", F.col("doc_id").cast("string"), F.lit("@art"), "source", "lang", text)
+    """Documents written without labels, each with a second line that lacks the text field."""
+    docs = table(spark, sf_dir, "documents").orderBy("doc_id")
+    fields = [F.col("doc_id").cast("string"), F.lit("@art"), F.col("source"), F.col("lang")]
+    lines = F.array(F.concat_ws("\t", *fields, T.strip(_one_line(F.col("text")))), F.concat_ws("\t", *fields))
     path = _scratch(spark, "unlabelled")
-    docs.orderBy("doc_id").select(line.alias("value")).write.text(path)
+    docs.select(F.explode(lines).alias("value")).write.text(path)
     back = readers.read_unlabelled(spark, path)
     return back.select("row_no", "par_id", "art_id", "keyword", "country", F.md5("text").alias("text"))
 
@@ -402,6 +445,16 @@ def label_file_scores(spark, sf_dir):
     return metrics.binary_scores(splits.align(gold, pred), "label", "pred")
 
 
+def submission_scores(spark, sf_dir):
+    """Label files of both tasks written to two folders, and the whole submission scored."""
+    gold, guess = _scratch(spark, "ref"), _scratch(spark, "res")
+    rows, pairs = corpus(spark, sf_dir), vectors(spark, sf_dir)
+    for folder, label, vector in ((gold, "label", "gold"), (guess, "pred", "guess")):
+        sinks.write_label_lines(rows, f"{folder}/{TASK_FILES['task1']}", label, "doc_id")
+        sinks.write_vector_lines(pairs, f"{folder}/{TASK_FILES['task2']}", vector, "doc_id")
+    return score_submission(spark, gold, guess)
+
+
 def vector_file_scores(spark, sf_dir):
     """Gold and guessed vectors written as files, read back and scored."""
     rows = vectors(spark, sf_dir)
@@ -413,31 +466,62 @@ def vector_file_scores(spark, sf_dir):
     return metrics.multilabel_scores(splits.align(gold, pred, extra="ignore"), "gold", "guess")
 
 
-WHOLE_TEXTS = classify.Params(features=1 << 16, max_iter=10, max_tokens=None)
+def _terms(spark, sf_dir):
+    """Hashed term counts of every document, computed once."""
+    return classify.term_vectors(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
-def _learning_parts(spark, sf_dir):
+def _learning_parts(spark, sf_dir, terms):
     """All labelled documents: two thirds are trained on, the others are dev."""
-    rows = corpus(spark, sf_dir, text_work=True).select("doc_id", "text", "label")
+    rows = terms.join(corpus(spark, sf_dir).select("doc_id", "label"), "doc_id")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
     return rows.where(part != 0), rows.where(part == 0)
 
 
+def _classified(spark, sf_dir):
+    terms = _terms(spark, sf_dir)
+    train, dev = _learning_parts(spark, sf_dir, terms)
+    model = classify.fit_classifier(train, "text", "label", splits.class_weights(train, "label"))
+    tuned = curves.best_threshold(curves.threshold_sweep(classify.score(model, dev), "prob", "label")).first()
+    return classify.predict(model, terms, tuned["threshold"]), tuned["threshold"]
+
+
 def classifier_scores(spark, sf_dir):
     """Every document scored by a model trained on the labelled ones."""
-    train, dev = _learning_parts(spark, sf_dir)
-    model = classify.fit_classifier(train, "text", "label", splits.class_weights(train, "label"), WHOLE_TEXTS)
-    tuned = curves.best_threshold(curves.threshold_sweep(classify.score(model, dev), "prob", "label")).first()
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return classify.predict(model, docs, tuned["threshold"]).select("doc_id", "prob", "pred")
+    return _classified(spark, sf_dir)[0].select("doc_id", "prob", "pred")
+
+
+def classifier_checks(spark, sf_dir):
+    """Per language the documents scored, and how many scores and decisions hold what they promise."""
+    scored, threshold = _classified(spark, sf_dir)
+    langs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    decided = (F.col("prob") >= F.lit(threshold).cast("float")).cast("int")
+    return langs.join(scored, "doc_id").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_ids"),
+        F.count_if(F.col("prob").between(0, 1)).alias("n_probabilities"), F.count_if(F.col("pred") == decided).alias("n_decisions"),
+    )
+
+
+def _trials(spark, sf_dir):
+    train, dev = _learning_parts(spark, sf_dir, _terms(spark, sf_dir))
+    return classify.run_trials(train, dev, [classify.Params(), classify.Params(reg=0.1)])[1]
 
 
 def trial_log(spark, sf_dir):
     """Two trials that differ in regularisation, with loss, dev F1 and threshold."""
-    train, dev = _learning_parts(spark, sf_dir)
-    grid = [WHOLE_TEXTS, classify.Params(features=1 << 16, max_iter=10, max_tokens=None, reg=0.1)]
-    log = classify.run_trials(train, dev, grid)[1]
-    return trials.best_so_far(log.withColumn("run", F.lit("grid")), "run").drop("run")
+    return trials.best_so_far(_trials(spark, sf_dir).withColumn("run", F.lit("grid")), "run").drop("run")
+
+
+def trial_checks(spark, sf_dir):
+    """Of each trial, whether its threshold is one of the grid's, its loss finite and its F1 possible."""
+    near = F.rint((F.col("threshold") - curves.GRID_LOW) / curves.GRID_STEP)
+    on_grid = F.abs(F.col("threshold") - curves.GRID_LOW - near * curves.GRID_STEP) < 1e-9
+    loss = F.col("train_loss")
+    return _trials(spark, sf_dir).select(
+        "epoch", (on_grid & F.col("threshold").between(curves.GRID_LOW, curves.GRID_HIGH)).alias("on_grid"),
+        (loss.isNotNull() & ~F.isnan(loss) & (loss >= 0) & (loss < float("inf"))).alias("finite_loss"),
+        F.col("best_tuned_f1").between(F.col("dev_f1_05") * 0, 1.0).alias("possible_f1"),
+    )
 
 
 QUERIES = {
@@ -446,11 +530,11 @@ QUERIES = {
         keyword_metrics, binary_scores, country_scores, multilabel_scores, classification_report,
         confusion_matrix, length_bin_errors, error_breakdown, error_totals, error_sample, label_collapse,
         numeric_collapse, vote_labels, category_lists, category_vectors, pr_curve, average_precision,
-        operating_point, threshold_sweep, best_threshold, dataset_loss, class_weights, class_distribution,
-        class_counts, token_stats, word_token_stats, token_histogram, top_ngrams, top_ngrams_by_role,
-        top_word_ngrams, train_split, dev_split, preview_rows, scored_rows, hash_baseline, random_baseline,
-        truncated_text, report_lines, score_file_lines, best_trial, best_so_far, graded_file,
+        operating_point, threshold_sweep, best_threshold, dataset_loss, dataset_loss_extreme, class_weights, class_distribution,
+        class_counts, token_stats, null_text_stats, word_token_stats, token_histogram, top_ngrams, top_ngrams_by_role,
+        top_word_ngrams, train_split, dev_split, preview_rows, scored_rows, hash_baseline,
+        truncated_text, report_lines, fixed_point_ties, score_file_lines, best_trial, best_so_far, graded_file, quoted_file,
         annotation_file, unlabelled_file, split_file, row_numbers, stored_probabilities, metrics_log,
-        label_file_scores, vector_file_scores, classifier_scores, trial_log,
+        label_file_scores, vector_file_scores, submission_scores, classifier_scores, classifier_checks, trial_log, trial_checks,
     )
 }

@@ -31,14 +31,18 @@ def train_and_predict(
     spark: SparkSession, train: DataFrame, dev: DataFrame, test: DataFrame, out_dir: str,
     grid: Sequence[classify.Params] = (classify.Params(),),
 ) -> tuple[PipelineModel, DataFrame]:
-    """Run the trials, then write log, model, labels and probabilities.
+    """Run the trials, then write labels and probabilities.
 
-    Below ``out_dir``: ``training_metrics`` (appended), ``model``, ``dev.txt``,
-    ``test.txt`` and ``dev_probs``.
+    Below ``out_dir``: ``training_metrics`` (appended) and ``model``, both
+    written after each trial, ``dev.txt``, ``test.txt`` and ``dev_probs``.
     """
-    model, log = classify.run_trials(train, dev, grid)
-    sinks.append_metrics(log, f"{out_dir}/training_metrics")
-    model.write().overwrite().save(f"{out_dir}/model")
+
+    def keep(row: DataFrame, best: PipelineModel | None) -> None:
+        sinks.append_metrics(row, f"{out_dir}/training_metrics")
+        if best is not None:
+            best.write().overwrite().save(f"{out_dir}/model")
+
+    model, log = classify.run_trials(train, dev, grid, after_trial=keep)
     threshold = trials.best_trial(log).first()["threshold"]
     # two narrow columns are stored, so that sorting and writing score no text again
     dev_scored, test_scored = (

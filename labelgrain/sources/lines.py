@@ -4,36 +4,48 @@ Line *n* of a file is part of the data here, and a header is skipped by
 position. A file is read in blocks by many tasks; one light pass counts the rows
 of every block, the running sum of these counts gives each block its first
 number, and the second pass adds a row's place within its block.
+
+Both passes have to see the same blocks, so every read that numbers rows sets
+``spark.sql.files.minPartitionNum`` of the session, where it is unset, to the
+number of cores at that moment, and leaves it set.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelgrain.functions.labels import fail_when
 
 BLOCK = ["file", "block", "length", "task"]
-# about 200 bytes each, so at most some 200 MB
-MAX_BROADCAST_BLOCKS = 1_000_000
 
 
 def pin_splits(spark: SparkSession) -> None:
-    """Let file splits depend on settings only, not on the executors of the moment.
-
-    Both passes have to see the same blocks, even if executors come and go.
-    """
+    """Let file splits depend on settings only, not on the executors of the moment."""
     setting = "spark.sql.files.minPartitionNum"
     if spark.conf.get(setting, None) is None:
         spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
 
 
+def file_order(file: Column) -> list[Column]:
+    """Order of files: by folder, then by the number of a part file, then by name."""
+    name = F.substring_index(file, "/", -1)
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")
+    return [F.substring(file, F.lit(1), F.length(file) - F.length(name)), number, name]
+
+
 def number_rows(scan: DataFrame, header_lines: int = 0) -> DataFrame:
-    """Add ``row_no`` to a file scan, counting from 0 in file-name order.
+    """Add ``row_no`` to a file scan, counting from 0 in the order of files.
 
     ``scan`` comes straight from a file reader. The first ``header_lines`` rows
     of every file are dropped and not counted. ``file`` and ``line_no`` (the
     place within the file) are added as well.
+
+    A task's rows carry rising numbers, so all a row needs is its task's short
+    list of blocks, of which it takes the last that begins at or before it. The
+    list is broadcast: a few numbers per block of at most
+    ``spark.sql.files.maxPartitionBytes``, and no more than the driver holds when
+    it plans the scan.
     """
     pin_splits(scan.sparkSession)
     data = list(scan.columns)
@@ -46,25 +58,20 @@ def number_rows(scan: DataFrame, header_lines: int = 0) -> DataFrame:
         F.monotonically_increasing_id().alias("seq"),
     )
     blocks = placed.groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"))
-    starts = _block_starts(blocks, header_lines)
-    # one row per block of at most spark.sql.files.maxPartitionBytes
-    if _few_blocks(scan):
-        starts = F.broadcast(starts)
-    line_no = F.col("line_base") + F.col("seq") - F.col("first_seq")
-    moved = fail_when(
-        F.col("line_base").isNull(),
-        F.concat(F.lit("file splits moved between the two passes over "), F.col("file")),
-        line_no,
-    )
-    numbered = placed.join(starts, BLOCK, "left").withColumn("line_no", moved)
+    starts = F.broadcast(_block_starts(blocks, header_lines))
+    found = placed.join(starts, "task", "left").withColumn("_own", F.try_element_at(F.filter("begins", lambda b: b["first_seq"] <= F.col("seq")), F.lit(-1)))
+    moved = (F.col("_own.key") != F.xxhash64("file", "block", "length")) | F.col("_own").isNull()
+    message = F.concat(F.lit("file splits moved between the two passes over "), F.col("file"))
+    line_no = fail_when(moved, message, F.col("_own.line_base") + F.col("seq") - F.col("_own.first_seq"))
+    numbered = found.withColumn("line_no", line_no)
     if header_lines:
         numbered = numbered.where(F.col("line_no") >= header_lines)
-    row_no = F.col("file_base") + F.col("line_no") - F.lit(header_lines)
+    row_no = F.col("_own.file_base") + F.col("line_no") - F.lit(header_lines)
     return numbered.select(row_no.cast("bigint").alias("row_no"), "file", "line_no", *data)
 
 
 def _block_starts(blocks: DataFrame, header_lines: int) -> DataFrame:
-    """First line number of every block within its file, and of every file.
+    """Per task its blocks in order: a hash of the block, and the first number of its rows, lines and file.
 
     Works on one row per block, a list no longer than the one the driver makes
     when it plans the scan; the last window therefore runs in a single task.
@@ -72,7 +79,7 @@ def _block_starts(blocks: DataFrame, header_lines: int) -> DataFrame:
     whole = Window.partitionBy("file")
     in_file = whole.orderBy("block")
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy(F.lit(0)).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(F.lit(0)).orderBy(*file_order(F.col("file")), "block").rowsBetween(Window.unboundedPreceding, 0)
     zero = F.lit(0).cast("bigint")
     lined = blocks.select(
         *BLOCK, "first_seq",
@@ -81,12 +88,9 @@ def _block_starts(blocks: DataFrame, header_lines: int) -> DataFrame:
         (F.row_number().over(in_file) == 1).alias("opens"),
     )
     through_file = F.sum(F.when(F.col("opens"), F.col("kept")).otherwise(zero)).over(so_far)
-    return lined.select(*BLOCK, "first_seq", "line_base", (through_file - F.col("kept")).alias("file_base"))
-
-
-def _few_blocks(scan: DataFrame) -> bool:
-    """Whether the number of blocks, known from planning alone, is small."""
-    return scan.rdd.getNumPartitions() + len(scan.inputFiles()) <= MAX_BROADCAST_BLOCKS
+    based = lined.withColumn("file_base", through_file - F.col("kept"))
+    entry = F.struct("first_seq", "line_base", "file_base", F.xxhash64("file", "block", "length").alias("key"))
+    return based.groupBy("task").agg(F.sort_array(F.collect_list(entry)).alias("begins"))
 
 
 def read_lines(spark: SparkSession, path: str | list[str], header_lines: int = 0) -> DataFrame:

@@ -47,11 +47,12 @@ def read_graded(
     """
     if quoted:
         return _read_graded_quoted(spark, path, header_lines, strict_labels)
-    lines = read_lines(spark, path, header_lines)
-    line = strip(F.col("value"))
-    good = _checked(lines, tab_field_count(line) < 5, "fewer than 5 fields", on_bad)
+    # exploded out of an array of one, the fields are made once: a filter on them would else repeat them below itself
+    fields = F.explode(F.array(tab_fields(strip(F.col("value")))))
+    lines = read_lines(spark, path, header_lines).select("row_no", "value", fields.alias("f"))
+    good = _checked(lines, F.size("f") < 5, "fewer than 5 fields", on_bad)
     grade = F.element_at("f", -1)
-    return good.select("row_no", tab_fields(line).alias("f")).select(
+    return good.select(
         "row_no",
         *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(GRADED_COLUMNS[:5])],
         collapse_grade(grade, strict_labels).alias("label"),
@@ -146,10 +147,18 @@ def read_probs(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def available_tasks(spark: SparkSession, path: str) -> dict[str, str]:
-    """Tasks with a label file (or folder of part files) in a directory.
+    """Tasks with a label file (or folder of part files) right in a directory.
 
-    Uses the file listing only; no data is read.
+    Only asks whether the path is there; no data is read.
     """
-    listed = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
-    parts = {piece for name in listed for piece in name.split("/")}
-    return {task: f"{path.rstrip('/')}/{name}" for task, name in TASK_FILES.items() if name in parts}
+    found = {}
+    for task, name in TASK_FILES.items():
+        file = f"{path.rstrip('/')}/{name}"
+        try:
+            spark.read.text(file)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            found[task] = file
+    return found

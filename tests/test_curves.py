@@ -132,3 +132,20 @@ def test_earliest_of_equal_trials_wins(spark):
     assert trials.best_trial(log).first()["epoch"] == 2
     got = trials.best_so_far(log.withColumn("run", F.lit(1)), "run").orderBy("epoch").collect()
     assert [r["improved"] for r in got] == [False, True, False]
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_missing_scores_raise_with_any_number_of_ranges(spark, missing):
+    df = spark.createDataFrame([(0.9, 1), (0.1, 0), (missing, 1)], "score double, label int")
+    for ranges in (1, 4):
+        with pytest.raises(Exception, match="score is missing"):
+            curves.pr_curve(df, "score", "label", ranges).collect()
+
+
+def test_curve_and_area_do_not_depend_on_ranges(spark):
+    df = spark.createDataFrame([(i * 37 % 101 / 101, i % 3 % 2) for i in range(300)], "score double, label int")
+    results = []
+    for ranges in (1, 2, 4, 200):
+        curve = curves.pr_curve(df, "score", "label", ranges)
+        results.append((sorted(map(repr, curve.collect())), round(curves.average_precision(curve).first()[0], 12)))
+    assert all(r == results[0] for r in results)

@@ -172,4 +172,20 @@ def test_float_text_is_the_way_python_prints(spark, values):
     df = spark.createDataFrame([(x,) for x in numbers], "t double")
     assert values(df, N.python_float_text(t)) == [str(x) for x in numbers]
     assert values(df.limit(1), N.fixed_point(t, 4)) == ["0.0000"]
-    assert values(df.limit(1), N.fixed_point(t, 1, "%%")) == ["0.0%"]
+    assert values(df.limit(1), N.fixed_point(t, 1, "%")) == ["0.0%"]
+
+
+def test_fixed_point_rounds_the_exact_value_half_to_even(spark, values):
+    import random
+
+    rng = random.Random(3)
+    numbers = [6.25, 6.35, 0.15, 0.25, 0.35, 0.03125, 1.005, 2.675, 0.5, 1.5, -0.04, -6.25, 0.0, 1e-9, 123456.785, 1e15, float("nan"), float("inf"), float("-inf")]
+    numbers += [rng.randint(0, 10**6) / 2 ** rng.randint(1, 12) for _ in range(200)] + [rng.randint(-(10**6), 10**6) / 10 ** rng.randint(1, 6) for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in numbers], "t double")
+    for digits in (0, 1, 2, 3, 4):
+        assert values(df, N.fixed_point(t, digits)) == [f"{x:.{digits}f}" for x in numbers]
+
+
+def test_missing_scores_are_decided_as_0(spark, values):
+    df = spark.createDataFrame([(None,), (float("nan"),), (0.5,)], "t double")
+    assert values(df, N.decide(t, 0.1)) == [0, 0, 1]

@@ -93,7 +93,7 @@ def test_train_predict_and_analyse(spark, files, tmp_path):
     assert [(r["par_id"], r["pred"]) for r in rows] == [(p, int(y)) for p, y in files["dev"]]
     assert all(r["correct"] == 1 and r["token_count"] >= 8 for r in rows)
     flipped = loaded.withColumn("pred", F.when(F.col("row_no") < 3, 1 - F.col("pred")).otherwise(F.col("pred")))
-    tables = error_report.error_report(flipped.persist())
+    tables = error_report.error_report(flipped)
     assert sum(tables["error_totals"].first()) == 3
     assert tables["error_sample"].count() == 3
     assert sum(r["n"] for r in tables["confusion"].collect()) == 20
@@ -119,6 +119,11 @@ def test_best_model_is_the_logged_one(spark):
     assert [r["improved"] if "improved" in r else None for r in log.collect()] == [None, None]
     again = classify.score(best, df)
     assert [round(r["prob"], 5) for r in again.collect()] == [round(r["prob"], 5) for r in single.collect()]
+    seen = []
+    grid = [classify.Params(features=64, max_iter=0, reg=r) for r in (0.1, 0.2)]
+    one_class = df.withColumn("label", F.lit(0)).union(df.limit(1).withColumn("label", F.lit(1)))
+    classify.run_trials(one_class, df.withColumn("label", F.lit(0)), grid, after_trial=lambda row, model: seen.append((row.first()["epoch"], model is not None)))
+    assert seen == [(1, True), (2, True)]  # without any F1 above 0 the last model stays
     decided = classify.predict(best, df, 0.5)
     assert decided.where("pred = label").count() == 200
 

@@ -137,3 +137,22 @@ def test_loss_against_a_formula(spark):
         total += alpha * (1 - p) ** 2 * -(0.9 * math.log(p) + 0.1 * math.log(1 - p))
     got = metrics.dataset_loss(df, "prob", "label", weights).first()
     assert got["loss"] == pytest.approx(total / 3) and got["n"] == 3
+    margins = df.withColumn("z", F.ln(F.col("prob") / (1 - F.col("prob"))))
+    assert metrics.dataset_loss(margins, "z", "label", weights, log_odds=True).first()["loss"] == pytest.approx(total / 3)
+
+
+def test_loss_of_saturated_probabilities(spark):
+    weights = spark.createDataFrame([(0, 1.0), (1, 1.0)], "label int, weight double")
+    for rows, least in (([(0.5, 1), (0.0, 1)], 300), ([(1.0, 1), (0.0, 0)], 0), ([(1.0, 0)], 600)):
+        got = metrics.dataset_loss(spark.createDataFrame(rows, "prob double, label int"), "prob", "label", weights).first()
+        assert got["n"] == len(rows) and least <= got["loss"] < 1000
+    with pytest.raises(Exception, match="no loss"):
+        metrics.dataset_loss(spark.createDataFrame([(None, 1)], "prob double, label int"), "prob", "label", weights).collect()
+
+
+@pytest.mark.parametrize("row", [(None, 1), (1, None), (2, 1), (0, -1)])
+def test_labels_other_than_0_and_1_raise(spark, row):
+    df = spark.createDataFrame([(0, 1), row], "label int, pred int")
+    for table in (metrics.binary_scores, metrics.classification_report, metrics.confusion_matrix):
+        with pytest.raises(Exception, match="must be 0 or 1"):
+            table(df, "label", "pred").collect()

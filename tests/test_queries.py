@@ -9,9 +9,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry_file
+from labelgrain.plans import table_queries as Q
 
 TABLES = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry_file.queries(), entry_file.oracle_sql()
+BASE = sorted(set(ORACLES) & set(Q.QUERIES))
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
 
@@ -34,10 +36,10 @@ def canonical(columns, rows):
 
 def test_names_agree():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"random_baseline", "classifier_scores", "trial_log"}
+    assert set(Q.QUERIES) - set(ORACLES) == {"classifier_scores", "trial_log"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", BASE)
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, TABLES)
     result = duck.execute(ORACLES[name])
@@ -49,5 +51,6 @@ def test_entry(spark):
     assert entry_file.entry(spark).count() > 0
 
 
-def test_random_baseline_has_every_row(spark):
-    assert QUERIES["random_baseline"](spark, TABLES).count() == spark.read.parquet(f"{TABLES}/documents.parquet").count()
+def test_every_trial_has_a_loss(spark):
+    log = QUERIES["trial_log"](spark, TABLES).collect()
+    assert len(log) == 2 and all(r["train_loss"] > 0 for r in log)

@@ -37,14 +37,6 @@ def test_row_numbers_are_dense_in_file_order(spark, tmp_path, conf, split_bytes)
     assert rows(got, "row_no", "value") == list(enumerate(expected))
 
 
-def test_numbering_without_broadcast_gives_the_same(spark, tmp_path, monkeypatch):
-    import labelgrain.sources.lines as lines
-
-    put(tmp_path, "a.txt", "".join(f"{i}\n" for i in range(500)))
-    monkeypatch.setattr(lines, "MAX_BROADCAST_BLOCKS", 0)
-    assert rows(read_lines(spark, str(tmp_path)), "row_no", "value") == [(i, str(i)) for i in range(500)]
-
-
 def test_graded_edge_rows(spark, tmp_path):
     body = "".join([
         "01\ta1\thomeless\tgb\tsome text\t0\n",
@@ -162,6 +154,21 @@ def test_label_and_vector_files_round_trip(spark, tmp_path):
     assert rows(back, "row_no", "vector") == [(i, [i % 3, 1]) for i in range(1000)]
 
 
+def test_part_files_go_by_their_numbers(spark, tmp_path):
+    for folder in ("a", "b"):
+        for number in (9, 10000, 10001, 100000):
+            put(tmp_path / "in" / folder, f"part-{number:05d}-x.txt", f"{folder}{number}\n")
+    got = read_lines(spark, [str(tmp_path / "in" / f) for f in "ba"])
+    assert rows(got, "row_no", "value") == [(i, v) for i, v in enumerate(f"{f}{n}" for f in "ab" for n in (9, 10000, 10001, 100000))]
+
+
+def test_block_table_has_no_paths(spark, tmp_path):
+    put(tmp_path / "in", "one.txt", "1\n2\n")
+    text = read_lines(spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and all("BroadcastHashJoin [task" in line for line in joins)
+
+
 def test_probabilities(spark, tmp_path):
     path = str(tmp_path / "probs")
     assert readers.read_probs(spark, path) is None
@@ -177,6 +184,9 @@ def test_available_tasks(spark, tmp_path):
     sinks.write_label_lines(spark.createDataFrame([(0, 1)], "row_no int, label int"), str(tmp_path / "one" / "task2.txt"))
     assert sorted(readers.available_tasks(spark, str(tmp_path / "one"))) == ["task1", "task2"]
     put(tmp_path / "none", "other.txt", "1\n")
+    put(tmp_path / "none" / "old", "task1.txt", "1\n")
+    put(tmp_path / "task2.txt" / "none", "other.txt", "1\n")
+    assert readers.available_tasks(spark, str(tmp_path / "task2.txt" / "none")) == {}
     assert readers.available_tasks(spark, str(tmp_path / "none")) == {}
 
 
