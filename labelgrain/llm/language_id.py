@@ -184,6 +184,11 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose text has a language; texts without a letter go."""
+    """The rows of ``docs`` whose text has a language; texts that are null or have no letter go.
+
+    Where no row may be learned from, every text with a letter stays.
+    """
     profiles = fit_profiles(docs.where(training_part(id_col)), text_col, lang_col)
+    if not profiles.names:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     return predict_language(docs, profiles, text_col).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
