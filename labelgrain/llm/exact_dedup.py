@@ -64,7 +64,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows alike in id and text one."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
-    found = marked.join(kept, marked[id_col].eqNullSafe(kept["_id"]) & (marked["_sha"] == kept["_sha"]), "left_semi")
-    return found.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    # null ids have a key of their own, so that join and removal of repeats share one shuffle
+    keys = {"_none": F.col(id_col).isNull(), "_key": F.coalesce(F.col(id_col).cast("string"), F.lit(""))}
+    kept = exact_groups(docs, id_col, text_col).where("kept").withColumns(keys).select(*keys, F.col("text_sha256").alias("_sha"))
+    marked = docs.withColumns({**keys, "_sha": F.sha2(normalised(F.col(text_col)), 256)})
+    found = marked.join(kept.hint("merge"), [*keys, "_sha"], "left_semi")
+    return found.dropDuplicates([*keys, "_sha"]).drop(*keys, "_sha")
