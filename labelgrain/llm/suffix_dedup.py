@@ -10,8 +10,10 @@ What is left are strings that begin in one phrase and were met in another. All
 strings of 50 bytes have a smallest rolling hash among their 24-byte windows, at
 the same place wherever they occur. Strings whose smallest window occurs in one
 document only are unique. The rest, cut at 50 bytes, are the suffixes of the
-dictionary that can still tie: they are sorted, which is their suffix array, and
-each run of equal ones takes the first document that the parse names for it.
+dictionary that can still tie. Equal ones are brought together, and each run of
+them takes the first document that the parse names for it. For this only equal
+suffixes have to stand side by side, so they are ordered by a 128-bit hash of
+their bytes; ordering the bytes themselves moved more than the corpus.
 
 Every exchange is combined in the task that reads the texts, so a string that a
 third of all documents hold is sent once per task.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgrain.llm.hashing import mix, text_chunks, window_hashes
+from labelgrain.llm.hashing import FOLD, mix, text_chunks, window_hashes
 from labelgrain.llm.storage import stored
 
 #: Bytes of a string that counts as repeated, and of the rolling hash's window.
@@ -40,8 +42,7 @@ MODULUS = 256
 #: Text that is hashed at a time; and entries that a task holds, or one task of the other side sorts.
 CHUNK = 1 << 18
 HELD = 1 << 21
-PHRASE = np.dtype([("key", "S16"), ("doc", "<i8"), ("version", "<i8"), ("start", "<i4"), ("end", "<i4"), ("settled", "u1")])
-STRING = np.dtype([("key", f"S{LENGTH}"), ("doc", "<i8"), ("version", "<i8"), ("start", "<i4"), ("end", "<i4"), ("settled", "u1")])
+ENTRY = np.dtype([("key", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("start", "<i4"), ("end", "<i4"), ("settled", "u1")])
 RANGES = "doc bigint, version bigint, start int, end int"
 
 
@@ -52,24 +53,20 @@ def runs(keys: np.ndarray) -> np.ndarray:
 
 def settle(entries: np.ndarray) -> np.ndarray:
     """The entries in order, those settled for which an entry with the same key has a smaller document."""
-    entries = entries[np.lexsort((entries["doc"], entries["key"]))]
-    start = runs(entries["key"])
-    least = np.repeat(entries["doc"][start], np.diff(np.append(start, len(entries))))
+    entries = entries[np.lexsort((entries["more"], entries["key"]))]
+    key, more = entries["key"], entries["more"]
+    start = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (more[1:] != more[:-1]))))
+    least = np.repeat(np.minimum.reduceat(entries["doc"], start), np.diff(np.append(start, len(entries))))
     entries["settled"] |= entries["doc"] > least
     return entries
 
 
 def packed(entries: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Entries by part: open ones by key, settled ones by document."""
+    """Entries by part, open ones by key and settled ones by document; within a part by document, which packs well."""
     entries = settle(entries)
-    keys = entries["key"].copy().view(np.uint8).reshape(len(entries), -1)[:, :8].copy().view(np.uint64).reshape(-1)
-    if entries.dtype == STRING:
-        tail = np.ascontiguousarray(entries["key"]).view(np.uint8).reshape(len(entries), -1)[:, 8:48].copy().view(np.uint64)
-        for column in tail.T:
-            keys = mix(keys ^ column)
-    by = np.where(entries["settled"] > 0, entries["doc"].view(np.uint64), keys)
+    by = np.where(entries["settled"] > 0, entries["doc"].astype(np.uint64), entries["key"])
     part = (mix(by) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((entries["start"], entries["doc"], part))
     entries, part = entries[order], part[order]
     first = runs(part)
     return pa.RecordBatch.from_pydict(
@@ -77,11 +74,11 @@ def packed(entries: np.ndarray, parts: int) -> pa.RecordBatch:
     )
 
 
-def settled_ranges(blobs: DataFrame, dtype: np.dtype) -> DataFrame:
+def settled_ranges(blobs: DataFrame) -> DataFrame:
     """The settled ones of the exchanged entries, neighbours joined to ranges."""
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        entries = settle(np.concatenate([np.frombuffer(x, dtype=dtype) for x in rows["entries"]]))
+        entries = settle(np.concatenate([np.frombuffer(x, dtype=ENTRY) for x in rows["entries"]]))
         entries = entries[entries["settled"] > 0]
         entries = entries[np.lexsort((entries["start"], entries["version"], entries["doc"]))]
         new = np.ones(len(entries), dtype=bool)
@@ -154,12 +151,12 @@ def phrase_entries(docs: DataFrame, parts: int) -> DataFrame:
                     own = cuts[np.searchsorted(cuts, begin + 1) : np.searchsorted(cuts, stop)].tolist()
                     for a, b in zip([begin, *own], [*own, stop], strict=True):
                         key = hashlib.blake2b(view[a : b + LENGTH - 1], digest_size=16).digest()
-                        held.append((key, ids[first + i], versions[first + i], a - offsets[i], b - offsets[i], 0))
+                        held.append((int.from_bytes(key[:8], "little"), int.from_bytes(key[8:], "little"), ids[first + i], versions[first + i], a - offsets[i], b - offsets[i], 0))
             if len(held) >= HELD >> 2:
-                yield packed(np.array(held, dtype=PHRASE), parts)
+                yield packed(np.array(held, dtype=ENTRY), parts)
                 held = []
         if held:
-            yield packed(np.array(held, dtype=PHRASE), parts)
+            yield packed(np.array(held, dtype=ENTRY), parts)
 
     return docs.mapInArrow(parse, "part bigint, entries binary")
 
@@ -270,6 +267,7 @@ def string_entries(texts: DataFrame, parts: int) -> DataFrame:
             ids, versions, covered = (batch.column(k).to_pylist() for k in (0, 1, 3))
             for first, end, data, offsets, last in of_pieces(batch.column(2)):
                 at, hashes = smallest_windows(data)
+                whole, half = window_hashes(data, LENGTH), window_hashes(data, LENGTH // 2)
                 begins = open_strings(len(at), offsets, last, covered[first:end], versions[first:end])
                 for i in range(end - first):
                     low, high = max(0, int(offsets[i])), int(last[i])
@@ -280,9 +278,9 @@ def string_entries(texts: DataFrame, parts: int) -> DataFrame:
                     places = np.flatnonzero(own) + low
                     if not len(places):
                         continue
-                    entries = np.zeros(len(places), dtype=STRING)
-                    strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, LENGTH)[places])
-                    entries["key"] = strings.view(f"S{LENGTH}").reshape(-1)
+                    entries = np.zeros(len(places), dtype=ENTRY)
+                    entries["key"] = whole[places]
+                    entries["more"] = mix(half[places] + FOLD * half[places + LENGTH // 2])
                     entries["doc"], entries["version"] = ids[first + i], versions[first + i]
                     entries["start"] = places - offsets[i]
                     entries["end"] = entries["start"] + 1
@@ -319,7 +317,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A byte goes if a string of 50 bytes that covers it also begins in a row with
     a smaller id. A row without an id loses nothing and takes nothing from
     others; rows that share an id take nothing from each other. Ids must be whole
-    numbers. Phrases are compared by 128-bit digest, strings byte by byte.
+    numbers. Phrases and strings are compared by 128-bit hashes.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -332,13 +330,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table = spark.table(name)
 
     phrases = phrase_entries(source, max(1, n_bytes // MODULUS * 2 // HELD))
-    covered = stored(settled_ranges(phrases, PHRASE))
+    covered = stored(settled_ranges(phrases))
     open_texts = table.join(by_document(covered, "covered"), "doc", "left").select("doc", "version", "text", "covered")
     entries = stored(shared_entries(open_texts, max(1, n_bytes // (SPAN // 2) // HELD)))
     keys = entries.where("part is null").select("doc", "key").union(shared_keys(entries.where("part is not null").select("part", "entries")))
     wanted = keys.where(F.col("doc") != int(SEVERAL)).groupBy("doc").agg(F.collect_set("key").alias("keys"))
     asked = open_texts.join(wanted, "doc").select("doc", "version", "text", "covered", "keys")
-    strings = settled_ranges(string_entries(asked, max(1, n_bytes // 16 // HELD)), STRING)
+    strings = settled_ranges(string_entries(asked, max(1, n_bytes // 16 // HELD)))
 
     found = by_document(covered.unionByName(strings), "ranges")
     return table.join(found, "doc", "left").select("doc", "version", "text", "ranges")
