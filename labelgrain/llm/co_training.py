@@ -27,6 +27,8 @@ from labelgrain.llm.storage import stored
 #: Hashed words of the text view; and hashed sources, languages and layout of the page view.
 TEXT_BITS, PAGE_BITS = 16, 8
 DRAWS = 1_000_000
+#: Partitions that the bounded samples are fitted in.
+FIT_PARTS = 4
 #: ASCII marks become spaces, so that words are bare.
 BARE = np.array([c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)], dtype=np.uint8)
 
@@ -40,7 +42,7 @@ class Params:
     rounds: int = 2
     sure: float = 0.97
     reg: float = 0.002
-    max_iter: int = 25
+    max_iter: int = 15
 
 
 def text_features(words: np.ndarray) -> np.ndarray:
@@ -100,10 +102,8 @@ def vectors(rows: DataFrame, column: str, bits: int) -> DataFrame:
 
 
 def fitted(rows: DataFrame, params: Params):
-    """A regression on ``features`` and ``label``; None if the rows have fewer than two classes."""
-    if rows.select("label").distinct().count() < 2:
-        return None
-    return LogisticRegression(regParam=params.reg, maxIter=params.max_iter, standardization=False, probabilityCol="p", rawPredictionCol="raw", predictionCol="hit").fit(rows)
+    """A regression on ``features`` and ``label``."""
+    return LogisticRegression(regParam=params.reg, maxIter=params.max_iter, standardization=False, probabilityCol="p", rawPredictionCol="raw", predictionCol="hit").fit(rows.coalesce(FIT_PARTS))
 
 
 def margins(model, rows: DataFrame, name: str) -> DataFrame:
@@ -138,8 +138,10 @@ def co_train(docs: DataFrame, labels: DataFrame, params: Params) -> Combined:
     sample = featurised(drawn(docs, 1, params.labelled, n_labels)).join(marked, "doc")
     pool = featurised(drawn(docs, 2, params.pool, n_docs)).join(marked, "doc", "left_anti")
     sample, pool = stored(sample), stored(pool)
-    held = F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(4)) == 0
-    known, check = sample.where(~held), sample.where(held)
+    sample = sample.withColumn("held", F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(4)) == 0)
+    classes = {r.held: r.n for r in sample.groupBy("held").agg(F.count_distinct("label").alias("n")).collect()}
+    known, check = sample.where("not held"), sample.where("held")
+    usable = classes.get(False, 0) > 1
     sides = [("words", TEXT_BITS), ("page", PAGE_BITS)]
     more = [None, None]
     models = [None, None]
@@ -148,8 +150,8 @@ def co_train(docs: DataFrame, labels: DataFrame, params: Params) -> Combined:
             rows = known.select("doc", column, "label")
             if more[k] is not None:
                 rows = rows.unionByName(pool.join(more[k], "doc").select("doc", column, "label"))
-            models[k] = fitted(vectors(rows, column, bits), params)
-        if turn < params.rounds:
+            models[k] = fitted(vectors(rows, column, bits), params) if usable else None
+        if turn < params.rounds and usable:
             for k, (column, bits) in enumerate(sides):
                 sure = margins(models[k], vectors(pool, column, bits), "z").select("doc", (1 / (1 + F.exp(-F.col("z")))).alias("p"))
                 sure = sure.where(F.greatest("p", 1 - F.col("p")) >= params.sure)
@@ -157,7 +159,8 @@ def co_train(docs: DataFrame, labels: DataFrame, params: Params) -> Combined:
     scored = [margins(models[k], vectors(check, c, b), f"z{k}") for k, (c, b) in enumerate(sides)]
     both = check.select("doc", "label").join(scored[0], "doc").join(scored[1], "doc")
     pair = F.udf(lambda a, b: SparseVector(2, [0, 1], [a, b]), VectorUDT())
-    mixed = fitted(both.withColumn("features", pair("z0", "z1")), Params(reg=0.0, max_iter=params.max_iter))
+    enough = usable and classes.get(True, 0) > 1
+    mixed = fitted(both.withColumn("features", pair("z0", "z1")), Params(reg=0.0, max_iter=params.max_iter)) if enough else None
     flat = [(m.coefficients.toArray(), float(m.intercept)) if m else (np.zeros(1 << b), 0.0) for m, (_, b) in zip(models, sides, strict=True)]
     weights = (float(mixed.intercept), *map(float, mixed.coefficients)) if mixed else (0.0, 1.0, 1.0)
     return Combined(*flat[0], *flat[1], weights)
