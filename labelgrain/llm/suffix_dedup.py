@@ -37,8 +37,8 @@ from labelgrain.llm.storage import stored
 #: Bytes of a string that counts as repeated, and of the rolling hash's window.
 LENGTH, WINDOW = 50, 24
 SPAN = LENGTH - WINDOW + 1
-#: A window is a trigger if its hash is 0 modulo this, so phrases have some 256 bytes.
-MODULUS = 256
+#: A window is a trigger if its hash is 0 modulo this, so phrases have some 64 bytes.
+MODULUS = 64
 #: Text that is hashed at a time; and entries that a task holds, or one task of the other side sorts.
 CHUNK = 1 << 18
 HELD = 1 << 21
