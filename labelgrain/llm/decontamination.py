@@ -16,11 +16,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgrain.llm.hashing import FOLD, fold, mix, text_chunks, word_hashes
+from labelgrain.llm.hashing import FOLD, mix, text_chunks, word_hashes
 
-#: Fixed masks over ten words: six places count, so up to four of ten words may differ.
-MASKS = ("1111110000", "1101100011", "1010101011", "1100110110", "0000111111")
+#: Fixed masks over ten words, of which five count. However the words that differ
+#: are placed in 10 to 19 words of which three quarters are equal, a mask misses
+#: them at some place, and longer overlaps have such a part.
+MASKS = ("1100001011", "1011010001", "0001100111", "1101010100", "0010011110", "0011101001", "1110100100", "0001111010")
 SPAN = len(MASKS[0])
+#: The same for items below ten words, which must be there whole.
+SHORT_MASKS = {
+    5: ("01111", "11110", "11011", "11101", "10111"),
+    6: ("100111", "011101", "111010"),
+    7: ("1100111", "0111011", "1011110", "1110101"),
+    8: ("10011010", "01001101", "00110110", "11100001", "10101100", "01010011"),
+    9: ("110011010", "001101011", "110100101", "101110100", "011010101", "011001110", "000011111", "110110001"),
+}
 #: An overlap counts from this many words on, or from the whole item if that is shorter ...
 MIN_WORDS = 10
 #: ... if this share of its words is equal.
@@ -29,7 +39,7 @@ MIN_SHARE = 0.75
 MIN_ITEM = 5
 #: The words of the benchmark that one pass over the documents looks for.
 BLOCK_WORDS = 1 << 18
-#: Longer items are looked for in pieces of this many words, which overlap by two spans.
+#: Longer items are looked for in pieces of this many words, which overlap by four spans; only the last has fewer.
 PIECE_WORDS = 1 << 12
 
 
@@ -52,17 +62,14 @@ class Seeds:
     items: list[int]
     starts: list[int]
     words: list[np.ndarray]
-    #: Per mask, and per length below the span: sorted hashes, piece numbers, places.
-    tables: dict[str | int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    #: Per mask: sorted hashes, piece numbers, places.
+    tables: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
     def index(self) -> Seeds:
-        found: dict[str | int, list[tuple[np.ndarray, int]]] = {}
+        found: dict[str, list[tuple[np.ndarray, int]]] = {}
         for number, words in enumerate(self.words):
-            if len(words) >= SPAN:
-                for mask in MASKS:
-                    found.setdefault(mask, []).append((masked(words, mask), number))
-            else:
-                found.setdefault(len(words), []).append((fold(words, len(words)), number))
+            for mask in SHORT_MASKS.get(len(words), MASKS):
+                found.setdefault(mask, []).append((masked(words, mask), number))
         for key, rows in found.items():
             hashes = np.concatenate([h for h, _ in rows])
             order = np.argsort(hashes, kind="stable")
@@ -72,31 +79,41 @@ class Seeds:
         return self
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
-    """The best overlap of two word sequences on one diagonal: start in the document, words, equal words.
+def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, first: bool = True, last: bool = True) -> list[tuple[int, int, int]]:
+    """The overlaps of two word sequences on one diagonal: start in the document, words, equal words.
 
-    Best is the run with the most equal words less three times the others, which
-    is a share of at least three quarters wherever the run ends in equal words;
-    none if it is too short.
+    The longest run with enough words and equal words is taken, then the longest
+    ones on its two sides, and so on. A run begins and ends in equal words or at
+    an end of the item, which is within ``item`` if ``first`` and ``last`` say so.
     """
     low, high = max(0, diagonal), min(len(doc), len(item) + diagonal)
     same = doc[low:high] == item[low - diagonal : high - diagonal]
     gain = np.concatenate(([0.0], np.cumsum(np.where(same, 1 - MIN_SHARE, -MIN_SHARE))))
-    least = np.minimum.accumulate(gain)
-    end = int((gain - least).argmax())
-    start = int(np.flatnonzero(gain[: end + 1] == least[end])[0])
-    words, equal = end - start, int(same[start:end].sum())
-    if words < min(MIN_WORDS, len(item)) or equal < MIN_SHARE * words:
-        return None
-    return low + start, words, equal
+    begins, ends = np.append(same, False), np.append(False, same)
+    begins[0] |= first and low == diagonal
+    ends[-1] |= last and high == len(item) + diagonal
+    least, found, open_ = min(MIN_WORDS, len(item)), [], [(0, high - low)]
+    while open_:
+        start, end = open_.pop()
+        if end - start < least:
+            continue
+        starts = start + np.flatnonzero(begins[start:end])
+        # the most that any end from here on has gained, which falls with the place
+        most = np.maximum.accumulate(np.where(ends[start : end + 1], gain[start : end + 1], -np.inf)[::-1])
+        until = end - np.searchsorted(most, gain[starts], side="left")
+        if not len(starts) or (words := int((until - starts).max())) < least:
+            continue
+        at = int(starts[(until - starts).argmax()])
+        found.append((low + at, words, int(same[at : at + words].sum())))
+        open_ += [(start, at), (at + words, end)]
+    return found
 
 
 def overlaps(words: np.ndarray, at: np.ndarray, seeds: Seeds) -> Iterator[tuple[int, int, int, int, int, int]]:
     """Of some documents, whose words begin at ``at``: document, item, start in both, words and equal words of each overlap."""
     tried: set[tuple[int, int, int]] = set()
     for key, (hashes, pieces, places) in seeds.tables.items():
-        own = masked(words, key) if isinstance(key, str) else fold(words, key)
-        width = SPAN if isinstance(key, str) else key
+        own, width = masked(words, key), len(key)
         left = np.searchsorted(hashes, own, side="left")
         hits = np.flatnonzero(hashes[np.minimum(left, len(hashes) - 1)] == own)
         docs = np.searchsorted(at, hits, side="right") - 1
@@ -109,9 +126,9 @@ def overlaps(words: np.ndarray, at: np.ndarray, seeds: Seeds) -> Iterator[tuple[
                 if (doc, piece, diagonal) in tried:
                     continue
                 tried.add((doc, piece, diagonal))
-                if (found := overlap(words[first : at[doc + 1]], seeds.words[piece], diagonal)) is not None:
-                    start, n, equal = found
-                    yield doc, seeds.items[piece], start, start - diagonal + seeds.starts[piece], n, equal
+                item, begin = seeds.words[piece], seeds.starts[piece]
+                for start, n, equal in overlap(words[first : at[doc + 1]], item, diagonal, begin == 0, len(item) < PIECE_WORDS):
+                    yield doc, seeds.items[piece], start, start - diagonal + begin, n, equal
 
 
 def benchmark_pieces(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -126,7 +143,7 @@ def benchmark_pieces(benchmark: DataFrame, id_col: str, text_col: str) -> DataFr
                     (ids[i], start, words[at[i] + start : min(at[i + 1], at[i] + start + PIECE_WORDS)])
                     for i in range(end - first)
                     if at[i + 1] - at[i] >= MIN_ITEM
-                    for start in range(0, max(1, at[i + 1] - at[i] - 2 * SPAN), PIECE_WORDS - 2 * SPAN)
+                    for start in range(0, max(1, at[i + 1] - at[i] - 4 * SPAN + 1), PIECE_WORDS - 4 * SPAN)
                 ]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -167,7 +184,8 @@ def benchmark_overlaps(
     from 0), ``n_words``, ``n_equal``, and ``n_overlaps``, the number of places.
     Words are lower-cased A-Z and compared by 64-bit hash. An overlap has at
     least ``MIN_WORDS`` words, or the whole item if that is shorter, of which
-    ``MIN_SHARE`` are equal. Items of fewer than ``MIN_ITEM`` words, null or
+    ``MIN_SHARE`` are equal, and begins and ends in equal words or at an end of
+    the item. Items of fewer than ``MIN_ITEM`` words, null or
     empty texts and rows with a null item id are in no overlap; rows of a null
     document id are looked at and reported like others. Rows that repeat an id
     are taken together. The documents are read once for each block of the

@@ -3,11 +3,13 @@
 import json
 import os
 import random
+from itertools import combinations
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from labelgrain.llm.decontamination import benchmark_overlaps, drop_contaminated
+from labelgrain.llm.decontamination import MASKS, MIN_SHARE, MIN_WORDS, SHORT_MASKS, Seeds, benchmark_overlaps, drop_contaminated, overlap, overlaps
 from labelgrain.llm.tool_calls import link_tool_calls
 
 from corpus import frame, prose, texts
@@ -143,3 +145,49 @@ def test_pipeline_of_an_empty_table_and_odd_rows(spark, tmp_path):
         found = {(r.doc_id, r.length) for r in corpus_pipeline.run(spark, folder).collect()}
         assert {i for i, _ in found} == ({None, 3, 4} if part else set())
     assert texts()
+
+
+def valid_run(doc, item):
+    """Whether some diagonal has an overlap, by brute force."""
+    least = min(MIN_WORDS, len(item))
+    for d in range(-len(item), len(doc) + 1):
+        places = [i for i in range(len(doc)) if 0 <= i - d < len(item)]
+        for i in places:
+            for j in places:
+                if j - i + 1 >= least and (doc[i] == item[i - d] or i == d) and (doc[j] == item[j - d] or j - d == len(item) - 1):
+                    if sum(doc[k] == item[k - d] for k in range(i, j + 1)) >= MIN_SHARE * (j - i + 1):
+                        return True
+    return False
+
+
+def test_overlaps_equal_brute_force():
+    rnd = random.Random(4)
+    for n in [*range(5, 21), 25, 40]:
+        for _ in range(60):
+            item = np.array([rnd.getrandbits(40) for _ in range(n)], dtype=np.uint64)
+            part = item[(k := rnd.randint(0, n // 3)) : k + rnd.randint(min(n, 9), n)].copy()
+            for _ in range(rnd.randint(0, len(part) // 3)):
+                part[rnd.randrange(len(part))] = rnd.getrandbits(40)
+            around = [np.array([rnd.getrandbits(40) for _ in range(rnd.randint(0, 6))], dtype=np.uint64) for _ in range(2)]
+            doc = np.concatenate([around[0], part, around[1]])
+            found = list(overlaps(doc, np.array([0, len(doc)]), Seeds([1], [0], [item]).index()))
+            assert bool(found) == valid_run(doc.tolist(), item.tolist()), (n, doc, item)
+
+
+def test_every_substitution_of_a_valid_overlap_is_found():
+    for n in range(5, 20):
+        k = int(n * (1 - MIN_SHARE))
+        for changed in combinations(range(n), k):
+            shifts = range(n - 9) if n >= 10 else [0]
+            masks = SHORT_MASKS.get(n, MASKS)
+            assert any(all(m[c - s] == "0" for c in changed if 0 <= c - s < len(m)) for m in masks for s in shifts), (n, changed)
+
+
+def test_disjoint_overlaps_on_one_diagonal():
+    item = np.arange(60, dtype=np.uint64)
+    doc = item.copy()
+    doc[12:45] += 1000
+    assert sorted(overlap(doc, item, 0)) == [(0, 12, 12), (45, 15, 15)]
+    twelve = item[:12].copy()
+    twelve[9] = 999
+    assert overlap(twelve, item[:12], 0) == [(0, 12, 11)]
