@@ -40,7 +40,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of the documents and their places in training sequences."""
-    return pack_sequences(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack_sequences(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), added=True)
 
 
 STAGES = [

@@ -32,11 +32,11 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, length, capacity)]
 
 
-def token_pieces(docs: DataFrame, ranks_file: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, ranks_file: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32."""
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedTokenizer.at(ranks_file)
+        encoder = CachedTokenizer.at(ranks_file, added)
         end = END_OF_DOCUMENT.to_bytes(4, "little")
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -129,16 +129,17 @@ def best_two_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def pack_sequences(
-    docs: DataFrame, ranks_file: str, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ranks_file: str, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, id_col: str = "doc_id", text_col: str = "text", added: bool = False
 ) -> DataFrame:
     """One row per piece: its document, tokens, sequence and place there.
 
     ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``. A null or
     empty text is the end mark alone. Only documents longer than ``capacity`` are
     cut. Rows alike are packed as often as they occur; a null id is packed like
-    any other. An empty table gives an empty result.
+    any other. An empty table gives an empty result. With ``added`` the added token
+    of the vocabulary is found inside texts.
     """
-    pieces = stored(token_pieces(docs, ranks_file, capacity, id_col, text_col))
+    pieces = stored(token_pieces(docs, ranks_file, capacity, id_col, text_col, added))
     shards = max(1, -(-pieces.count() // shard_pieces))
 
     def pack(key: tuple[int], rows: pd.DataFrame) -> pd.DataFrame:

@@ -30,7 +30,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), added=True)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redacted_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return redacted_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), added=True)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

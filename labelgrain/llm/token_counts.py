@@ -31,8 +31,8 @@ CUT = re.compile(r"(?<=\S)(?= )")
 class WordCounter:
     """Tokens of words, kept per worker."""
 
-    def __init__(self, ranks_file: str) -> None:
-        self.encoder = CachedTokenizer.at(ranks_file)
+    def __init__(self, ranks_file: str, added: bool = False) -> None:
+        self.encoder = CachedTokenizer.at(ranks_file, added)
         self.known: dict[str, int] = {}
 
     def counts(self, words: list[str]) -> list[int]:
@@ -155,13 +155,13 @@ class CountedText:
         self.pieces += [""] * (self.width - len(self.pieces))
 
 
-def with_token_trees(docs: DataFrame, ranks_file: str, text_col: str = "text") -> DataFrame:
+def with_token_trees(docs: DataFrame, ranks_file: str, text_col: str = "text", added: bool = False) -> DataFrame:
     """``docs`` with ``n_tokens``, ``chars_tree`` and ``tokens_tree``; a null text counts as empty."""
     held = docs.drop(*(f.name for f in TREE))
     at = held.columns.index(text_col)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = WordCounter(ranks_file)
+        counter = WordCounter(ranks_file, added)
         for batch in batches:
             totals, chars, tokens = [], [], []
             for text in batch.column(at):
@@ -175,12 +175,14 @@ def with_token_trees(docs: DataFrame, ranks_file: str, text_col: str = "text") -
     return held.mapInArrow(build, T.StructType([*held.schema.fields, *TREE]))
 
 
-def recounted(counted: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
+def recounted(
+    counted: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits", added: bool = False
+) -> DataFrame:
     """Counts after edits, of rows that have their trees.
 
     ``edits_col`` lists replacements of characters ``start`` to ``end`` by
     ``text`` in the order in which they are made, each in the text that the ones
-    before it have left. Null edits are none, a null ``text`` deletes. Result:
+    before it have left. ``added`` is as it was for the trees. Null edits are none, a null ``text`` deletes. Result:
     ``id_col``, ``n_tokens_before``, ``n_edits``, ``n_tokens``, ``n_words`` and
     ``n_encoded``, the words that had to be encoded again.
     """
@@ -190,7 +192,7 @@ def recounted(counted: DataFrame, ranks_file: str, id_col: str = "doc_id", text_
     )
 
     def recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = WordCounter(ranks_file)
+        counter = WordCounter(ranks_file, added)
         for batch in batches:
             rows = []
             for text, chars, tokens, edits in zip(*(batch.column(k) for k in range(1, 5)), strict=True):
@@ -254,11 +256,12 @@ def with_redactions(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return held.mapInArrow(find, T.StructType([*held.schema.fields, T.StructField("edits", kind)]))
 
 
-def redacted_counts(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redacted_counts(docs: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """Token counts of ``docs`` before and after personal data is redacted, one row per row.
 
     A null or empty text has no tokens and no edits; ids may be null or repeat;
-    other columns are not looked at.
+    other columns are not looked at. With ``added`` the added token of the
+    vocabulary is found inside texts and counts as one.
     """
-    counted = with_token_trees(docs.select(id_col, text_col), ranks_file, text_col)
-    return recounted(with_redactions(counted, text_col), ranks_file, id_col, text_col)
+    counted = with_token_trees(docs.select(id_col, text_col), ranks_file, text_col, added)
+    return recounted(with_redactions(counted, text_col), ranks_file, id_col, text_col, added=added)

@@ -9,7 +9,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from labelgrain.llm.packing import best_two_fit, cut, pack_sequences
+from labelgrain.llm.queries import op2_best_fit_packing, op9_token_counts
 from labelgrain.llm.token_counts import CountedText, WordCounter, built, cut_words, recounted, redacted_counts, redactions, sums, with_edits, with_token_trees
 from labelgrain.llm.tokenizing import PATTERN, CachedTokenizer
 
@@ -127,3 +129,45 @@ def test_recounted_rows(spark, tokenizer):
 
 def test_redactions_leave_clean_text():
     assert redactions("a.b 1.2.3 and 12 34 @") == []
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ADDED_TEXTS = [
+    "<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>  b", "a<|endoftext|>b", "x\n<|endoftext|>\ny", "<|endoftext|><|endoftext|> a", " <|endoftext|", "é<|endoftext|>\x85 ü",
+    "one two <|endoftext|>\tthree four", "write to ab@mail.example.com <|endoftext|> now",
+]
+
+
+def test_added_token_inside_texts_as_tokenizers_finds_it(plain):
+    encoder, rnd = CachedTokenizer(RANKS, added=True), random.Random(6)
+    parts = ["<|endoftext|>", " ", "  ", "a", "bc", "\n", "<|", "|>", "é", "12", "!"]
+    for text in ODD + ADDED_TEXTS + ["".join(rnd.choices(parts, k=rnd.randint(1, 12))) for _ in range(500)]:
+        assert encoder.encode(text) == encoder.whole(text) == ids(plain, text).tobytes(), text
+        counter = WordCounter(RANKS, added=True)
+        assert sum(counter.counts(cut_words(text))) == len(ids(plain, text)), text
+    for _ in range(300):
+        text = " ".join(rnd.choices([*parts, "word"], k=rnd.randint(1, 200)))
+        chars, tokens = built(cut_words(text), counter)
+        counted = CountedText(text, sums(chars), sums(tokens), counter)
+        for _ in range(5):
+            start = rnd.randint(0, len(text))
+            end, new = start + rnd.choice([0, 1, 3, 20]), rnd.choice(parts + [""])
+            counted.replace(start, end, new)
+            text = text[:start] + new + text[end:]
+            assert counted.n_tokens == len(ids(plain, text)), text
+
+
+def test_queries_find_the_added_token(spark, plain, tmp_path):
+    rows = list(enumerate(ADDED_TEXTS))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    packed = {r.doc_id: (r.length, r.ids_crc32) for r in op2_best_fit_packing(spark, str(tmp_path)).collect()}
+    whole = {i: np.append(ids(plain, t), np.uint32(0)).astype("<u4") for i, t in rows}
+    assert packed == {i: (len(w), zlib.crc32(w.tobytes())) for i, w in whole.items()}
+    counts = {r.doc_id: (r.n_tokens_before, r.n_tokens) for r in op9_token_counts(spark, str(tmp_path)).collect()}
+    assert counts == {i: (len(whole[i]) - 1, len(ids(plain, t.replace("ab@mail.example.com", "<email>")))) for i, t in rows}
+    docs = frame(spark, rows)
+    assert {r.doc_id: r.length for r in corpus_pipeline.pack(spark, docs, "").collect()} == {i: len(w) for i, w in whole.items()}
