@@ -209,3 +209,25 @@ def test_extra_columns_do_not_matter(spark, operator):
     narrow = wide.select("doc_id", "text")
     assert sorted(map(repr, operator(wide).collect())) == sorted(map(repr, operator(narrow).collect()))
     assert SCHEMA.count(",") == 6
+
+
+def test_recall_of_alike_lines_by_length(spark):
+    """Of lines with a tenth to a quarter of their words changed, nine in ten that are alike by brute force are found, at each length."""
+    rnd = __import__("random").Random(9)
+    word = lambda: "".join(rnd.choices("etaoinshrdlu", k=rnd.choice([1, 2, 2, 3, 4, 5, 6, 8, 10])))
+    made = {}
+    for n in (8, 15, 27, 40, 80):
+        for _ in range(40):
+            line = [word() for _ in range(n)]
+            other = line.copy()
+            for k in rnd.sample(range(n), max(1, round(n * rnd.choice([0.1, 0.15, 0.2, 0.25])))):
+                other[k] = word()
+            pair = " ".join(line), " ".join(other)
+            if 1 - levenshtein(*pair) / max(map(len, pair)) >= 0.8:
+                made.setdefault(n, []).append(pair)
+    rows = list(enumerate(t for pairs in made.values() for pair in pairs for t in pair))
+    found = {r.line.hex(): r.group.hex() for r in line_groups(frame(spark, rows)).collect()}
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    recall = {n: sum(found.get(digest(a), a) == found.get(digest(b), b) for a, b in pairs) / len(pairs) for n, pairs in made.items()}
+    print({n: (round(recall[n], 3), len(pairs)) for n, pairs in made.items()})
+    assert all(len(pairs) >= 20 for pairs in made.values()) and min(recall.values()) >= 0.9, recall
