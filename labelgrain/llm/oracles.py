@@ -98,4 +98,43 @@ SELECT doc_id, len(grams)::BIGINT AS n_shingles, coalesce(component, doc_id) AS
 FROM s LEFT JOIN comp ON s.doc_id = comp.node
 """
 
-ORACLES: dict[str, str] = {"op3_suffix_dedup": OP3, "op5_tool_calls": OP5, "op6_exact_dedup": OP6, "op8_jaccard_join": OP8}
+OP11 = r"""
+WITH RECURSIVE
+codes AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, i) ORDER BY i) AS tab
+    FROM range(256) r(i)
+),
+runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{5,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+    FROM documents
+),
+u AS (SELECT w, count(*) AS k, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM runs GROUP BY doc_id, w),
+b AS (SELECT w, k, list_transform(range(1, length(x), 2), lambda i: 16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1) AS bytes FROM u),
+h AS (SELECT w, k, xor(4294967295, list_reduce(bytes, lambda c, o: xor(c // 256, tab[xor(c, o) % 256 + 1]), 4294967295::BIGINT)) AS h FROM b, codes),
+c AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, sum(k)::BIGINT AS n
+    FROM h GROUP BY 1
+),
+v AS (SELECT word, n FROM c WHERE length(word) >= 5 AND n >= 3),
+d AS (SELECT word, n, length(word) AS l, unnest(range(1, length(word) + 1)) AS i FROM v),
+cut AS (SELECT word, n, l, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM d),
+near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (l, i, rest) WHERE a.word <> b.word
+    UNION SELECT cut.word, cut.n, v.word, v.n FROM cut JOIN v ON v.word = rest
+    UNION SELECT v.word, v.n, cut.word, cut.n FROM cut JOIN v ON v.word = rest
+),
+best AS (SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS place FROM near),
+f AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form, CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+    FROM v LEFT JOIN best ON best.word = v.word AND place = 1
+),
+steps AS (
+    SELECT word, coalesce(form, word) AS root FROM f
+    UNION
+    SELECT steps.word, f.form FROM steps JOIN f ON f.word = steps.root WHERE f.form IS NOT NULL
+),
+ends AS (SELECT steps.word, root FROM steps JOIN f ON f.word = root WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
+"""
+
+ORACLES: dict[str, str] = {"op3_suffix_dedup": OP3, "op5_tool_calls": OP5, "op6_exact_dedup": OP6, "op8_jaccard_join": OP8, "op11_spelling_variants": OP11}

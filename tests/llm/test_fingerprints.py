@@ -1,0 +1,140 @@
+"""Lempel-Ziv fingerprints against plain parsing."""
+
+import hashlib
+import random
+import time
+
+import pytest
+
+import labelgrain.llm.lz_fingerprint as lz
+from labelgrain.llm.lz_fingerprint import HASHES, Document, Parse, as_text, code_points, fingerprints, from_text, likeness, neighbour_likeness, smallest_hashes
+
+from corpus import frame, texts
+
+
+def phrases(text):
+    found, start = set(), 0
+    for end in range(1, len(text) + 1):
+        if text[start:end] not in found:
+            found.add(text[start:end])
+            start = end
+    return found
+
+
+def parsed(text, *pieces):
+    parse, ends = Parse(), []
+    for piece in pieces or (text,):
+        ends += parse.feed(piece)
+    return {text[a:b] for a, b in zip([0, *ends], ends)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited(text, following):
+    r = len(text) // 4
+    return text[: len(text) - r] + following[:r]
+
+
+def test_phrases():
+    for text in texts(3) + ["a" * 500, "ab" * 300, "日本語" * 50 + "é😀" * 9]:
+        text = text or ""
+        assert parsed(text) == phrases(text)
+        assert parsed(text, text[:7], text[7:20], text[20:]) == phrases(text)
+        document = Document(1, text)
+        before = repr(document.parse.root)
+        document.parse.feed_and_forget("some other end")
+        assert repr(document.parse.root) == before
+
+
+def test_a_dictionary_that_starts_anew(monkeypatch):
+    """Phrases are bounded strings then, and the kept parse is as before."""
+    monkeypatch.setattr(lz, "DICTIONARY", 40)
+    text = " ".join(t or "" for t in texts(4))
+    parse = Parse()
+    ends = parse.feed(text)
+    starts = [0, *ends[:-1]]
+    for block in range(0, len(ends), 40):
+        own = [text[a:b] for a, b in zip(starts[block : block + 40], ends[block : block + 40])]
+        assert len(set(own)) == len(own)
+        if block + 40 < len(ends):
+            assert set(own) == phrases(text[starts[block] : ends[block + 39]])
+    root, before = parse.root, repr(parse.root)
+    first = parse.feed_and_forget(text[:500])
+    assert parse.root is root and repr(root) == before and first == parse.feed_and_forget(text[:500])
+
+
+def test_likeness_estimates_jaccard():
+    """Exact for small sets, close for large ones."""
+    made = [t or "" for t in texts(5, 40)]
+    errors = []
+    for a, b in zip(made, made[1:] + made[:1], strict=True):
+        for other in (b, edited(a, b)):
+            left, right = (smallest_hashes(code_points(t), Parse().feed(t)) for t in (a, other))
+            true = jaccard(phrases(a), phrases(other))
+            if len(phrases(a) | phrases(other)) <= HASHES:
+                assert abs(likeness(left, right) - true) < 1e-12
+            errors.append(likeness(left, right) - true)
+    assert max(map(abs, errors)) < 0.2 and abs(sum(errors) / len(errors)) < 0.02
+    empty = smallest_hashes(code_points(""), [])
+    assert likeness(empty, empty) == 1.0 and likeness(empty, left) == 0.0
+    assert from_text(as_text(left)).tolist() == left.tolist()
+
+
+def rows_of(df):
+    assert df.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def expected_rows(rows):
+    """``rows`` in order."""
+    found = []
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        text, after = text or "", after or ""
+        other = edited(text, after)
+        own, changed, follow = (smallest_hashes(code_points(t), Parse().feed(t)) for t in (text, other, after))
+        found.append((i, len(text), hashlib.sha256(other.encode()).hexdigest(), as_text(own), as_text(changed), likeness(own, changed), likeness(own, follow)))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_neighbours_at_any_partitioning(spark, partitions):
+    rows = [(3 * i, t) for i, t in enumerate(texts(6))] + [(10**9, "last 😀 of all 日本 " * 5)]
+    shuffled = rows.copy()
+    random.Random(2).shuffle(shuffled)
+    assert rows_of(neighbour_likeness(frame(spark, shuffled).repartition(4), partitions=partitions)) == expected_rows(rows)
+    assert rows_of(neighbour_likeness(spark.createDataFrame(shuffled, "doc_id bigint, text string"), partitions=partitions)) == expected_rows(rows)
+
+
+def test_odd_tables(spark):
+    assert rows_of(neighbour_likeness(frame(spark, []))) == []
+    assert rows_of(neighbour_likeness(frame(spark, [(4, "alone alone alone")]))) == expected_rows([(4, "alone alone alone")])
+    assert rows_of(neighbour_likeness(frame(spark, [(1, None), (2, "")]))) == expected_rows([(1, None), (2, "")])
+    # rows alike follow each other, null ids come first
+    rows = [(None, "no id here")] + [(5, "the same row " * 4)] * 30 + [(6, "another row " * 3)]
+    assert rows_of(neighbour_likeness(frame(spark, rows[::-1]), partitions=7)) == expected_rows(rows)
+
+
+def test_fingerprints(spark):
+    rows = list(enumerate(texts(8))) + [(None, "one"), (7000, "one")]
+    found = [(r.doc_id, r.fingerprint) for r in fingerprints(frame(spark, rows)).collect()]
+    by_text = {}
+    for i, f in found:
+        text = dict(rows)[i] or ""
+        assert by_text.setdefault(text, f) == f
+    assert len(found) == len(rows) and by_text[""] == "" and all(len(f) <= 8 * HASHES for _, f in found)
+    assert fingerprints(frame(spark, [])).count() == 0
+
+
+def test_very_long_texts(spark):
+    """Two million letters of few phrases, and two million characters without a space."""
+    rnd = random.Random(1)
+    wide = "".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(2_000_000))
+    rows = [(1, "a" * 2_000_000), (2, wide), (3, "short")]
+    start = time.time()
+    found = {r.doc_id: r for r in neighbour_likeness(frame(spark, rows)).collect()}
+    assert time.time() - start < 120
+    assert found[1].n_chars == found[2].n_chars == 2_000_000
+    assert found[2].edited_sha256 == hashlib.sha256((wide[:1_500_000] + "short").encode()).hexdigest()
+    assert found[1].near_next < 0.05 and 0.5 < found[2].near_edited < 0.9
