@@ -12,6 +12,9 @@ number of cores at that moment, and leaves it set.
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ def file_order(file: Column) -> list[Column]:
     return [F.substring(file, F.lit(1), F.length(file) - F.length(name)), number, name]
 
 
-def number_rows(scan: DataFrame, header_lines: int = 0) -> DataFrame:
+def number_rows(scan: DataFrame, header_lines: int = 0, index: str | None = None) -> DataFrame:
     """Add ``row_no`` to a file scan, counting from 0 in the order of files.
 
     ``scan`` comes straight from a file reader. The first ``header_lines`` rows
@@ -46,6 +49,11 @@ def number_rows(scan: DataFrame, header_lines: int = 0) -> DataFrame:
     list is broadcast: a few numbers per block of at most
     ``spark.sql.files.maxPartitionBytes``, and no more than the driver holds when
     it plans the scan.
+
+    The lists take a pass over the data. With ``index``, a folder, they are kept
+    there under a fingerprint of the files and of the settings that split them,
+    and later reads of the same files take them from there. Files that have
+    changed are counted again.
     """
     pin_splits(scan.sparkSession)
     data = list(scan.columns)
@@ -58,7 +66,10 @@ def number_rows(scan: DataFrame, header_lines: int = 0) -> DataFrame:
         F.monotonically_increasing_id().alias("seq"),
     )
     blocks = placed.groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"))
-    starts = F.broadcast(_block_starts(blocks, header_lines))
+    starts = _block_starts(blocks, header_lines)
+    if index is not None:
+        starts = _kept(starts, f"{index}/blocks-{_fingerprint(scan, header_lines)}")
+    starts = F.broadcast(starts)
     found = placed.join(starts, "task", "left").withColumn("_own", F.try_element_at(F.filter("begins", lambda b: b["first_seq"] <= F.col("seq")), F.lit(-1)))
     moved = (F.col("_own.key") != F.xxhash64("file", "block", "length")) | F.col("_own").isNull()
     message = F.concat(F.lit("file splits moved between the two passes over "), F.col("file"))
@@ -70,6 +81,31 @@ def number_rows(scan: DataFrame, header_lines: int = 0) -> DataFrame:
     return numbered.select(row_no.cast("bigint").alias("row_no"), "file", "line_no", *data)
 
 
+def _fingerprint(scan: DataFrame, header_lines: int) -> str:
+    """What the lists of blocks depend on: paths, lengths and times of the files, and the settings that split them.
+
+    No file is opened.
+    """
+    spark = scan.sparkSession
+    listed = spark.read.format("binaryFile").load(scan.inputFiles()).select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+    found = listed.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("x"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).alias("s")).first()
+    settings = [spark.conf.get(f"spark.sql.files.{name}") for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")]
+    plan = [*found, *settings, spark.conf.get("spark.sql.files.maxPartitionNum", ""), header_lines, scan.columns]
+    return hashlib.sha256(repr(plan).encode()).hexdigest()[:32]
+
+
+def _kept(starts: DataFrame, path: str) -> DataFrame:
+    """``starts`` as stored in ``path``, where it is written unless it is there."""
+    spark = starts.sparkSession
+    try:
+        return spark.read.schema(starts.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    starts.write.mode("overwrite").parquet(path)
+    return spark.read.schema(starts.schema).parquet(path)
+
+
 def _block_starts(blocks: DataFrame, header_lines: int) -> DataFrame:
     """Per task its blocks in order: a hash of the block, and the first number of its rows, lines and file.
 
@@ -93,6 +129,6 @@ def _block_starts(blocks: DataFrame, header_lines: int) -> DataFrame:
     return based.groupBy("task").agg(F.sort_array(F.collect_list(entry)).alias("begins"))
 
 
-def read_lines(spark: SparkSession, path: str | list[str], header_lines: int = 0) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], header_lines: int = 0, index: str | None = None) -> DataFrame:
     """Numbered lines of text files: ``row_no``, ``file``, ``line_no``, ``value``."""
-    return number_rows(spark.read.text(path), header_lines)
+    return number_rows(spark.read.text(path), header_lines, index)

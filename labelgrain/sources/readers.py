@@ -6,7 +6,7 @@ Every schema is declared; nothing is inferred.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelgrain.fixed_values import (
@@ -20,6 +20,7 @@ from labelgrain.fixed_values import (
 from labelgrain.functions.labels import collapse_grade, fail_when, normalise_key, parse_vector
 from labelgrain.functions.text import strip, tab_field_count, tab_fields
 from labelgrain.sources.lines import number_rows, read_lines
+from labelgrain.sources.quoted import read_quoted_records
 
 Path = str | list[str]
 
@@ -36,7 +37,7 @@ def _checked(lines: DataFrame, bad: Column, what: str, on_bad: str) -> DataFrame
 
 def read_graded(
     spark: SparkSession, path: Path, header_lines: int = HEADER_LINES, on_bad: str = "raise",
-    strict_labels: bool = False, quoted: bool = False,
+    strict_labels: bool = False, quoted: bool = False, index: str | None = None,
 ) -> DataFrame:
     """Graded paragraphs: five fields and the last non-empty one as the grade.
 
@@ -44,12 +45,13 @@ def read_graded(
     orig_label``. A row of fewer than five fields raises, or with
     ``on_bad='drop'`` is left to ``rejected_lines``. ``strict_labels`` also
     raises on grades outside 0..4. ``quoted`` reads fields with CSV quoting.
+    ``index`` names a folder that keeps block counts, see ``number_rows``.
     """
     if quoted:
-        return _read_graded_quoted(spark, path, header_lines, strict_labels)
+        return _read_graded_quoted(spark, path, header_lines, strict_labels, index)
     # exploded out of an array of one, the fields are made once: a filter on them would else repeat them below itself
     fields = F.explode(F.array(tab_fields(strip(F.col("value")))))
-    lines = read_lines(spark, path, header_lines).select("row_no", "value", fields.alias("f"))
+    lines = read_lines(spark, path, header_lines, index).select("row_no", "value", fields.alias("f"))
     good = _checked(lines, F.size("f") < 5, "fewer than 5 fields", on_bad)
     grade = F.element_at("f", -1)
     return good.select(
@@ -60,23 +62,14 @@ def read_graded(
     )
 
 
-def _read_graded_quoted(spark: SparkSession, path: Path, header_lines: int, strict_labels: bool) -> DataFrame:
-    """Six columns with double quotes as in CSV; a quoted field may hold tabs and
-    line breaks, so a file is read by one task. Blank lines are not records, and
-    the header is counted in lines, so blank header lines are taken off it."""
+def _read_graded_quoted(spark: SparkSession, path: Path, header_lines: int, strict_labels: bool, index: str | None) -> DataFrame:
+    """Six columns with double quotes as in CSV; a quoted field may hold tabs and line breaks."""
     schema = ", ".join(f"{c} string" for c in GRADED_COLUMNS)
-    reader = spark.read.schema(schema).option("sep", "\t").option("quote", '"').option("escape", '"')
-    records = number_rows(reader.option("multiLine", True).csv(path))
-    lines = read_lines(spark, path).where(F.col("line_no") < header_lines)
-    header = lines.groupBy("file").agg(F.count_if(strip(F.col("value")) != "").alias("records"))
-    # one row per file; the header records of this and earlier files come off the number
-    so_far = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, 0)
-    header = header.withColumn("dropped", F.sum("records").over(so_far))
-    body = records.join(header, "file").where(F.col("line_no") >= F.col("records"))
-    grade = F.col("label")
-    return body.select(
-        (F.col("row_no") - F.col("dropped")).alias("row_no"), *GRADED_COLUMNS[:5], collapse_grade(grade, strict_labels).alias("label"), grade.alias("orig_label")
-    )
+    # with multiLine the parser leaves line ends in quoted fields as they are
+    fields = F.from_csv("value", schema, {"sep": "\t", "quote": '"', "escape": '"', "multiLine": "true"})
+    records = read_quoted_records(spark, path, header_lines, index=index).select("row_no", fields.alias("f"))
+    grade = F.col("f.label")
+    return records.select("row_no", *[f"f.{c}" for c in GRADED_COLUMNS[:5]], collapse_grade(grade, strict_labels).alias("label"), grade.alias("orig_label"))
 
 
 def rejected_lines(spark: SparkSession, path: Path, header_lines: int = HEADER_LINES, fields: int = 5) -> DataFrame:
@@ -87,14 +80,14 @@ def rejected_lines(spark: SparkSession, path: Path, header_lines: int = HEADER_L
 
 
 def read_annotations(
-    spark: SparkSession, path: Path, header_lines: int = HEADER_LINES, on_bad: str = "raise"
+    spark: SparkSession, path: Path, header_lines: int = HEADER_LINES, on_bad: str = "raise", index: str | None = None
 ) -> DataFrame:
     """Category annotations, ten fields per line, with ``row_no``.
 
     The two ids, the tag and the annotator count come from the stripped line,
     counted from its ends; the fields between come from the line as it is.
     """
-    lines = read_lines(spark, path, header_lines)
+    lines = read_lines(spark, path, header_lines, index)
     raw, stripped = F.col("value"), strip(F.col("value"))
     short = (tab_field_count(stripped) < 2) | (tab_field_count(raw) < 8)
     good = _checked(lines, short, "too few fields", on_bad)
@@ -107,10 +100,10 @@ def read_annotations(
     )
 
 
-def read_unlabelled(spark: SparkSession, path: Path, header_lines: int = 0, on_bad: str = "raise") -> DataFrame:
+def read_unlabelled(spark: SparkSession, path: Path, header_lines: int = 0, on_bad: str = "raise", index: str | None = None) -> DataFrame:
     """Five fields per line, no header; short lines get nulls, longer ones raise."""
     line = strip(F.col("value"))
-    good = _checked(read_lines(spark, path, header_lines), tab_field_count(line) > 5, "more than 5 fields", on_bad)
+    good = _checked(read_lines(spark, path, header_lines, index), tab_field_count(line) > 5, "more than 5 fields", on_bad)
     return good.select("row_no", tab_fields(line).alias("f")).select("row_no", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(UNLABELLED_COLUMNS)])
 
 
@@ -121,9 +114,9 @@ def read_split(spark: SparkSession, path: Path) -> DataFrame:
     return number_rows(scan).select("row_no", normalise_key(F.col("par_id")).alias("par_id"), "label")
 
 
-def read_label_lines(spark: SparkSession, path: Path, label_col: str = "label") -> DataFrame:
+def read_label_lines(spark: SparkSession, path: Path, label_col: str = "label", index: str | None = None) -> DataFrame:
     """One int per line with ``row_no``; anything else raises."""
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, index=index)
     number = strip(F.col("value")).try_cast("int")
     bad = F.concat(F.lit("not an int, row "), F.col("row_no").cast("string"), F.lit(": "), F.col("value"))
     return lines.select("row_no", fail_when(number.isNull(), bad, number).alias(label_col))

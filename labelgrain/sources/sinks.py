@@ -6,7 +6,10 @@ input that is expensive to compute before it is written in order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelgrain.functions.labels import format_vector
@@ -56,3 +59,24 @@ def append_metrics(df: DataFrame, path: str, file_format: str = "parquet") -> No
     if file_format == "csv":
         writer = writer.option("header", True)
     writer.save(path)
+
+
+def record_metrics(df: DataFrame, path: str, keys: Sequence[str] = ("epoch",)) -> None:
+    """Add log rows, each in place of any earlier one with its ``keys``.
+
+    The keys name folders, and only those of ``df`` are written anew, so a job
+    that is tried again leaves no row twice. Every folder has one file; rows of
+    ``df`` alike in their keys are kept as they are. A null key has a folder of its own.
+    """
+    writer = df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
+
+
+def recorded_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """What ``record_metrics`` has written, or None if nothing was."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from labelgrain.fixed_values import GRADED_COLUMNS
 from labelgrain.operators import categories
 from labelgrain.sources import readers, sinks
 from labelgrain.sources.lines import read_lines
+from labelgrain.sources.quoted import read_quoted_records
 
 HEADER = "-----\nnotice\twith\ttabs\n\n=====\n"
 
@@ -90,6 +93,83 @@ def test_quoted_mode_merges_lines(spark, tmp_path):
     assert readers.read_graded(spark, swallowed).count() == 2
 
 
+def as_csv(spark, path):
+    """One file by the reader that gives it to one task."""
+    reader = spark.read.schema("a string, b string, c string").options(sep="\t", quote='"', escape='"', multiLine=True)
+    return [tuple(r) for r in reader.csv(path).coalesce(1).collect()]
+
+
+def as_records(spark, path, **options):
+    fields = F.from_csv("value", "a string, b string, c string", {"sep": "\t", "quote": '"', "escape": '"', "multiLine": "true"})
+    found = read_quoted_records(spark, path, **options).select("row_no", fields.alias("f")).orderBy("row_no").collect()
+    assert [r.row_no for r in found] == list(range(len(found)))
+    return [tuple(r.f) for r in found]
+
+
+@pytest.mark.parametrize(("chunk_lines", "end"), [(1, "\n"), (3, "\r\n"), (1000, "\n")])
+def test_quoted_records_equal_the_csv_reader(spark, tmp_path, chunk_lines, end):
+    rnd = random.Random(chunk_lines)
+    pieces = ["a", "b ", '"', "\t", "\n", '""', '"x\ny"\t', '"p\tq"\n', 'z"z', '"\t', '"\n', "\n\n"]
+    for k in range(2):
+        # a field left open keeps no line end at the end of the file
+        text = "".join(rnd.choice(pieces) for _ in range(300)).strip("\n").replace("\n", end)
+        (tmp_path / str(k)).mkdir()
+        (tmp_path / str(k) / "f.tsv").write_bytes(text.encode())
+        path = str(tmp_path / str(k) / "f.tsv")
+        assert as_records(spark, path, chunk_lines=chunk_lines) == as_csv(spark, path)
+
+
+def test_quoted_file_is_read_by_many_tasks(spark, tmp_path, conf):
+    """Records go over line ends at the borders of splits and of chunks."""
+    lines = [f'{i}\t"{"word " * (i % 9)}{chr(10) * (i % 4)}""x"""\t{i % 5}' for i in range(3000)]
+    path = put(tmp_path, "q.tsv", "\n".join(lines) + "\n")
+    conf("spark.sql.files.maxPartitionBytes", "8k")
+    conf("spark.sql.files.openCostInBytes", "1k")
+    assert read_quoted_records(spark, path).select(F.spark_partition_id()).rdd.getNumPartitions() > 1
+    assert spark.read.text(path).rdd.getNumPartitions() > 8
+    assert as_records(spark, path, chunk_lines=100) == as_csv(spark, path)
+    long = put(tmp_path / "long", "q.tsv", 'a\t"' + 'long ""text"" ' * 50_000 + '"\tc\n' + "p" * 200_000 + "\tq\tr\n")
+    assert [tuple(map(len, r)) for r in as_records(spark, long)] == [(1, 600_000, 1), (200_000, 1, 1)]
+    assert as_records(spark, put(tmp_path / "none", "q.tsv", "")) == []
+    assert as_records(spark, put(tmp_path / "blank", "q.tsv", "\n\n\n")) == []
+
+
+def test_block_counts_are_kept(spark, tmp_path, monkeypatch):
+    """A second read of the same files counts nothing; changed files are counted again."""
+    import labelgrain.sources.lines as module
+
+    counted = []
+    plain = module._block_starts
+    monkeypatch.setattr(module, "_block_starts", lambda *a: counted.append(1) or plain(*a))
+    for name in "ba":
+        put(tmp_path / "in", f"{name}.txt", "".join(f"{name}{i}\n" for i in range(50)))
+    index, path = str(tmp_path / "index"), str(tmp_path / "in")
+    expected = rows(read_lines(spark, path, 2), "row_no", "value")
+
+    def scans(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [value")
+
+    first = read_lines(spark, path, 2, index)
+    kept = sorted((tmp_path / "index").iterdir())
+    again = read_lines(spark, path, 2, index)
+    assert rows(first, "row_no", "value") == rows(again, "row_no", "value") == expected
+    assert len(kept) == 1 and sorted((tmp_path / "index").iterdir()) == kept
+    assert scans(read_lines(spark, path, 2)) == 2 and scans(first) == scans(again) == 1
+    put(tmp_path / "in", "a.txt", "".join(f"new {i}\n" for i in range(70)))
+    assert rows(read_lines(spark, path, 2, index), "row_no", "value") == rows(read_lines(spark, path, 2), "row_no", "value")
+    assert len(list((tmp_path / "index").iterdir())) == 2
+
+
+def test_metrics_are_recorded_once(spark, tmp_path):
+    """Two writes of the same epoch leave one row, and others stay."""
+    path, schema = str(tmp_path / "log"), "run string, epoch int, f1 double"
+    assert sinks.recorded_metrics(spark, path, schema) is None
+    for row in [("a", 1, 0.1), ("a", 2, 0.2), ("b", 1, 0.3), ("a", 2, 0.25), (None, 1, 0.4), ("a", 1, 0.1)]:
+        sinks.record_metrics(spark.createDataFrame([row], schema), path, ["run", "epoch"])
+    found = sinks.recorded_metrics(spark, path, schema).select("run", "epoch", "f1").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([("a", 1, 0.1), ("a", 2, 0.25), ("b", 1, 0.3), (None, 1, 0.4)], key=repr)
+
+
 def test_annotations_mix_stripped_and_raw_fields(spark, tmp_path):
     line = " 9\ta\t text \tkw\tgb\t0\t4\tspan\tCompassion\t2\t \n"
     path = put(tmp_path, "c.tsv", HEADER + line)
