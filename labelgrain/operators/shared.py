@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -22,6 +24,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again.
+
+    It cuts lineage, lost executors lose nothing of it, later reads take only the
+    columns they need, and the planner knows its size. The files stay until the
+    folder is emptied.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def top_per_group(
     df: DataFrame, group_cols: list[str], order: list[Column], k: int, spread_cols: list[str]
 ) -> DataFrame:

@@ -408,6 +408,19 @@ FROM vectors v JOIN documents d ON d.doc_id = v.doc_id LEFT JOIN labels l ON l.d
         "submission_scores": f"SELECT line, name, value FROM ({with_corpus('SELECT * FROM named', counts, s, NAMED)})"
         f" UNION ALL SELECT position + 3, 'task2_' || label, f1 FROM ({multilabel()})",
         "classifier_checks": "SELECT lang, count(*) AS n, count(*) AS n_ids, count(*) AS n_probabilities, count(*) AS n_decisions FROM documents GROUP BY lang",
+        "epoch_checks": "SELECT CAST(epoch AS INTEGER) AS epoch, true AS falls, true AS on_grid, true AS finite_loss, true AS possible_f1 FROM range(1, 11) AS epochs(epoch)",
+        "focal_gradient": with_corpus(
+            """SELECT CAST(feature AS INTEGER) AS feature, round(coalesce(value, 0) / (SELECT count(*) FROM corpus), 9) AS value
+FROM range(66) AS features(feature) LEFT JOIN (
+  SELECT f AS feature, sum(CASE WHEN f = 65 THEN loss WHEN f = 64 THEN slope ELSE slope / 4 END) AS value
+  FROM (SELECT slope, loss, unnest(list_concat(words, [64, 65])) AS f FROM slopes) GROUP BY f
+) USING (feature)""",
+            """words AS (SELECT label, [len(text) % 32, 32 + score_milli % 16, 48 + doc_id % 16, 48 + score_milli % 7] AS words FROM corpus)""",
+            """margins AS (SELECT *, (64 * 37 % 101)::DOUBLE / 50 - 1 + list_sum(list_transform(words, lambda f: (f * 37 % 101)::DOUBLE / 50 - 1)) / 4 AS m FROM words)""",
+            """own AS (SELECT *, 1 / (1 + exp(CASE WHEN label = 1 THEN -m ELSE m END)) AS p, CASE WHEN label = 1 THEN 2.0 ELSE 0.5 END::DOUBLE AS a FROM margins)""",
+            """slopes AS (SELECT words, a * (1 - p) ** 2 * -(0.9::DOUBLE * ln(p) + 0.1::DOUBLE * ln(1 - p)) AS loss,
+  -- the loss by p, times the derivative of p by the log-odds
+  CASE WHEN label = 1 THEN 1 ELSE -1 END * p * (1 - p) * a * (2 * (1 - p) * (0.9::DOUBLE * ln(p) + 0.1::DOUBLE * ln(1 - p)) - (1 - p) ** 2 * (0.9::DOUBLE / p - 0.1::DOUBLE / (1 - p))) AS slope FROM own)"""),
         "trial_checks": "SELECT CAST(epoch AS INTEGER) AS epoch, true AS on_grid, true AS finite_loss, true AS possible_f1 FROM (VALUES (1), (2)) AS trials(epoch)",
     }
 

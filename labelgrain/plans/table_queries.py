@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelgrain.fixed_values import GRADED_COLUMNS, TAG_IDS, TASK_FILES, VECTOR_NAMES
 from labelgrain.functions import labels as L
 from labelgrain.functions import numbers as N
 from labelgrain.functions import text as T
-from labelgrain.operators import categories, classify, curves, errors, explore, metrics, splits, trials
+from labelgrain.operators import categories, classify, curves, errors, explore, focal, metrics, splits, trials
 from labelgrain.operators.shared import shared_folder
 from labelgrain.plans.score_files import named_binary_scores, score_submission
 from labelgrain.sources import readers, sinks
@@ -425,13 +426,13 @@ def stored_probabilities(spark, sf_dir):
 
 
 def metrics_log(spark, sf_dir):
-    """The trial log appended in two portions and read back."""
+    """The trial log written in two portions, the second of them twice, and read back."""
     path = _scratch(spark, "log")
     log = _trial_log(spark, sf_dir)
-    for portion in (F.col("country") == "en", F.col("country") != "en"):
-        sinks.append_metrics(log.where(portion), path)
-    schema = "country string, epoch int, threshold double, best_tuned_f1 double"
-    return spark.read.schema(schema).parquet(path)
+    for portion in (F.col("country") == "en", F.col("country") != "en", F.col("country") != "en"):
+        sinks.record_metrics(log.where(portion), path, ["country", "epoch"])
+    found = sinks.recorded_metrics(spark, path, "country string, epoch int, threshold double, best_tuned_f1 double")
+    return found.select("country", "epoch", "threshold", "best_tuned_f1")
 
 
 def label_file_scores(spark, sf_dir):
@@ -466,24 +467,21 @@ def vector_file_scores(spark, sf_dir):
     return metrics.multilabel_scores(splits.align(gold, pred, extra="ignore"), "gold", "guess")
 
 
-def _terms(spark, sf_dir):
-    """Hashed term counts of every document, computed once."""
-    return classify.term_vectors(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-
-
-def _learning_parts(spark, sf_dir, terms):
-    """All labelled documents: two thirds are trained on, the others are dev."""
-    rows = terms.join(corpus(spark, sf_dir).select("doc_id", "label"), "doc_id")
+def _in_parts(rows):
+    """Two thirds are trained on, the others are dev."""
     part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
     return rows.where(part != 0), rows.where(part == 0)
 
 
+def _epochs(spark, sf_dir, settings=focal.Settings()):
+    return focal.train_epochs(*_in_parts(corpus(spark, sf_dir).select("doc_id", "text", "label")), settings)
+
+
 def _classified(spark, sf_dir):
-    terms = _terms(spark, sf_dir)
-    train, dev = _learning_parts(spark, sf_dir, terms)
-    model = classify.fit_classifier(train, "text", "label", splits.class_weights(train, "label"))
-    tuned = curves.best_threshold(curves.threshold_sweep(classify.score(model, dev), "prob", "label")).first()
-    return classify.predict(model, terms, tuned["threshold"]), tuned["threshold"]
+    model, log = _epochs(spark, sf_dir)
+    threshold = trials.best_trial(log).first()["threshold"]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return focal.predict(model, docs, threshold, "text").drop("text"), threshold
 
 
 def classifier_scores(spark, sf_dir):
@@ -502,11 +500,47 @@ def classifier_checks(spark, sf_dir):
     )
 
 
+def epoch_log(spark, sf_dir):
+    """Ten epochs of training on the focal loss, with loss, dev F1 and threshold, and whether each was the best so far."""
+    return trials.best_so_far(_epochs(spark, sf_dir)[1].withColumn("run", F.lit("focal")), "run").drop("run")
+
+
+def epoch_checks(spark, sf_dir):
+    """Per epoch whether its loss is below the last one's, its threshold one of the grid's and its F1 possible."""
+    log = _epochs(spark, sf_dir, focal.Settings(reg=0.0))[1]
+    before = F.lag("train_loss").over(Window.partitionBy(F.lit(0)).orderBy("epoch"))
+    return log.select("epoch", F.coalesce(F.col("train_loss") < before, F.lit(True)).alias("falls"), *_possible())
+
+
+def focal_gradient(spark, sf_dir):
+    """The focal loss of the labelled documents and its gradient, at weights and features made of small numbers."""
+    settings = focal.Settings(features=64)
+    words = F.array(F.length("text") % 32, 32 + F.col("score_milli") % 16, 48 + F.col("doc_id") % 16, 48 + F.col("score_milli") % 7).cast("array<int>")
+    rows = corpus(spark, sf_dir).select(words.alias("_words"), "label", F.when(F.col("label") == 1, 2.0).otherwise(0.5).alias("_alpha"))
+    weights = np.array([(f * 37 % 101) / 50 - 1 for f in range(65)])
+    loss, gradient = focal.loss_and_gradient(rows, "label", weights, settings)
+    values = [(f, float(g)) for f, g in enumerate(gradient)] + [(65, loss)]
+    return spark.createDataFrame(values, "feature int, value double").select("feature", F.round("value", 9).alias("value"))
+
+
 def _trials(spark, sf_dir):
-    train, dev = _learning_parts(spark, sf_dir, _terms(spark, sf_dir))
+    rows = corpus(spark, sf_dir).select("doc_id", "text", "label")
+    train, dev = _in_parts(classify.term_vectors(rows, "text"))
     return classify.run_trials(train, dev, [classify.Params(), classify.Params(reg=0.1)])[1]
 
 
+def _possible():
+    """Whether a logged threshold is one of the grid's, the loss finite and the F1 possible."""
+    near = F.rint((F.col("threshold") - curves.GRID_LOW) / curves.GRID_STEP)
+    on_grid = F.abs(F.col("threshold") - curves.GRID_LOW - near * curves.GRID_STEP) < 1e-9
+    loss = F.col("train_loss")
+    return [
+        (on_grid & F.col("threshold").between(curves.GRID_LOW, curves.GRID_HIGH)).alias("on_grid"),
+        (loss.isNotNull() & ~F.isnan(loss) & (loss >= 0) & (loss < float("inf"))).alias("finite_loss"),
+        F.col("best_tuned_f1").between(F.col("dev_f1_05") * 0, 1.0).alias("possible_f1"),
+    ]
+
+
 def trial_log(spark, sf_dir):
     """Two trials that differ in regularisation, with loss, dev F1 and threshold."""
     return trials.best_so_far(_trials(spark, sf_dir).withColumn("run", F.lit("grid")), "run").drop("run")
@@ -514,14 +548,7 @@ def trial_log(spark, sf_dir):
 
 def trial_checks(spark, sf_dir):
     """Of each trial, whether its threshold is one of the grid's, its loss finite and its F1 possible."""
-    near = F.rint((F.col("threshold") - curves.GRID_LOW) / curves.GRID_STEP)
-    on_grid = F.abs(F.col("threshold") - curves.GRID_LOW - near * curves.GRID_STEP) < 1e-9
-    loss = F.col("train_loss")
-    return _trials(spark, sf_dir).select(
-        "epoch", (on_grid & F.col("threshold").between(curves.GRID_LOW, curves.GRID_HIGH)).alias("on_grid"),
-        (loss.isNotNull() & ~F.isnan(loss) & (loss >= 0) & (loss < float("inf"))).alias("finite_loss"),
-        F.col("best_tuned_f1").between(F.col("dev_f1_05") * 0, 1.0).alias("possible_f1"),
-    )
+    return _trials(spark, sf_dir).select("epoch", *_possible())
 
 
 QUERIES = {
@@ -535,6 +562,7 @@ QUERIES = {
         top_word_ngrams, train_split, dev_split, preview_rows, scored_rows, hash_baseline,
         truncated_text, report_lines, fixed_point_ties, score_file_lines, best_trial, best_so_far, graded_file, quoted_file,
         annotation_file, unlabelled_file, split_file, row_numbers, stored_probabilities, metrics_log,
-        label_file_scores, vector_file_scores, submission_scores, classifier_scores, classifier_checks, trial_log, trial_checks,
+        label_file_scores, vector_file_scores, submission_scores, classifier_scores, classifier_checks,
+        epoch_log, epoch_checks, focal_gradient, trial_log, trial_checks,
     )
 }

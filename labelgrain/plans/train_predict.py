@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelgrain.functions.labels import normalise_key, vote_label
-from labelgrain.operators import classify, splits, trials
-from labelgrain.operators.shared import materialise
+from labelgrain.operators import classify, focal, splits, trials
+from labelgrain.operators.shared import stored
 from labelgrain.sources import sinks
 from labelgrain.sources.readers import read_graded, read_split, read_unlabelled
 
@@ -44,11 +44,36 @@ def train_and_predict(
 
     model, log = classify.run_trials(train, dev, grid, after_trial=keep)
     threshold = trials.best_trial(log).first()["threshold"]
-    # two narrow columns are stored, so that sorting and writing score no text again
-    dev_scored, test_scored = (
-        materialise(classify.predict(model, part, threshold).select("row_no", "prob", "pred")) for part in (dev, test)
-    )
+    _write_predictions(out_dir, *(classify.predict(model, part, threshold) for part in (dev, test)))
+    return model, log
+
+
+def _write_predictions(out_dir: str, dev: DataFrame, test: DataFrame) -> None:
+    # narrow columns are stored, so that sorting and writing score no text again
+    dev_scored, test_scored = (stored(part.select("row_no", "prob", "pred")) for part in (dev, test))
     sinks.write_label_lines(dev_scored, f"{out_dir}/dev.txt", "pred")
     sinks.write_probs(dev_scored, f"{out_dir}/dev_probs")
     sinks.write_label_lines(test_scored, f"{out_dir}/test.txt", "pred")
+
+
+def train_by_epoch(
+    spark: SparkSession, train: DataFrame, dev: DataFrame, test: DataFrame, out_dir: str, settings: focal.Settings = focal.Settings(),
+) -> tuple[focal.Model, DataFrame]:
+    """Train on the focal loss epoch by epoch, then write labels and probabilities.
+
+    Below ``out_dir``: ``training_state`` and ``training_metrics``, written after each
+    epoch, ``model``, ``dev.txt``, ``test.txt`` and ``dev_probs``. Run again
+    after a failure, it goes on behind the last epoch in the metrics; an epoch
+    that is run twice has one row there. Run again with other data or settings,
+    it needs another folder.
+    """
+    metrics = f"{out_dir}/training_metrics"
+    logged = sinks.recorded_metrics(spark, metrics, focal.LOG_SCHEMA)
+    model, log = focal.train_epochs(
+        train, dev, settings, state_dir=f"{out_dir}/training_state", logged=logged,
+        after_epoch=lambda row: sinks.record_metrics(row, metrics),
+    )
+    focal.write_model(model, spark, f"{out_dir}/model")
+    threshold = trials.best_trial(log).first()["threshold"]
+    _write_predictions(out_dir, *(focal.predict(model, part, threshold, "text") for part in (dev, test)))
     return model, log

@@ -4,8 +4,8 @@ A quoted field may hold line breaks, so whether a line opens a record depends on
 all lines before it, but only on one bit of them: is a quoted field open where
 the line starts? A line maps that bit to the one at its end. These maps are
 composed over chunks of lines, the chunks' maps over each file, and with the bit
-at the start of every chunk its lines know which of them open a record. Only
-lines of records that span several lines are then brought together.
+at the start of every chunk its lines know which of them open a record and are
+brought together.
 """
 
 from __future__ import annotations
@@ -28,18 +28,21 @@ OPEN_FROM_INSIDE = rf'^{_INSIDE}(?:"[^\t]*+\t{_FIELDS}"{_INSIDE})?+$'
 
 
 def _chunk_maps(lines: DataFrame) -> DataFrame:
-    """Per chunk of lines, for either bit at its start: the bit at its end, the last line that opens a record, and how many do.
+    """Per chunk of lines, for either bit at its start: the bit at its end, the first and last line that open a record, and how many do.
 
     ``lines`` has file, chunk, line_no, outside, inside and blank.
     """
 
     def start(bit: bool) -> Column:
-        return F.struct(F.lit(bit).alias("open"), F.lit(None).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("n"))
+        none = F.lit(None).cast("bigint")
+        return F.struct(F.lit(bit).alias("open"), none.alias("first"), none.alias("last"), F.lit(0).cast("bigint").alias("n"))
 
     def step(at: Column, line: Column) -> Column:
+        opens = F.when(~at["open"], line["line_no"])
         return F.struct(
             F.when(at["open"], line["inside"]).otherwise(line["outside"]).alias("open"),
-            F.when(at["open"], at["last"]).otherwise(line["line_no"]).alias("last"),
+            F.coalesce(at["first"], opens).alias("first"),
+            F.coalesce(opens, at["last"]).alias("last"),
             (at["n"] + F.when(at["open"] | line["blank"], 0).otherwise(1)).alias("n"),
         )
 
@@ -49,29 +52,41 @@ def _chunk_maps(lines: DataFrame) -> DataFrame:
     return folded.select("file", "chunk", *(F.aggregate("rows", start(bit), step).alias(name) for bit, name in ((False, "from_outside"), (True, "from_inside"))))
 
 
+def _open_before(outside: Column, inside: Column, whole: Window) -> Column:
+    """Whether a field is open before a row, where none is before the first; the columns are the row's map.
+
+    It follows from the last row that sets the bit whatever it was, and from how
+    many have turned it since.
+    """
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.when(outside & ~inside, 1).otherwise(0)
+    fixed = F.last(F.when(outside == inside, F.struct(outside.alias("bit"), F.col("_turned"))), ignorenulls=True).over(before)
+    since = F.coalesce(F.sum(turns).over(before), F.lit(0)) - F.coalesce(fixed["_turned"], F.lit(0))
+    return F.coalesce(fixed["bit"], F.lit(False)) != (since % 2 == 1)
+
+
+def _with_open(rows: DataFrame, outside: Column, inside: Column, whole: Window) -> DataFrame:
+    turned = F.sum(F.when(outside & ~inside, 1).otherwise(0)).over(whole.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_turned", turned).withColumn("within", _open_before(outside, inside, whole)).drop("_turned")
+
+
 def _chunk_starts(maps: DataFrame) -> DataFrame:
-    """Per chunk: the bit at its start, the line that opened the record then open, and the records before it.
+    """Per chunk: its first line that opens a record, the line that opened the record before it, and the number of earlier records.
 
     One window runs over the chunks of a file, another over the files.
     """
-    before = Window.partitionBy("file").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    outside, inside = F.col("from_outside.open"), F.col("from_inside.open")
-    # the bit follows from the last chunk that sets it whatever it was, and from how many have turned it since
-    turned = maps.withColumn("turns", F.when(outside & ~inside, 1).otherwise(0))
-    turned = turned.withColumn("so_far", F.sum("turns").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    fixed = F.last(F.when(outside == inside, F.struct(outside.alias("bit"), "so_far")), ignorenulls=True).over(before)
-    turned = turned.withColumn("fixed", fixed).withColumn("turns_before", F.coalesce(F.sum("turns").over(before), F.lit(0)))
-    since = F.col("turns_before") - F.coalesce(F.col("fixed.so_far"), F.lit(0))
-    bit = F.coalesce(F.col("fixed.bit"), F.lit(False)) != (since % 2 == 1)
-    known = turned.select("file", "chunk", bit.alias("open"), F.when(bit, F.col("from_inside")).otherwise(F.col("from_outside")).alias("own"))
+    whole = Window.partitionBy("file").orderBy("chunk")
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    known = _with_open(maps, F.col("from_outside.open"), F.col("from_inside.open"), whole)
+    known = known.select("file", "chunk", F.when(F.col("within"), F.col("from_inside")).otherwise(F.col("from_outside")).alias("own"))
     placed = known.select(
-        "file", "chunk", "open", F.last("own.last", ignorenulls=True).over(before).alias("opened_at"),
-        F.coalesce(F.sum("own.n").over(before), F.lit(0)).alias("records_before"), F.col("own.n").alias("n"),
+        "file", "chunk", F.col("own.first").alias("first"), F.last("own.last", ignorenulls=True).over(before).alias("opened_before"),
+        F.coalesce(F.sum("own.n").over(before), F.lit(0)).alias("records_before"),
     )
     earlier = Window.partitionBy(F.lit(0)).orderBy(*file_order(F.col("file"))).rowsBetween(Window.unboundedPreceding, -1)
     files = known.groupBy("file").agg(F.sum("own.n").alias("n"))
     files = files.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("file_base"))
-    return placed.join(files, "file").select("file", "chunk", "open", "opened_at", (F.col("file_base") + F.col("records_before")).alias("base"))
+    return placed.join(files, "file").select("file", "chunk", "first", "opened_before", (F.col("file_base") + F.col("records_before")).alias("base"))
 
 
 def read_quoted_records(spark: SparkSession, path: str | list[str], header_lines: int = 0, chunk_lines: int = CHUNK_LINES, index: str | None = None) -> DataFrame:
@@ -82,6 +97,8 @@ def read_quoted_records(spark: SparkSession, path: str | list[str], header_lines
     records are none and are not counted. A quoted field that is never closed
     runs to the end of its file, less the last line end. Lines end with LF or CR LF, which is LF inside a
     quoted field; a CR alone is a character.
+
+    Texts move once, to the chunk in which their record opens.
     """
     lines = number_rows(spark.read.option("lineSep", "\n").text(path), header_lines, index)
     lines = lines.withColumn("value", F.when(F.col("value").endswith("\r"), F.col("value").substr(F.lit(1), F.length("value") - 1)).otherwise(F.col("value")))
@@ -91,23 +108,20 @@ def read_quoted_records(spark: SparkSession, path: str | list[str], header_lines
         (F.col("value") == "").alias("blank"),
     )
     starts = _chunk_starts(_chunk_maps(lines.drop("value")))
-    so_far = Window.partitionBy("file", "chunk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    before = so_far.rowsBetween(Window.unboundedPreceding, -1)
-    turns = F.when(F.col("outside") & ~F.col("inside"), 1).otherwise(0)
-    rows = lines.join(starts, ["file", "chunk"]).withColumn("so_far", F.sum(turns).over(so_far))
-    fixed = F.last(F.when(F.col("outside") == F.col("inside"), F.struct("outside", "so_far")), ignorenulls=True).over(before)
-    rows = rows.withColumn("fixed", fixed).withColumn("turns_before", F.coalesce(F.lag("so_far").over(Window.partitionBy("file", "chunk").orderBy("line_no")), F.lit(0)))
-    since = F.col("turns_before") - F.coalesce(F.col("fixed.so_far"), F.lit(0))
-    rows = rows.withColumn("within", F.coalesce(F.col("fixed.outside"), F.col("open")) != (since % 2 == 1))
-    rows = rows.withColumn("after", F.when(F.col("within"), F.col("inside")).otherwise(F.col("outside")))
+    # lines before the first that opens a record belong to the chunk where the record before them opened
+    leads = F.col("first").isNull() | (F.col("line_no") < F.col("first"))
+    home = F.when(leads, F.floor(F.col("opened_before") / chunk_lines)).otherwise(F.col("chunk"))
+    rows = lines.join(starts, ["file", "chunk"]).withColumn("home", home).drop("chunk", "first", "opened_before")
+    whole = Window.partitionBy("file", "home").orderBy("line_no")
+    so_far = whole.rowsBetween(Window.unboundedPreceding, 0)
+    rows = _with_open(rows, F.col("outside"), F.col("inside"), whole)
     opens = ~F.col("within")
     rows = rows.select(
-        "file", "line_no", "value", "within", "after", "blank",
-        F.coalesce(F.last(F.when(opens, F.col("line_no")), ignorenulls=True).over(so_far), F.col("opened_at")).alias("opened"),
-        (F.col("base") + F.count_if(opens & ~F.col("blank")).over(so_far) - 1).cast("bigint").alias("row_no"),
+        "file", "home", "line_no", "value", (opens & F.col("blank")).alias("nothing"),
+        F.last(F.when(opens, F.col("line_no")), ignorenulls=True).over(so_far).alias("opened"),
+        (F.first("base").over(so_far) + F.count_if(opens & ~F.col("blank")).over(so_far) - 1).cast("bigint").alias("row_no"),
     )
-    single = rows.where(~F.col("within") & ~F.col("after") & ~F.col("blank")).select("row_no", "value")
-    parts = rows.where(F.col("within") | F.col("after")).groupBy("file", "opened").agg(
+    records = rows.where(~F.col("nothing")).groupBy("file", "home", "opened").agg(
         F.max("row_no").alias("row_no"), F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("lines")
     )
-    return single.unionByName(parts.select("row_no", F.array_join(F.transform("lines", lambda line: line["value"]), "\n").alias("value")))
+    return records.select("row_no", F.array_join(F.transform("lines", lambda line: line["value"]), "\n").alias("value"))

@@ -36,7 +36,7 @@ def canonical(columns, rows):
 
 def test_names_agree():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(Q.QUERIES) - set(ORACLES) == {"classifier_scores", "trial_log"}
+    assert set(Q.QUERIES) - set(ORACLES) == {"classifier_scores", "epoch_log", "trial_log"}
 
 
 @pytest.mark.parametrize("name", BASE)
