@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from labelgrain.fixed_values import DEFAULT_THRESHOLD, FOCAL_GAMMA, LABEL_SMOOTHING
 from labelgrain.functions import numbers as N
 from labelgrain.functions.labels import fail_when
-from labelgrain.operators.curves import best_threshold, threshold_sweep
-from labelgrain.operators.metrics import binary_scores
+from labelgrain.operators.curves import threshold_sweep
 from labelgrain.operators.shared import stored
 from labelgrain.operators.splits import class_weights
 
@@ -212,11 +211,14 @@ def read_state(spark: SparkSession, folder: str, epoch: int, features: int) -> t
 
 
 def judge(model: Model, dev: DataFrame, label_col: str) -> tuple[float, float, float]:
-    """F1 at one half, the best F1 of the threshold grid and its threshold, on rows with ``_words``."""
-    scored = stored(score(model, dev).select(label_col, "prob"))
-    half = binary_scores(scored.withColumn("pred", N.decide(F.col("prob"), DEFAULT_THRESHOLD)), label_col, "pred").first()
-    tuned = best_threshold(threshold_sweep(scored, "prob", label_col)).first()
-    return half["f1"], tuned["f1"], tuned["threshold"]
+    """F1 at one half, the best F1 of the threshold grid and its threshold, on rows with ``_words``.
+
+    One half is on the grid: decisions are made in single precision.
+    """
+    sweep = threshold_sweep(score(model, dev).select(label_col, "prob"), "prob", label_col).select("threshold", "f1").collect()
+    half = next(r["f1"] for r in sweep if np.float32(r["threshold"]) == np.float32(DEFAULT_THRESHOLD))
+    best = max(sweep, key=lambda r: (r["f1"], -r["threshold"]))
+    return half, best["f1"], best["threshold"] if best["f1"] > 0 else DEFAULT_THRESHOLD
 
 
 def train_epochs(

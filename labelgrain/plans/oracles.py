@@ -278,6 +278,36 @@ named AS (
 ONE_LINE = r"trim(regexp_replace(text, '[ \t\r\n\x0b\f]+', ' ', 'g'))"
 
 
+SENTENCE_TOKENS = rf"""lists AS (SELECT doc_id, {WS_TOKENS} AS words FROM documents),
+raw AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM lists),
+bare AS (SELECT doc_id, pos, regexp_replace(lower(word), '^[(\[{{"''“‘„«]+|[)\]}}"''”’»,;:!?]+$', '', 'g') AS bare,
+  regexp_matches(word, '[!?][)\]}}"''”’»]*$') AS mark FROM raw),
+typed AS (SELECT doc_id, pos, CASE WHEN bare LIKE '%.' THEN left(bare, length(bare) - 1) ELSE bare END AS type, bare LIKE '%.' AS stop, mark FROM bare),
+tokens AS (SELECT *, lead(type) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM typed)"""
+
+ABBREVIATION_SCORES = r"""counts AS (SELECT type, count(*) FILTER (WHERE stop) AS with_stop, count(*) FILTER (WHERE NOT stop) AS without_stop FROM tokens GROUP BY type),
+totals AS (SELECT sum(with_stop)::DOUBLE / sum(with_stop + without_stop) AS p FROM counts),
+shaped AS (SELECT *, length(type) - length(replace(type, '.', '')) AS inner_stops, length(replace(type, '.', '')) AS size
+  FROM counts, totals WHERE with_stop > 0 AND regexp_matches(type, '\p{L}')),
+short AS (SELECT type, with_stop, without_stop, 2 * (with_stop * (ln(0.99::DOUBLE) - ln(p)) + without_stop * (ln(1 - 0.99::DOUBLE) - ln(1 - p)))
+  * exp(-size) * (inner_stops + 1) / size::DOUBLE ** without_stop AS score FROM shaped)"""
+
+
+def log_binomial(hits: str, n: str, p: str) -> str:
+    parts = ((hits, p), (f"({n} - {hits})", f"(1 - {p})"))
+    return "(" + " + ".join(f"CASE WHEN {c} = 0 THEN 0 ELSE {c} * ln({s}) END" for c, s in parts) + ")"
+
+
+_EXPECTED, _FIRST, _REST = "(b / total)", "(n / a)", "((b - n) / (total - a))"
+COLLOCATION_SCORES = f"""sides AS (SELECT type, next, n::DOUBLE AS n, a::DOUBLE AS a, b::DOUBLE AS b, (SELECT count(*) FROM tokens)::DOUBLE AS total
+  FROM (SELECT type, next, count(*) AS n FROM tokens WHERE stop AND next IS NOT NULL GROUP BY ALL)
+  JOIN (SELECT type, count(*) AS a FROM tokens WHERE stop GROUP BY type) USING (type)
+  JOIN (SELECT type AS next, count(*) AS b FROM tokens GROUP BY type) USING (next)),
+pairs AS (SELECT type, next, n::BIGINT AS n, CASE WHEN {_FIRST} > {_EXPECTED} THEN
+  2 * ({log_binomial("n", "a", _FIRST)} + {log_binomial("(b - n)", "(total - a)", _REST)}
+       - {log_binomial("n", "a", _EXPECTED)} - {log_binomial("(b - n)", "(total - a)", _EXPECTED)}) ELSE 0.0 END AS score FROM sides)"""
+
+
 def build() -> dict[str, str]:
     counts, s = f"c AS (SELECT {COUNT} FROM corpus)", f"s AS (SELECT *, {SCORES} FROM c)"
     words = rf"list_filter({word_chain('lower(text)')}, lambda t: regexp_full_match(t, '\p{{L}}+'))"
@@ -355,6 +385,14 @@ FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""",
         "top_ngrams": with_corpus(*reversed_pair(ngrams("corpus", "doc_id", "label", LETTERS, "ngram"))),
         "top_ngrams_by_role": "WITH " + ngrams("conversations", "conv_id", "role", LETTERS, "ngram"),
         "top_word_ngrams": with_corpus(*reversed_pair(ngrams("corpus", "doc_id", "label", words, "first_at"))),
+        "frequent_ngrams": with_corpus(*reversed_pair(ngrams("corpus", "doc_id", "label", LETTERS, "ngram"))),
+        "token_percentiles": with_corpus(stats("counted", "label"), f"counted AS (SELECT label, len({WS_TOKENS}) AS tokens FROM corpus)"),
+        "abbreviation_statistics": f"WITH {SENTENCE_TOKENS},\n{ABBREVIATION_SCORES}\nSELECT type, with_stop, without_stop, round(score, 3) + 0.0 AS score FROM short",
+        "collocation_statistics": f"WITH {SENTENCE_TOKENS},\n{COLLOCATION_SCORES}\nSELECT type, next, n, round(score, 3) + 0.0 AS score FROM pairs",
+        "sentence_counts": f"""WITH {SENTENCE_TOKENS},\n{ABBREVIATION_SCORES},\n{COLLOCATION_SCORES}
+SELECT doc_id, count(*) AS n_sentences FROM tokens t
+WHERE mark OR next IS NULL OR (stop AND NOT EXISTS (SELECT 1 FROM short s WHERE s.type = t.type AND score >= 0.3)
+  AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.type = t.type AND p.next = t.next AND score >= 7.88)) GROUP BY doc_id""",
         "train_split": """SELECT count(*) AS n, CAST(sum(CASE WHEN doc_id % 5 < 2 THEN 0 ELSE 1 END) AS BIGINT) AS positives,
   100 * sum(CASE WHEN doc_id % 5 < 2 THEN 0 ELSE 1 END)::DOUBLE / count(*) AS positive_pct
 FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""",

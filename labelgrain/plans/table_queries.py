@@ -17,8 +17,8 @@ from labelgrain.fixed_values import GRADED_COLUMNS, TAG_IDS, TASK_FILES, VECTOR_
 from labelgrain.functions import labels as L
 from labelgrain.functions import numbers as N
 from labelgrain.functions import text as T
-from labelgrain.operators import categories, classify, curves, errors, explore, focal, metrics, splits, trials
-from labelgrain.operators.shared import shared_folder
+from labelgrain.operators import categories, classify, curves, errors, explore, focal, metrics, sentences, splits, trials
+from labelgrain.operators.shared import shared_folder, stored
 from labelgrain.plans.score_files import named_binary_scores, score_submission
 from labelgrain.sources import readers, sinks
 
@@ -212,6 +212,12 @@ def token_stats(spark, sf_dir):
     return _rounded_stats(explore.token_stats(counted, "tokens", "label"))
 
 
+def token_percentiles(spark, sf_dir):
+    """As ``token_stats``, with the percentile found in rounds of range counts."""
+    counted = corpus(spark, sf_dir).withColumn("tokens", T.ws_token_count(F.col("text")))
+    return _rounded_stats(explore.token_stats(counted, "tokens", "label", in_rounds=True))
+
+
 def word_token_stats(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("tokens", F.size(T.word_tokens(T.coerce_null(F.col("text"), "nan"))))
     return _rounded_stats(explore.token_stats(docs, "tokens", "lang"))
@@ -239,6 +245,11 @@ def top_ngrams(spark, sf_dir):
     return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, tokeniser="letters")
 
 
+def frequent_ngrams(spark, sf_dir):
+    """As ``top_ngrams``, but only n-grams that can be among the first are counted one by one."""
+    return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, tokeniser="letters", counters=explore.COUNTERS)
+
+
 def top_ngrams_by_role(spark, sf_dir):
     return explore.top_ngrams(table(spark, sf_dir, "conversations"), "text", "role", k=15, tokeniser="letters")
 
@@ -248,6 +259,31 @@ def top_word_ngrams(spark, sf_dir):
     return explore.top_ngrams(corpus(spark, sf_dir), "text", "label", k=15, order_col="doc_id")
 
 
+def _token_rows(spark, sf_dir):
+    return sentences.token_rows(table(spark, sf_dir, "documents"), "text", ("doc_id",))
+
+
+def abbreviation_statistics(spark, sf_dir):
+    """How often every word of the documents has a full stop, and how much of an abbreviation that makes it."""
+    found = sentences.abbreviation_statistics(_token_rows(spark, sf_dir))
+    return found.withColumn("score", F.round("score", 3))
+
+
+def collocation_statistics(spark, sf_dir):
+    """Pairs of words across a full stop, and how far they are from chance."""
+    found = sentences.collocation_statistics(_token_rows(spark, sf_dir))
+    return found.withColumn("score", F.round("score", 3))
+
+
+def sentence_counts(spark, sf_dir):
+    """Sentences per document, with abbreviations and collocations learned from all documents."""
+    tokens = stored(_token_rows(spark, sf_dir))
+    short = sentences.abbreviations(sentences.abbreviation_statistics(tokens))
+    pairs = sentences.collocation_statistics(tokens).where(F.col("score") >= sentences.COLLOCATION_SCORE)
+    ends = sentences.sentence_ends(tokens, short, pairs, ("doc_id",))
+    return ends.groupBy("doc_id").agg(F.count("*").alias("n_sentences"))
+
+
 def train_split(spark, sf_dir):
     """Rows of the corpus whose id is in the split list, with their classes."""
     ids = table(spark, sf_dir, "labels").select(L.normalise_key(F.col("doc_id")).alias("par_id"))
@@ -558,8 +594,8 @@ QUERIES = {
         confusion_matrix, length_bin_errors, error_breakdown, error_totals, error_sample, label_collapse,
         numeric_collapse, vote_labels, category_lists, category_vectors, pr_curve, average_precision,
         operating_point, threshold_sweep, best_threshold, dataset_loss, dataset_loss_extreme, class_weights, class_distribution,
-        class_counts, token_stats, null_text_stats, word_token_stats, token_histogram, top_ngrams, top_ngrams_by_role,
-        top_word_ngrams, train_split, dev_split, preview_rows, scored_rows, hash_baseline,
+        class_counts, token_stats, token_percentiles, null_text_stats, word_token_stats, token_histogram, top_ngrams, frequent_ngrams, top_ngrams_by_role,
+        top_word_ngrams, abbreviation_statistics, collocation_statistics, sentence_counts, train_split, dev_split, preview_rows, scored_rows, hash_baseline,
         truncated_text, report_lines, fixed_point_ties, score_file_lines, best_trial, best_so_far, graded_file, quoted_file,
         annotation_file, unlabelled_file, split_file, row_numbers, stored_probabilities, metrics_log,
         label_file_scores, vector_file_scores, submission_scores, classifier_scores, classifier_checks,

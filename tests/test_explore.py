@@ -92,3 +92,59 @@ def test_top_ngrams_against_a_counter(spark, conf):
 def test_unknown_tokeniser(spark):
     with pytest.raises(ValueError):
         explore.top_ngrams(spark.createDataFrame([("a", 1)], "t string, c int"), "t", "c", tokeniser="other")
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
+def test_percentile_in_rounds_equals_numpy(spark, q):
+    rng = random.Random(11)
+    rows = [("a", rng.gauss(0, 1e6)) for _ in range(301)] + [("b", float(rng.randint(0, 9))) for _ in range(200)] + [("c", 7.5)]
+    rows += [("d", v) for v in (-1.7e308, 1.7e308, 5e-324, 0.0, 1e-323, 1.0, 1.0000000000000002)] + [(None, 3.0), (None, 4.0)]
+    odd = [("a", None), ("b", float("nan")), ("b", float("inf")), ("e", None)]
+    df = spark.createDataFrame(rows + odd, "k string, v double").repartition(4)
+    got = {r.k: (r.n, r.percentile) for r in explore.exact_percentile(df, "v", q, "k", ranges=8).collect()}
+    groups = {k: [v for c, v in rows if c == k] for k in {c for c, _ in rows}}
+    assert set(got) == set(groups)
+    for k, numbers in groups.items():
+        place = (len(numbers) - 1) * q
+        low, high = sorted(numbers)[int(place)], sorted(numbers)[-int(-place // 1)]
+        assert got[k] == (len(numbers), pytest.approx(low + (place - int(place)) * (high - low)))
+    whole = explore.exact_percentile(df.where("k = 'a'"), "v", q).collect()
+    assert [r.percentile for r in whole] == [pytest.approx(float(np.quantile(groups["a"], q)))]
+    assert explore.exact_percentile(df.limit(0), "v", q).count() == 0
+
+
+def test_token_stats_in_rounds(spark):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(rng.choice([0, 1, None]), rng.choice([None, rng.randint(0, 10**6)])) for _ in range(300)], "label int, n int")
+    both = [sorted(map(tuple, explore.token_stats(df, "n", "label", in_rounds=r).collect())) for r in (False, True)]
+    assert [x[:4] for x in both[0]] == [x[:4] for x in both[1]]
+    assert [x[4] for x in both[0]] == pytest.approx([x[4] for x in both[1]])
+
+
+@pytest.mark.parametrize("counters", [1, 16, 1 << 17])
+def test_frequent_ngrams_are_all_that_count(spark, counters):
+    """The result is that of counting everything, with any number of counters."""
+    rng = random.Random(12)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "xyz"]
+    weights = [1 / (i + 1) ** 1.5 for i in range(len(words))]
+    rows = [(i, " ".join(rng.choices(words, weights, k=rng.randint(0, 30))), rng.choice([0, 1, None])) for i in range(300)]
+    rows += [(900, "one two", 2), (901, None, 3)]
+    df = spark.createDataFrame(rows, "row_no bigint, text string, label int")
+
+    def top(**options):
+        found = explore.top_ngrams(df, "text", "label", k=5, tokeniser="letters", stop_words=(), **options)
+        return sorted(map(tuple, found.collect()), key=repr)
+
+    assert top(counters=counters) == top()
+    assert top(counters=counters, order_col="row_no") == top(order_col="row_no")
+
+
+def test_frequent_ngrams_shuffle_few_rows(spark):
+    """Of many rare n-grams hardly any is counted one by one."""
+    rng = random.Random(13)
+    grams = [(0, f"rare {rng.random()}") for _ in range(20_000)] + [(0, f"often {i}") for i in range(20) for _ in range(200 + i)]
+    df = spark.createDataFrame(grams, "class int, ngram string")
+    kept = explore.frequent_ngrams(df, 5, 1 << 12)
+    assert kept.select("ngram").distinct().count() < 200
+    counts = {r.ngram: r["count"] for r in kept.groupBy("ngram").count().collect()}
+    assert [counts[f"often {i}"] for i in range(15, 20)] == [200 + i for i in range(15, 20)]

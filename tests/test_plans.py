@@ -9,7 +9,7 @@ from labelgrain.operators import splits
 from labelgrain.plans import table_queries as Q
 
 TABLES = "/root/testdata/sf0.001"
-EAGER = {"classifier_scores", "trial_log", "classifier_checks", "trial_checks"}
+EAGER = {"classifier_scores", "trial_log", "classifier_checks", "trial_checks", "epoch_log", "epoch_checks", "focal_gradient"}
 
 
 def plan(df, executed=False):
