@@ -2,43 +2,46 @@
 
 Two logistic regressions see the same document from two sides: its words, and
 its page data (source, language, size and layout). Both learn from labelled
-documents; over some rounds each passes the documents of an unlabelled pool that
-it is sure of to the other as further examples. A third regression, fitted on
-labelled documents that neither has seen, calibrates and combines their scores.
-Fitting uses bounded samples drawn by a hash of the id; scoring reads every
-document in whole.
+documents; then, over some rounds, each learns again with all the further
+documents that the other is sure of. A third regression, fitted on labelled
+documents that neither has seen, calibrates and combines their scores.
+
+Features are made and stored once. Both sides are fitted side by side, and a
+pass over the features gives loss and gradient of both: every document without a
+label is scored by the last round's models in each pass and takes part on a side
+if the other is sure of it. Tasks add up gradients over their own documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgrain.llm.hashing import SPACE, mix, text_chunks, word_hashes
+from labelgrain.llm.hashing import SPACE, text_chunks, word_hashes
 from labelgrain.llm.storage import stored
+from labelgrain.operators.focal import direction
 
-#: Hashed words of the text view; and hashed sources, languages and layout of the page view.
-TEXT_BITS, PAGE_BITS = 16, 8
+#: Hashed words of the text view; and hashed facts of the page view.
+TEXT_BITS, PAGE_BITS = 16, 18
 DRAWS = 1_000_000
-#: Partitions that the bounded samples are fitted in.
-FIT_PARTS = 4
+#: Documents that a task looks at together.
+ROWS = 2048
 #: ASCII marks become spaces, so that words are bare.
 BARE = np.array([c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)], dtype=np.uint8)
 
 
 @dataclass(frozen=True)
 class Params:
-    """``labelled`` and ``pool`` bound the documents that fitting looks at, about; the rest is as named."""
+    """``labelled`` bounds the labels that fitting looks at, about; documents beyond it count as unlabelled. The rest is as named."""
 
     labelled: int = 20_000
-    pool: int = 10_000
     rounds: int = 2
     sure: float = 0.97
     reg: float = 0.002
@@ -69,8 +72,12 @@ def page_features(source: str | None, lang: str | None, data: np.ndarray, n_word
         f"marks {step_of(3 * marks)}",
         f"word size {min(12, n // max(1, n_words))}",
     ]
-    codes = np.array([int.from_bytes(f.encode()[-8:].rjust(8, b" "), "little") ^ len(f) for f in facts], dtype=np.uint64)
-    return sorted(set((mix(codes) & np.uint64((1 << PAGE_BITS) - 1)).tolist()))
+    return sorted({fact_feature(f) for f in facts})
+
+
+@lru_cache(maxsize=1 << 14)
+def fact_feature(fact: str) -> int:
+    return zlib.crc32(fact.encode()) & ((1 << PAGE_BITS) - 1)
 
 
 def views(column: pa.Array, sources: list, langs: list) -> Iterator[tuple[np.ndarray, list[int]]]:
@@ -83,87 +90,171 @@ def views(column: pa.Array, sources: list, langs: list) -> Iterator[tuple[np.nda
 
 
 def featurised(docs: DataFrame) -> DataFrame:
-    """``doc``, and ``words`` and ``page``, the indices of its features in either view."""
+    """``doc``, ``label``, ``held``, and ``words`` and ``page``, the indices of its features in either view."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = list(views(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()))
             words = pa.array([w for w, _ in both], pa.list_(pa.int32()))
             page = pa.array([p for _, p in both], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), words, page], names=["doc", "words", "page"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), batch.column(5), words, page], names=["doc", "label", "held", "words", "page"])
+
+    rows = docs.select("doc", "text", "source", "lang", "label", "held")
+    return rows.mapInArrow(work, "doc bigint, label double, held boolean, words array<int>, page array<int>")
+
+
+def lists_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The features of some documents in a row, and the document of each."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
+    """Log-odds by one view; the bias is the last weight."""
+    features, rows = lists_of(column)
+    return weights[-1] + np.bincount(rows, weights[features], len(column))
 
-    return docs.mapInArrow(work, "doc bigint, words array<int>, page array<int>")
 
+def probability(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
-def vectors(rows: DataFrame, column: str, bits: int) -> DataFrame:
-    size = 1 << bits
-    to_vector = F.udf(lambda at: SparseVector(size, at, [1.0] * len(at)), VectorUDT())
-    return rows.withColumn("features", to_vector(column))
 
+def surely(z: np.ndarray, sure: float) -> np.ndarray:
+    """1 or 0 where a view is sure, else NaN."""
+    p = probability(z)
+    return np.where(np.maximum(p, 1 - p) >= sure, np.round(p), np.nan)
 
-def fitted(rows: DataFrame, params: Params):
-    """A regression on ``features`` and ``label``."""
-    return LogisticRegression(regParam=params.reg, maxIter=params.max_iter, standardization=False, probabilityCol="p", rawPredictionCol="raw", predictionCol="hit").fit(rows.coalesce(FIT_PARTS))
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
-def margins(model, rows: DataFrame, name: str) -> DataFrame:
-    """``doc`` and the log-odds by one view, 0 without a model."""
-    if model is None:
-        return rows.select("doc", F.lit(0.0).alias(name))
-    from pyspark.ml.functions import vector_to_array
 
-    return model.transform(rows).select("doc", vector_to_array("raw")[1].alias(name))
+Weights = tuple[np.ndarray, np.ndarray]
+
+
+def losses(table: DataFrame, weights: Weights, frozen: Weights | None, params: Params) -> list[tuple[float, np.ndarray]]:
+    """Mean log loss and its gradient of both views, in one pass.
+
+    Labelled documents that are not held back take part in both. With the last
+    round's ``frozen`` weights the others take part in a view with the label
+    that the other view is sure of.
+    """
+    sizes = [len(w) for w in weights]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # behind each gradient: the loss and the number of documents
+        sums = [np.zeros(n + 2) for n in sizes]
+        for batch in slices(batches):
+            label = batch.column(0).to_numpy(zero_copy_only=False)
+            columns = (batch.column(2), batch.column(3))
+            held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            pseudo = [surely(margins(c, w), params.sure) for c, w in zip(columns, frozen, strict=True)] if frozen else [label, label]
+            for k in (0, 1):
+                target = np.where(held, np.nan, np.where(np.isnan(label), pseudo[1 - k], label))
+                known = ~np.isnan(target)
+                z, y = margins(columns[k], weights[k]), np.where(known, target, 0.0)
+                slope = np.where(known, probability(z) - y, 0.0)
+                features, rows = lists_of(columns[k])
+                sums[k][: sizes[k] - 1] += np.bincount(features, slope[rows], sizes[k] - 1)
+                sums[k][sizes[k] - 1 :] += slope.sum(), np.where(known, np.logaddexp(0, z) - y * z, 0.0).sum(), known.sum()
+        for k in (0, 1):
+            used = np.flatnonzero(sums[k])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), k), pa.int32()), pa.array(used, pa.int32()), pa.array(sums[k][used])], names=["view", "feature", "total"])
+
+    taking_part = table if frozen else table.where("label is not null and not held")
+    parts = taking_part.select("label", "held", "words", "page").mapInArrow(work, "view int, feature int, total double")
+    found = parts.groupBy("view", "feature").agg(F.sum("total").alias("total")).toArrow()
+    view, feature, total = (found[c].to_numpy() for c in ("view", "feature", "total"))
+    results = []
+    for k in (0, 1):
+        sums = np.zeros(sizes[k] + 2)
+        sums[feature[view == k]] = total[view == k]
+        n = max(sums[-1], 1.0)
+        plain = np.append(weights[k][:-1], 0.0)
+        results.append((float(sums[-2] / n) + params.reg / 2 * float(plain @ plain), sums[:-2] / n + params.reg * plain))
+    return results
+
+
+def minimise(weights: np.ndarray, steps: int) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
+    """L-BFGS that yields the weights it wants loss and gradient of, and returns the best ones."""
+    value, gradient = yield weights
+    changes: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        if np.abs(gradient).max() < 1e-11:
+            break
+        way = direction(gradient, changes)
+        slope, length = float(gradient @ way), 1.0
+        for _ in range(25):
+            found = weights + length * way
+            new, slopes = yield found
+            if new <= value + 1e-4 * length * slope:
+                break
+            length /= 2
+        else:
+            break
+        changes = [*changes, (found - weights, slopes - gradient)][-10:]
+        weights, value, gradient = found, new, slopes
+    return weights
+
+
+def fit_views(table: DataFrame, start: Weights, frozen: Weights | None, params: Params) -> Weights:
+    """Both views' weights, fitted side by side."""
+    searches = [minimise(w, params.max_iter) for w in start]
+    wanted = [next(search) for search in searches]
+    done: list[np.ndarray | None] = [None, None]
+    while any(d is None for d in done):
+        for k, result in enumerate(losses(table, (wanted[0], wanted[1]), frozen, params)):
+            if done[k] is None:
+                try:
+                    wanted[k] = searches[k].send(result)
+                except StopIteration as end:
+                    done[k] = wanted[k] = end.value
+    return done[0], done[1]
+
+
+def combination(z: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Bias and weights of a logistic regression on both views' log-odds, by Newton's method."""
+    x = np.column_stack((np.ones(len(z)), z))
+    w = np.zeros(3)
+    for _ in range(50):
+        p = probability(x @ w)
+        # a faint pull to 0 keeps weights finite where the classes part
+        gradient = x.T @ (p - label) + 1e-3 * w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(3), gradient)
+        w -= step * min(1.0, 5.0 / max(float(np.abs(step).max()), 1e-12))
+        if np.abs(step).max() < 1e-10:
+            break
+    return w
 
 
 @dataclass(frozen=True)
 class Combined:
-    """Weights of both views, and of their combination: intercept, text, page."""
+    """Weights of both views, and of their combination: bias, text, page."""
 
     words: np.ndarray
-    words_bias: float
     page: np.ndarray
-    page_bias: float
-    mixed: tuple[float, float, float]
-
-
-def drawn(rows: DataFrame, seed: int, most: int, total: int) -> DataFrame:
-    """About ``most`` of ``total`` rows, by a hash of ``doc``; all of them if there are no more."""
-    return rows.where(F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(DRAWS)) < int(DRAWS * min(1.0, most / max(1, total))))
-
-
-def co_train(docs: DataFrame, labels: DataFrame, params: Params) -> Combined:
-    """Fit both views and their combination. ``docs``: doc, text, source, lang. ``labels``: doc, label."""
-    n_labels, n_docs = labels.count(), docs.count()
-    marked = labels.groupBy("doc").agg(F.min("label").cast("double").alias("label"))
-    sample = featurised(drawn(docs, 1, params.labelled, n_labels)).join(marked, "doc")
-    pool = featurised(drawn(docs, 2, params.pool, n_docs)).join(marked, "doc", "left_anti")
-    sample, pool = stored(sample), stored(pool)
-    sample = sample.withColumn("held", F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(4)) == 0)
-    classes = {r.held: r.n for r in sample.groupBy("held").agg(F.count_distinct("label").alias("n")).collect()}
-    known, check = sample.where("not held"), sample.where("held")
-    usable = classes.get(False, 0) > 1
-    sides = [("words", TEXT_BITS), ("page", PAGE_BITS)]
-    more = [None, None]
-    models = [None, None]
-    for turn in range(params.rounds + 1):
-        for k, (column, bits) in enumerate(sides):
-            rows = known.select("doc", column, "label")
-            if more[k] is not None:
-                rows = rows.unionByName(pool.join(more[k], "doc").select("doc", column, "label"))
-            models[k] = fitted(vectors(rows, column, bits), params) if usable else None
-        if turn < params.rounds and usable:
-            for k, (column, bits) in enumerate(sides):
-                sure = margins(models[k], vectors(pool, column, bits), "z").select("doc", (1 / (1 + F.exp(-F.col("z")))).alias("p"))
-                sure = sure.where(F.greatest("p", 1 - F.col("p")) >= params.sure)
-                more[1 - k] = stored(sure.select("doc", F.round("p").alias("label")))
-    scored = [margins(models[k], vectors(check, c, b), f"z{k}") for k, (c, b) in enumerate(sides)]
-    both = check.select("doc", "label").join(scored[0], "doc").join(scored[1], "doc")
-    pair = F.udf(lambda a, b: SparseVector(2, [0, 1], [a, b]), VectorUDT())
-    enough = usable and classes.get(True, 0) > 1
-    mixed = fitted(both.withColumn("features", pair("z0", "z1")), Params(reg=0.0, max_iter=params.max_iter)) if enough else None
-    flat = [(m.coefficients.toArray(), float(m.intercept)) if m else (np.zeros(1 << b), 0.0) for m, (_, b) in zip(models, sides, strict=True)]
-    weights = (float(mixed.intercept), *map(float, mixed.coefficients)) if mixed else (0.0, 1.0, 1.0)
-    return Combined(*flat[0], *flat[1], weights)
+    mixed: np.ndarray
+
+
+def co_train(table: DataFrame, params: Params) -> Combined:
+    """Fit both views and their combination on what ``featurised`` made."""
+    labelled = table.where("label is not null")
+    classes = {r["held"]: r["n"] for r in labelled.groupBy("held").agg(F.count_distinct("label").alias("n")).collect()}
+    weights: Weights = (np.zeros((1 << TEXT_BITS) + 1), np.zeros((1 << PAGE_BITS) + 1))
+    if classes.get(False, 0) > 1:
+        frozen = None
+        for _ in range(params.rounds + 1):
+            weights = fit_views(table, weights, frozen, params)
+            frozen = weights
+    if classes.get(False, 0) < 2 or classes.get(True, 0) < 2:
+        return Combined(*weights, np.array([0.0, 1.0, 1.0]))
+    # a share of the labels that fitting looks at, whose number is bounded
+    held = labelled.where("held").select("label", "words", "page").toArrow().combine_chunks()
+    words, page = (held[c].combine_chunks() if isinstance(held[c], pa.ChunkedArray) else held[c] for c in ("words", "page"))
+    z = np.column_stack((margins(words, weights[0]), margins(page, weights[1])))
+    return Combined(*weights, combination(z, held["label"].to_numpy()))
 
 
 def quality_scores(
@@ -177,24 +268,30 @@ def quality_scores(
     of being good, and ``keep`` is a ``score`` of at least a half. Null and empty
     texts and null sources and languages are scored by what remains; without
     usable labels of both kinds every score is a half. Ids must be whole
-    numbers and may be null or repeat; every row is scored.
+    numbers and may be null or repeat; every row is scored. An empty table gives
+    an empty result.
     """
     source = docs.select(
         F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang")
     )
-    good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")
-    usable = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).select(F.col(id_col).cast("bigint").alias("doc"), good.alias("label"))
-    shared = docs.sparkSession.sparkContext.broadcast(co_train(source.where("doc is not null"), usable, params))
+    good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("double")
+    usable = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).select(F.col(id_col).cast("bigint").alias("_doc"), good.alias("label"))
+    worst = usable.groupBy("_doc").agg(F.min("label").alias("label"))
+    share = min(1.0, params.labelled / max(1, worst.count()))
+    # about as many rows as ``labelled`` says, so they can be broadcast
+    sample = F.broadcast(worst.where(F.pmod(F.xxhash64("_doc", F.lit(1)), F.lit(DRAWS)) < int(DRAWS * share)))
+    marked = source.join(sample, F.col("doc") == F.col("_doc"), "left")
+    held = F.col("label").isNotNull() & (F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(4)) == 0)
+    table = stored(featurised(marked.withColumn("held", held)))
+    shared = docs.sparkSession.sparkContext.broadcast(co_train(table, params))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            z = np.zeros((len(batch), 2))
-            for i, (words, page) in enumerate(views(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                z[i] = model.words[words].sum() + model.words_bias, model.page[page].sum() + model.page_bias
+        for batch in slices(batches):
+            z = [margins(batch.column(1), model.words), margins(batch.column(2), model.page)]
             bias, text, page = model.mixed
-            p = [1 / (1 + np.exp(-np.clip(x, -500, 500))) for x in (z[:, 0], z[:, 1], bias + text * z[:, 0] + page * z[:, 1])]
+            p = [probability(x) for x in (*z, bias + text * z[0] + page * z[1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, p)], names=["doc", "text_score", "page_score", "score"])
 
-    scored = source.mapInArrow(score, "doc bigint, text_score double, page_score double, score double")
+    scored = table.select("doc", "words", "page").mapInArrow(score, "doc bigint, text_score double, page_score double, score double")
     return scored.select(F.col("doc").alias(id_col), "text_score", "page_score", "score", (F.col("score") >= 0.5).alias("keep"))

@@ -1,8 +1,13 @@
 """Language identification and the quality classifier on held-out rows."""
 
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from labelgrain.llm.co_training import Params, quality_scores
+from labelgrain.llm.co_training import Params, combination, fact_feature, page_features, quality_scores, views
 from labelgrain.llm.language_id import fit_profiles, identify_languages, keep_identified, trigrams
 
 from corpus import frame
@@ -71,6 +76,73 @@ def test_quality_of_odd_rows(spark):
     assert quality_scores(frame(spark, []), labels).count() == 0
 
 
+def logistic(x, y, reg):
+    """A ridge regression without a penalty on the bias, to the last digit, by Newton's method."""
+    x = np.column_stack((x, np.ones(len(x))))
+    w, pull = np.zeros(x.shape[1]), reg * np.append(np.ones(x.shape[1] - 1), 0)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        h = (x * (p * (1 - p))[:, None]).T @ x / len(x) + np.diag(pull)
+        w -= np.linalg.solve(h, x.T @ (p - y) / len(x) + pull * w)
+    return w
+
+
+def test_quality_equals_plain_co_training(spark):
+    """Every score as by dense regressions on all documents that either view is sure of."""
+    rnd = random.Random(4)
+    rows, labels = [], []
+    for i in range(220):
+        good = rnd.random() < 0.6
+        words = [rnd.choice("plan report meeting fine".split() if good != (rnd.random() < 0.1) else "junk spam click buy".split()) for _ in range(rnd.randint(1, 12))]
+        rows.append((i, " ".join(words), rnd.choice(["en", None]), f"{rnd.choice('abc')}.{'good' if good != (rnd.random() < 0.15) else 'bad'}.example.com"))
+        if i % 2:
+            labels.append((i, int(good), int(rnd.random() < 0.05)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    params = Params(sure=0.75, reg=0.05, max_iter=400)
+    found = {r.doc_id: r for r in quality_scores(docs, marks, params).collect()}
+
+    made = list(views(pa.array([r[1] for r in rows]), [r[3] for r in rows], [r[2] for r in rows]))
+    held_ids = {r.doc_id for r in marks.where("pmod(xxhash64(doc_id, 3), 4) = 0").collect()}
+    label = {i: float(q == 1 and t == 0) for i, q, t in labels}
+    target = np.array([label.get(i, np.nan) for i in range(len(rows))])
+    held = np.array([i in held_ids for i in range(len(rows))])
+    dense = []
+    for k in (0, 1):
+        used = sorted({f for m in made for f in m[k]})
+        dense.append(np.array([[f in set(m[k]) for f in used] for m in made], dtype=float))
+    z, pseudo = None, [np.full(len(rows), np.nan)] * 2
+    for turn in range(params.rounds + 1):
+        if z is not None:
+            p = [1 / (1 + np.exp(-v)) for v in z]
+            pseudo = [np.where(np.maximum(q, 1 - q) >= params.sure, np.round(q), np.nan) for q in p]
+        z_new = []
+        for k in (0, 1):
+            y = np.where(held, np.nan, np.where(np.isnan(target), pseudo[1 - k], target))
+            known = ~np.isnan(y)
+            w = logistic(dense[k][known], y[known], params.reg)
+            z_new.append(dense[k] @ w[:-1] + w[-1])
+            assert turn == 0 or known.sum() > (~np.isnan(target) & ~held).sum() + 10
+        z = z_new
+    mixed = combination(np.column_stack(z)[held], target[held])
+    for i in range(len(rows)):
+        expected = [1 / (1 + math.exp(-v)) for v in (z[0][i], z[1][i], mixed @ [1, z[0][i], z[1][i]])]
+        assert [found[i].text_score, found[i].page_score, found[i].score] == pytest.approx(expected, abs=1e-6)
+
+
+def test_page_facts_are_hashed_whole():
+    empty = np.empty(0, dtype=np.uint8)
+    one, other = (page_features(f"{x}.example.com", "en", empty, 0) for x in "ab")
+    assert len(set(one) ^ set(other)) == 2 and fact_feature("source a.example.com") in one
+
+
+def test_quality_of_very_long_and_spaceless_texts(spark):
+    rows = [(1, "word " * 400_000), (2, "\u65e5\u672c" * 500_000), (3, "x")] + [(i, "good plan" if i % 2 else "bad junk") for i in range(4, 60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4, 60)], "doc_id bigint, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in quality_scores(frame(spark, rows), labels).collect()}
+    assert len(scores) == len(rows) and all((scores[i] > 0.5) == bool(i % 2) for i in range(4, 60))
+
+
 @pytest.fixture(autouse=True)
 def tables():
     import os
