@@ -142,8 +142,10 @@ def losses(table: DataFrame, weights: Weights, frozen: Weights | None, params: P
     that the other view is sure of.
     """
     sizes = [len(w) for w in weights]
+    shared = table.sparkSession.sparkContext.broadcast((weights, frozen))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, frozen = shared.value
         # behind each gradient: the loss and the number of documents
         sums = [np.zeros(n + 2) for n in sizes]
         for batch in slices(batches):
@@ -166,6 +168,8 @@ def losses(table: DataFrame, weights: Weights, frozen: Weights | None, params: P
     taking_part = table if frozen else table.where("label is not null and not held")
     parts = taking_part.select("label", "held", "words", "page").mapInArrow(work, "view int, feature int, total double")
     found = parts.groupBy("view", "feature").agg(F.sum("total").alias("total")).toArrow()
+    # a pass's weights would else stay on the disks to the end
+    shared.destroy()
     view, feature, total = (found[c].to_numpy() for c in ("view", "feature", "total"))
     results = []
     for k in (0, 1):
