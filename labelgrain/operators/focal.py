@@ -111,12 +111,13 @@ def loss_and_gradient(rows: DataFrame, label_col: str, weights: np.ndarray, sett
     that it has seen; these are added up in as many tasks as there are partitions.
     """
     n, gamma, smoothing = settings.features, settings.gamma, settings.smoothing
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # behind the gradient: the loss and the number of rows
         sums = np.zeros(n + 3)
         for batch in batches:
-            m = margins_of(batch.column(0), weights)
+            m = margins_of(batch.column(0), shared.value)
             labels, alphas = (c.to_numpy(zero_copy_only=False) for c in batch.columns[1:])
             loss, slope = focal_terms(m, labels, alphas, gamma, smoothing)
             words, at, sizes = word_lists(batch.column(0))
@@ -127,6 +128,8 @@ def loss_and_gradient(rows: DataFrame, label_col: str, weights: np.ndarray, sett
 
     parts = rows.select("_words", label_col, "_alpha").mapInArrow(work, "feature int, total double")
     table = parts.groupBy("feature").agg(F.sum("total").alias("total")).toArrow()
+    # a pass's weights would else stay on the disks to the end
+    shared.destroy()
     sums = np.zeros(n + 3)
     sums[table["feature"].to_numpy()] = table["total"].to_numpy()
     count = max(sums[n + 2], 1.0)
