@@ -230,6 +230,24 @@ NAMES = ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"]
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item."""
-    leaks = benchmark_overlaps(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_leak")).distinct()
-    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col("_leak")), "left_anti")
+    """The rows of ``docs`` that overlap no benchmark item.
+
+    Rows are judged one by one where they are read, so rows that share an id, or
+    have none, stand for themselves; nothing is shuffled. Null and empty texts stay,
+    and with an empty benchmark all rows do.
+    """
+    place = docs.columns.index(text_col)
+    for seeds in blocks(benchmark_pieces(benchmark.where(F.col("item_id").isNotNull()), "item_id", "text")):
+        shared = docs.sparkSession.sparkContext.broadcast(seeds)
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            held = shared.value if shared.value.tables else shared.value.index()
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                for first, _, data, offsets in text_chunks(batch.column(place)):
+                    words, at = word_hashes(data, offsets)
+                    keep[[first + doc for doc, *_ in overlaps(words, at, held)]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

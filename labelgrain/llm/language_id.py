@@ -23,6 +23,8 @@ from labelgrain.llm.hashing import mix
 DIMENSIONS = 1024
 UNKNOWN = "und"
 CHUNK_TEXTS, CHUNK_CHARS = 256, 1 << 19
+#: Distinct trigrams whose vectors are held at a time.
+TRIGRAMS = 1 << 12
 SEED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -96,8 +98,16 @@ def bundled(texts: list[str], group: np.ndarray, n_groups: int, dims: int) -> tu
     distinct, at = np.unique(keys, return_inverse=True)
     if not len(distinct):
         return np.zeros((n_groups, dims)), n_letters
-    counts = np.bincount(group[owner] * len(distinct) + at.reshape(-1), minlength=n_groups * len(distinct)).reshape(n_groups, -1)
-    return counts.astype(np.float32) @ trigram_vectors(distinct, dims).astype(np.float32), n_letters
+    # pairs of group and trigram, and how often each occurs; a part of the trigrams has its vectors made at a time
+    place, times = np.unique(at.reshape(-1) * n_groups + group[owner], return_counts=True)
+    total = np.zeros((n_groups, dims))
+    for start in range(0, len(distinct), TRIGRAMS):
+        low, high = np.searchsorted(place, (start * n_groups, (start + TRIGRAMS) * n_groups))
+        some = distinct[start : start + TRIGRAMS]
+        counts = np.zeros((len(some), n_groups), dtype=np.float32)
+        counts.reshape(-1)[place[low:high] - start * n_groups] = times[low:high]
+        total += counts.T @ trigram_vectors(some, dims).astype(np.float32)
+    return total, n_letters
 
 
 def training_part(id_col: str) -> F.Column:

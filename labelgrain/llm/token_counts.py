@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelgrain.llm.tokenizing import CachedTokenizer
+from labelgrain.llm.tokenizing import KEPT_CHARS, KEPT_WORDS, CachedTokenizer
 
 #: Words of a new leaf, and of one that has grown so far that it is cut.
 LEAF, MOST = 32, 256
@@ -36,15 +36,16 @@ class WordCounter:
         self.known: dict[str, int] = {}
 
     def counts(self, words: list[str]) -> list[int]:
-        known = self.known
-        for w in {w for w in words if w not in known}:
-            if len(known) >= 1 << 19:
-                known.clear()
-            known[w] = len(self.encoder.whole(w)) // 4
-        try:
-            return [known[w] for w in words]
-        except KeyError:  # cleared half way
-            return [len(self.encoder.whole(w)) // 4 for w in words]
+        known, distinct = self.known, set(words)
+        if len(known) + len(distinct) > KEPT_WORDS:
+            known.clear()
+        # long words, and those of a text of very many, serve this text alone
+        few = len(distinct) <= KEPT_WORDS
+        once = {}
+        for w in distinct:
+            if w not in known:
+                (known if few and len(w) <= KEPT_CHARS else once)[w] = len(self.encoder.whole(w)) // 4
+        return [known[w] if w in known else once[w] for w in words] if once else [known[w] for w in words]
 
 
 def cut_words(text: str) -> list[str]:

@@ -17,8 +17,8 @@ import numpy as np
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: the added token of the vocabulary and its id.
 ADDED, ADDED_ID = "<|endoftext|>", 50256
-#: Words that a worker keeps.
-KEPT_WORDS = 1 << 19
+#: Words that a worker keeps, and the characters of the longest of them, which bounds what they take to some 200 MB.
+KEPT_WORDS, KEPT_CHARS = 1 << 18, 32
 
 
 class CachedTokenizer:
@@ -65,13 +65,16 @@ class CachedTokenizer:
         if rest and (not first or first[-1].isspace()):
             return self.whole(text)
         known = self.words
-        if missing := [w for w in set(rest) if w not in known]:
-            if len(known) + len(missing) > KEPT_WORDS:
-                known.clear()
-                missing = set(rest)
-            for w in missing:
-                known[w] = self.word(w)
+        words = set(rest)
+        if len(known) + len(words) > KEPT_WORDS:
+            known.clear()
+        # long words, and those of a text of very many, serve this text alone
+        few = len(words) <= KEPT_WORDS
+        once = {}
+        for w in words:
+            if w not in known:
+                (known if few and len(w) <= KEPT_CHARS else once)[w] = self.word(w)
         try:
-            return self.whole(first) + b"".join([known[w] for w in rest])
+            return self.whole(first) + b"".join([known[w] if w in known else once[w] for w in rest] if once else [known[w] for w in rest])
         except TypeError:
             return self.whole(text)

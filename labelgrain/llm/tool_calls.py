@@ -82,10 +82,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     ``call_id``, ``depth``, ``status``, ``problems`` and ``line``. Sorted by
     ``depth``, every call comes after the one it waits for.
 
-    ``status`` is the first that holds of ``no id``, ``circular``, ``invalid``
+    ``status`` is the first that holds of ``no id``, ``repeated id``, ``circular``, ``invalid``
     (see ``problems``), ``no result`` and ``ok``. Of calls that repeat an
-    identifier the one of the smallest conversation and turn counts, and of
-    results that do the earliest, smallest content first in a tie. A result
+    identifier the one of the smallest conversation and turn counts, nulls first; the others
+    are ``repeated id``, each with a row, without depth and result. Of
+    results that repeat one the earliest counts, smallest content first in a tie. A result
     without its call is left out. A null identifier links to nothing, and such
     calls give a row each. Lines have sorted keys, no white space and explicit
     nulls; arguments that are no JSON are written as text. Empty tables give an
@@ -93,13 +94,19 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     """
     columns = ["conv_id", "turn", "tool", "arguments", "after"]
     answers = results.where("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "content")).alias("result"))
-    named = stored(calls.where("call_id is not null").groupBy("call_id").agg(F.min(F.struct(*columns)).alias("call")).select("call_id", "call.*"))
+    # rows alike are counted before calls of one identifier meet, which may be many
+    alike = calls.where("call_id is not null").groupBy("call_id", *columns).agg(F.count("*").alias("times"))
+    chosen = stored(alike.groupBy("call_id").agg(F.min(F.struct(*columns)).alias("call"), F.sum("times").alias("times")))
+    named = chosen.select("call_id", "call.*")
     placed = named.join(depths(named.select("call_id", "after")), "call_id").join(answers, "call_id", "left")
+    several = chosen.where("times > 1").select("call_id", "call")
+    other = alike.join(several, "call_id").withColumn("times", F.col("times") - F.col("call").eqNullSafe(F.struct(*columns)).cast("int"))
+    other = other.where("times > 0").select("call_id", *columns, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("again"))
     nameless = calls.where("call_id is null").select("call_id", *columns)
-    both = placed.unionByName(nameless, allowMissingColumns=True)
+    both = placed.unionByName(nameless, allowMissingColumns=True).unionByName(other, allowMissingColumns=True)
     checked = both.withColumn("found", problems(F.col("tool"), F.col("arguments"), schemas))
     status = (
-        F.when(F.col("call_id").isNull(), "no id").when(F.col("depth").isNull(), "circular").when(F.size("found") > 0, "invalid")
+        F.when(F.col("call_id").isNull(), "no id").when(F.col("again").isNotNull(), "repeated id").when(F.col("depth").isNull(), "circular").when(F.size("found") > 0, "invalid")
         .when(F.col("result").isNull(), "no result").otherwise("ok")
     )
     arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), text_json(F.col("arguments")), F.lit("null"))
@@ -133,12 +140,13 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     A system turn calls ``instruct`` and a user turn ``reply``, named by
     conversation and turn; it waits for the turn before it if that calls, and
     else for the one before that. An assistant turn is the result of the turn
-    before it.
+    before it. A turn whose conversation or number is null is a call without an
+    identifier, or no result; repeated turns are repeated calls; turns of other roles are neither.
     """
     def name(turn: F.Column) -> F.Column:
-        return F.concat_ws("-", F.col("conv_id"), turn)
+        return F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
 
-    turns = conversations.where("conv_id is not null and turn is not null")
+    turns = conversations
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     prompt = F.to_json(F.struct(F.col("text").alias("prompt"), words.alias("words")))
     instruct = F.to_json(F.struct("text"))
@@ -154,5 +162,5 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("role") == "user", prompt).otherwise(instruct).alias("arguments"),
         F.when(before >= 0, name(before)).alias("after"),
     )
-    results = turns.where("role = 'assistant'").select(name(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    results = turns.where("role = 'assistant' and conv_id is not null and turn is not null").select(name(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results

@@ -188,6 +188,13 @@ def test_lines(spark):
     assert repeated_lines(frame(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_keep_what_only_they_hold(spark):
+    for same in (None, 5):
+        rows = [(same, "a line of boilerplate\nfirst"), (same, "second\nthird"), (1, "a line of boilerplate"), (9, "third")]
+        kept = drop_repeated_lines(frame(spark, rows)).select("doc_id", "text").collect()
+        assert sorted(map(tuple, kept), key=repr) == sorted([(same, "first"), (same, "second\nthird" if same else "second"), (1, "a line of boilerplate"), (9, "" if same else "third")], key=repr)
+
+
 def test_linked_lines_are_alike(spark):
     """Every link within a group of two is an edit similarity of 0.8 or more."""
     rnd = __import__("random").Random(8)

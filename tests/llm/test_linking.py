@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from labelgrain.llm.decontamination import MASKS, MIN_SHARE, MIN_WORDS, SHORT_MASKS, Seeds, benchmark_overlaps, drop_contaminated, overlap, overlaps
-from labelgrain.llm.tool_calls import link_tool_calls
+from labelgrain.llm.tool_calls import TURN_SCHEMAS, link_tool_calls, turns_as_calls
 
 from corpus import frame, prose, texts
 
@@ -55,6 +55,30 @@ def test_overlaps(spark):
     assert drop_contaminated(frame(spark, rows), bench.where("item_id > 60")).count() == len(rows)
 
 
+def test_rows_of_one_id_are_judged_for_themselves(spark):
+    rnd = random.Random(2)
+    leak, clean = prose(rnd, 40), prose(rnd, 40)
+    bench = spark.createDataFrame([(1, leak), (2, None), (None, clean)], "item_id bigint, text string")
+    rows = [(None, leak), (None, clean), (5, clean + " " + leak), (5, clean), (6, None), (7, "")]
+    kept = drop_contaminated(frame(spark, rows), bench).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(None, clean), (5, clean), (6, None), (7, "")], key=repr)
+
+
+def test_turns_as_calls(spark):
+    """A row for every turn that calls, whatever is null or repeated."""
+    turns = [(1, 0, "system", "be kind"), (1, 1, "user", "hi there"), (1, 2, "assistant", "hello"), (1, 3, "user", "bye"), (1, 3, "user", "bye"), (1, 3, "user", "bye now"),
+             (None, 0, "user", "lost"), (2, None, "system", None), (2, 1, "assistant", "no call"), (3, 0, "tool", "other"), (3, 1, None, "none"), (4, 0, "user", None), (None, 1, "assistant", "x")]
+    conversations = spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string")
+    calls, results = turns_as_calls(conversations)
+    found = [(r.conv_id, r.turn, r.call_id, r.depth, r.status) for r in link_tool_calls(calls, results, TURN_SCHEMAS).collect()]
+    assert sorted(found, key=repr) == sorted([
+        (1, 0, "1-0", 0, "no result"), (1, 1, "1-1", 1, "ok"), (1, 3, "1-3", 2, "no result"), (1, 3, "1-3", None, "repeated id"), (1, 3, "1-3", None, "repeated id"),
+        (None, 0, None, None, "no id"), (2, None, None, None, "no id"), (4, 0, "4-0", 0, "invalid"),
+    ], key=repr)
+    none = turns_as_calls(conversations.limit(0))
+    assert link_tool_calls(*none, TURN_SCHEMAS).count() == 0
+
+
 SCHEMAS = {"add": {"a": ("integer", True), "b": ("number", True), "note": ("string", False)}, "ping": {}}
 
 
@@ -78,8 +102,8 @@ def test_tool_calls(spark):
         spark.createDataFrame(results, "call_id string, turn bigint, content string"),
         SCHEMAS,
     ).collect()
-    by_id = {r.call_id: r for r in found}
-    assert len(found) == len(calls) - 1
+    by_id = {r.call_id: r for r in found if r.status != "repeated id"}
+    assert len(found) == len(calls) and [r.conv_id for r in found if r.status == "repeated id"] == [4]
     assert {k: (r.depth, r.status, r.problems) for k, r in by_id.items()} == {
         "x": (0, "ok", ""),
         "y": (1, "invalid", "a is no integer; missing b; unknown z"),

@@ -2,13 +2,14 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from labelgrain.llm.co_training import Params, combination, fact_feature, page_features, quality_scores, views
-from labelgrain.llm.language_id import fit_profiles, identify_languages, keep_identified, trigrams
+from labelgrain.llm.language_id import bundled, fit_profiles, identify_languages, keep_identified, trigram_vectors, trigrams
 
 from corpus import frame
 
@@ -51,6 +52,23 @@ def test_profiles_are_unit_vectors(spark):
     assert profiles.names == ["en"] and abs(float((profiles.vectors**2).sum()) - 1) < 1e-5
 
 
+def test_a_long_text_of_many_letters(spark):
+    """Two million different trigrams take a bounded number of vectors at a time."""
+    rnd = np.random.default_rng(3)
+    text = "".join(map(chr, rnd.integers(0x4E00, 0x9FFF, 2_000_000)))
+    tracemalloc.start()
+    sums, letters = bundled([text[:200_000], "abc"], np.array([0, 1]), 2, 1024)
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    owner, keys, _ = trigrams([text[:200_000], "abc"])
+    assert letters.tolist() == [200_000, 3]
+    whole = sum(trigram_vectors(keys[owner == 0][a : a + 5000], 1024).astype(int).sum(axis=0) for a in range(0, int((owner == 0).sum()), 5000))
+    assert sums[0].tolist() == whole.tolist()
+    rows = [(1, text), (2, "the cat and the dog"), (3, "der Hund und die Katze")]
+    docs = spark.createDataFrame([(i, t, "zz" if i == 1 else "en" if i == 2 else "de") for i, t in rows], "doc_id bigint, text string, lang string")
+    assert identify_languages(docs).count() == 3
+
+
 def auc(pairs):
     good, bad = ([s for s, label in pairs if label == want] for want in (1, 0))
     return sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad))

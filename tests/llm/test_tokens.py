@@ -13,7 +13,7 @@ import corpus_pipeline
 from labelgrain.llm.packing import best_two_fit, cut, pack_sequences
 from labelgrain.llm.queries import op2_best_fit_packing, op9_token_counts
 from labelgrain.llm.token_counts import CountedText, WordCounter, built, cut_words, recounted, redacted_counts, redactions, sums, with_edits, with_token_trees
-from labelgrain.llm.tokenizing import PATTERN, CachedTokenizer
+from labelgrain.llm.tokenizing import KEPT_CHARS, PATTERN, CachedTokenizer
 
 from corpus import frame, prose, texts
 
@@ -171,3 +171,17 @@ def test_queries_find_the_added_token(spark, plain, tmp_path):
     assert counts == {i: (len(whole[i]) - 1, len(ids(plain, t.replace("ab@mail.example.com", "<email>")))) for i, t in rows}
     docs = frame(spark, rows)
     assert {r.doc_id: r.length for r in corpus_pipeline.pack(spark, docs, "").collect()} == {i: len(w) for i, w in whole.items()}
+
+
+def test_text_without_spaces_is_not_kept():
+    """Words beyond some length are encoded each time, and what a worker keeps is bounded."""
+    encoder = CachedTokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rnd = random.Random(3)
+    runs = ["".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(rnd.randint(1, 200))) for _ in range(300)]
+    text = " ".join(runs + ["word"] * 5)
+    assert encoder.encode(text) == encoder.whole(text)
+    assert all(len(w) <= KEPT_CHARS for w in encoder.words) and "word" in encoder.words
+    counter = WordCounter(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    words = cut_words(text)
+    assert counter.counts(words) == [len(encoder.whole(w)) // 4 for w in words]
+    assert all(len(w) <= KEPT_CHARS for w in counter.known)
