@@ -18,7 +18,7 @@ from labelgrain.functions import numbers as N
 from labelgrain.functions.labels import fail_when
 from labelgrain.operators.curves import best_threshold, threshold_sweep
 from labelgrain.operators.metrics import binary_scores, dataset_loss
-from labelgrain.operators.shared import materialise
+from labelgrain.operators.shared import stored
 from labelgrain.operators.splits import class_weights
 
 LOG_SCHEMA = "epoch int, train_loss double, dev_f1_05 double, best_tuned_f1 double, threshold double"
@@ -56,7 +56,7 @@ def term_vectors(df: DataFrame, text_col: str, params: Params = Params()) -> Dat
     The other functions here take it wherever they take texts.
     """
     terms = PipelineModel(stages=_term_stages(text_col, params)).transform(df)
-    return materialise(terms.drop("_tokens", text_col))
+    return stored(terms.drop("_tokens", text_col))
 
 
 def _with_terms(df: DataFrame, text_col: str, params: Params) -> DataFrame:
@@ -115,7 +115,7 @@ def run_trials(
     if not grid:
         raise ValueError("grid is empty")
     spark = train.sparkSession
-    weights = materialise(class_weights(train, label_col))
+    weights = stored(class_weights(train, label_col))
     weighted = _weighted(train, label_col, weights)
     rows, best_model, best_f1, prepared = [], None, None, None
     for epoch, params in enumerate(grid, start=1):

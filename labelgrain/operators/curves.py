@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from labelgrain.fixed_values import DEFAULT_THRESHOLD, GRID_HIGH, GRID_LOW, GRID_STEP, NOMINAL_THRESHOLD
 from labelgrain.functions import numbers as N
 from labelgrain.functions.labels import fail_when
-from labelgrain.operators.shared import materialise
+from labelgrain.operators.shared import stored
 
 
 class Grid:
@@ -140,7 +140,7 @@ def pr_curve(
     Without positives recall is 1 everywhere.
     """
     spark = df.sparkSession
-    counts = materialise(score_counts(df, score_col, label_col)).withColumn("score_d", F.col("score").cast("double"))
+    counts = stored(score_counts(df, score_col, label_col)).withColumn("score_d", F.col("score").cast("double"))
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = _range_bounds(counts, ranges)
     if cuts:

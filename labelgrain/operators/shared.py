@@ -11,17 +11,7 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: what ``spark.checkpoint.dir`` names, else the warehouse folder."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in reliable storage, with its lineage cut."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labelgrain.functions import numbers as N
 from labelgrain.functions.labels import fail_when
-from labelgrain.operators.shared import materialise
+from labelgrain.operators.shared import stored
 
 
 def keep_split(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -33,15 +33,16 @@ def attach_in_order(
 
     Found and missing ids are joined apart. An inner join can broadcast a short
     list, so that a large ``df`` stays in place, and can split a hot key of
-    either side; a left join from the list can do neither. What is found is
-    stored, so ``df`` is read once and the missing ids are those not in it.
+    either side; a left join from the list can do neither. The listed keys that
+    ``df`` has are stored, from a read of its key alone; no other column of it is,
+    and those that the result does not need are not read.
     """
     if order_col not in ids.columns:
         raise ValueError(f"the id list has no column {order_col}")
     place = "_place"
     right = df.withColumnRenamed(order_col, place) if order_col in df.columns else df.withColumn(place, F.lit(0))
-    found = materialise(ids.join(right, key))
-    known = found.select(key).distinct()
+    known = stored(right.select(key).join(ids.select(key).distinct(), key, "left_semi").distinct())
+    found = ids.join(right, key)
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
     rest = [c for c in ids.columns if c != key]
     joined = found.union(ids.join(known, key, "left_anti").select(key, *rest, *nulls))
@@ -56,7 +57,7 @@ def with_row_no(df: DataFrame, order_cols: Sequence[str], out_col: str = "row_no
     A distributed sort is stored once; partitions then get their first number
     from the running count of the ones before, and rows their place inside.
     """
-    ordered = materialise(df.orderBy(*order_cols).withColumn("_id", F.monotonically_increasing_id()))
+    ordered = stored(df.orderBy(*order_cols).withColumn("_id", F.monotonically_increasing_id()))
     # Spark puts the partition in the upper 31 bits of the id
     parted = ordered.withColumn("_part", F.shiftright("_id", 33))
     sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first"))

@@ -9,7 +9,7 @@ from labelgrain.fixed_values import SEED
 from labelgrain.functions.labels import collapse_number, hash_bits, random_bits
 from labelgrain.functions.text import coerce_null, word_tokens
 from labelgrain.operators import explore
-from labelgrain.operators.shared import materialise
+from labelgrain.operators.shared import stored
 
 
 def corpus_report(graded: DataFrame, grade_col: str = "orig_label", top_k: int = 15) -> dict[str, DataFrame]:
@@ -21,7 +21,7 @@ def corpus_report(graded: DataFrame, grade_col: str = "orig_label", top_k: int =
     grade = F.col(grade_col).try_cast("double")
     corpus = graded.withColumn("binary_label", collapse_number(grade))
     n_words = F.size(word_tokens(coerce_null(F.col("text"), "nan")))
-    counted = materialise(corpus.select("binary_label", n_words.alias("token_count")))
+    counted = stored(corpus.select("binary_label", n_words.alias("token_count")))
     return {
         "classes": explore.class_distribution(counted, "binary_label"),
         "token_stats": explore.token_stats(counted, "token_count", "binary_label"),

@@ -10,7 +10,7 @@ from labelgrain.functions.labels import normalise_key, vote_label
 from labelgrain.functions.numbers import correct
 from labelgrain.functions.text import snippet, ws_token_count
 from labelgrain.operators import curves, errors, metrics, splits
-from labelgrain.operators.shared import materialise
+from labelgrain.operators.shared import stored
 from labelgrain.sources.readers import read_graded, read_label_lines, read_probs, read_split
 
 
@@ -34,7 +34,7 @@ def load_dev(
     probs = read_probs(spark, prob_path) if prob_path else None
     if probs is not None:
         dev = splits.align(dev, probs)
-    return materialise(dev.withColumn("correct", correct(F.col("pred"), F.col("label"))))
+    return stored(dev.withColumn("correct", correct(F.col("pred"), F.col("label"))))
 
 
 def error_report(dev: DataFrame, n_examples: int = 8, threshold: float = NOMINAL_THRESHOLD) -> dict[str, DataFrame]:

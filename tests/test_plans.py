@@ -71,19 +71,20 @@ def test_semi_join_has_no_forced_broadcast(spark, conf):
     assert "Broadcast" not in plan(splits.attach_in_order(big.withColumn("row_no", F.col("id")), big, "k"))
 
 
-def test_attaching_reads_the_corpus_once(spark, tmp_path, monkeypatch):
-    """One join with the corpus, an inner one; the missing ids come from its stored result."""
+def test_attaching_stores_keys_alone(spark, tmp_path, monkeypatch):
+    """What is stored has no text; found rows come from an inner join, and a length of the text is all that is joined."""
     path = str(tmp_path / "corpus")
-    spark.createDataFrame([("1", "t"), ("2", "u")], "k string, text string").write.csv(path, sep="\t")
-    corpus = spark.read.schema("k string, text string").csv(path, sep="\t")
+    spark.createDataFrame([("1", "t"), ("2", "u")], "k string, text string").write.parquet(path)
+    corpus = spark.read.parquet(path)
     ids = spark.createDataFrame([(0, "2"), (1, "9")], "row_no int, k string")
     seen = []
-    store = splits.materialise
-    monkeypatch.setattr(splits, "materialise", lambda df: seen.append(plan(df)) or store(df))
+    store = splits.stored
+    monkeypatch.setattr(splits, "stored", lambda df: seen.append(df) or store(df))
     attached = splits.attach_in_order(ids, corpus, "k")
-    assert len(seen) == 1 and seen[0].count("FileScan csv") == 1 and "Inner" in seen[0] and "LeftOuter" not in seen[0]
+    assert [df.columns for df in seen] == [["k"]] and "text" not in plan(seen[0])
     rest = plan(attached)
-    assert "FileScan" not in rest and "LeftAnti" in rest
+    assert "Inner" in rest and "LeftAnti" in rest and "LeftOuter" not in rest
+    assert "text" not in plan(attached.select("row_no"))
     assert sorted(tuple(r) for r in attached.select("row_no", "text").collect()) == [(0, "u"), (1, None)]
 
 
