@@ -90,7 +90,7 @@ def _fingerprint(scan: DataFrame, header_lines: int) -> str:
     listed = spark.read.format("binaryFile").load(scan.inputFiles()).select(F.xxhash64("path", "length", "modificationTime").alias("h"))
     found = listed.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("x"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).alias("s")).first()
     settings = [spark.conf.get(f"spark.sql.files.{name}") for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")]
-    plan = [*found, *settings, spark.conf.get("spark.sql.files.maxPartitionNum", ""), header_lines, scan.columns]
+    plan = [*found, *settings, spark.conf.get("spark.sql.files.maxPartitionNum", None), header_lines, scan.columns]
     return hashlib.sha256(repr(plan).encode()).hexdigest()[:32]
 
 
