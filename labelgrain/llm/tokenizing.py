@@ -17,8 +17,8 @@ import numpy as np
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: the added token of the vocabulary and its id.
 ADDED, ADDED_ID = "<|endoftext|>", 50256
-#: Words that a worker keeps, and the characters of the longest of them, which bounds what they take to some 200 MB.
-KEPT_WORDS, KEPT_CHARS = 1 << 18, 32
+#: Words that a worker keeps, and the characters of the longest of them, which bounds what they take to some 270 MB.
+KEPT_WORDS, KEPT_CHARS = 1 << 19, 24
 
 
 class CachedTokenizer:
