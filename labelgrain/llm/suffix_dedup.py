@@ -9,11 +9,13 @@ holder of a phrase goes on.
 What is left are strings that begin in one phrase and were met in another. All
 strings of 50 bytes have a smallest rolling hash among their 24-byte windows, at
 the same place wherever they occur. Strings whose smallest window occurs in one
-document only are unique. The rest, cut at 50 bytes, are the suffixes of the
-dictionary that can still tie. Equal ones are brought together, and each run of
-them takes the first document that the parse names for it. For this only equal
-suffixes have to stand side by side, so they are ordered by a 128-bit hash of
-their bytes; ordering the bytes themselves moved more than the corpus.
+document only are unique. The rest, as pieces of neighbouring strings with one
+smallest window, are a second dictionary, in ranges by that window, whose parse
+lists document and place of each piece. Each range sorts its suffixes by their
+bytes into a suffix array. Strings end after 50 bytes, which every piece still
+holds, so what follows a piece in the parse can't order two of its suffixes;
+the parse says where a suffix lies in the corpus. Equal neighbours of the array
+take the first document that the parse names for any of them.
 
 Every exchange is combined in the task that reads the texts, so a string that a
 third of all documents hold is sent once per task.
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgrain.llm.hashing import FOLD, mix, text_chunks, window_hashes
+from labelgrain.llm.hashing import mix, text_chunks, window_hashes
 from labelgrain.llm.storage import stored
 
 #: Bytes of a string that counts as repeated, and of the rolling hash's window.
@@ -42,7 +44,9 @@ MODULUS = 64
 #: Text that is hashed at a time; and entries that a task holds, or one task of the other side sorts.
 CHUNK = 1 << 18
 HELD = 1 << 21
-ENTRY = np.dtype([("key", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("start", "<i4"), ("end", "<i4"), ("settled", "u1")])
+#: A window of more documents than this gives up its pieces string by string, to as many ranges.
+HOT = 4096
+ENTRY = np.dtype([("key", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("version", "<u4"), ("start", "<i4"), ("end", "<i4"), ("settled", "u1")])
 RANGES = "doc bigint, version bigint, start int, end int"
 
 
@@ -61,6 +65,43 @@ def settle(entries: np.ndarray) -> np.ndarray:
     return entries
 
 
+def squeeze(columns: list[np.ndarray], *counts: int) -> bytes:
+    """Counts and columns as compressed bytes."""
+    raw = np.array(counts, dtype="<u4").tobytes() + b"".join(np.ascontiguousarray(x).tobytes() for x in columns)
+    return np.array([len(raw)], dtype="<u4").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueezed(blob: bytes) -> bytes:
+    return pa.decompress(blob[4:], int(np.frombuffer(blob, dtype="<u4", count=1)[0]), codec="zstd", asbytes=True)
+
+
+def taken(raw: bytes, at: int, kinds: list[str], n: int) -> tuple[list[np.ndarray], int]:
+    """Columns of ``n`` values that lie one after the other from a place on, and the place behind them."""
+    found = []
+    for kind in kinds:
+        found.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
+        at += n * np.dtype(kind).itemsize
+    return found, at
+
+
+def deltas(docs: np.ndarray) -> np.ndarray:
+    return np.diff(docs, prepend=np.int64(0))
+
+
+def entry_blob(entries: np.ndarray) -> bytes:
+    return squeeze([deltas(entries[n]) if n == "doc" else entries[n] for n in ENTRY.names], len(entries))
+
+
+def from_entry_blob(blob: bytes) -> np.ndarray:
+    raw = unsqueezed(blob)
+    entries = np.empty(int(np.frombuffer(raw, dtype="<u4", count=1)[0]), dtype=ENTRY)
+    at = 4
+    for name in ENTRY.names:
+        (column,), at = taken(raw, at, [ENTRY[name].str], len(entries))
+        entries[name] = np.cumsum(column) if name == "doc" else column
+    return entries
+
+
 def packed(entries: np.ndarray, parts: int) -> pa.RecordBatch:
     """Entries by part, open ones by key and settled ones by document; within a part by document, which packs well."""
     entries = settle(entries)
@@ -70,24 +111,28 @@ def packed(entries: np.ndarray, parts: int) -> pa.RecordBatch:
     entries, part = entries[order], part[order]
     first = runs(part)
     return pa.RecordBatch.from_pydict(
-        {"part": pa.array(part[first]), "entries": pa.array([x.tobytes() for x in np.split(entries, first[1:])], pa.binary())}
+        {"part": pa.array(part[first]), "entries": pa.array([entry_blob(x) for x in np.split(entries, first[1:])], pa.binary())}
     )
 
 
+def joined_ranges(doc: np.ndarray, version: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+    """Ranges of beginnings, those that touch joined."""
+    order = np.lexsort((start, version, doc))
+    doc, version, start, end = doc[order], version[order], start[order], end[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    end = np.maximum.reduceat(end, first) if len(first) else end
+    return pd.DataFrame({"doc": doc[first], "version": version[first].astype(np.int64), "start": start[first], "end": end})
+
+
 def settled_ranges(blobs: DataFrame) -> DataFrame:
-    """The settled ones of the exchanged entries, neighbours joined to ranges."""
+    """The settled ones of the exchanged phrases, neighbours joined to ranges."""
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        entries = settle(np.concatenate([np.frombuffer(x, dtype=ENTRY) for x in rows["entries"]]))
+        entries = settle(np.concatenate([from_entry_blob(x) for x in rows["entries"]]))
         entries = entries[entries["settled"] > 0]
-        entries = entries[np.lexsort((entries["start"], entries["version"], entries["doc"]))]
-        new = np.ones(len(entries), dtype=bool)
-        for name in ("doc", "version"):
-            new[1:] &= entries[name][1:] == entries[name][:-1]
-        new[1:] = ~(new[1:] & (entries["start"][1:] <= entries["end"][:-1]))
-        first = np.flatnonzero(new)
-        end = np.maximum.reduceat(entries["end"], first) if len(first) else entries["end"]
-        return pd.DataFrame({n: entries[n][first] for n in ("doc", "version", "start")} | {"end": end})
+        return joined_ranges(*(entries[n] for n in ("doc", "version", "start", "end")))
 
     return blobs.groupBy("part").applyInPandas(gather, RANGES)
 
@@ -257,44 +302,143 @@ def shared_keys(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("part").applyInPandas(gather, "doc bigint, key bigint")
 
 
-def string_entries(texts: DataFrame, parts: int) -> DataFrame:
-    """The open strings whose smallest window several documents hold, combined per task."""
+#: Columns of a parse: the piece, or for settled ones the number of strings, then document, version and first place.
+PARSE = ["<u4", "<i8", "<u4", "<i4"]
+
+
+def piece_blob(pieces: list[bytes], parse: np.ndarray, settled: np.ndarray) -> bytes:
+    """Distinct pieces, and rows of their parse: open ones with the number of their piece, settled ones with that of their strings."""
+    columns = [np.array([len(x) for x in pieces], dtype="<u1"), np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+    for rows in (parse, settled):
+        columns += [rows[:, 0].astype("<u4"), deltas(rows[:, 1]), rows[:, 2].astype("<u4"), rows[:, 3].astype("<i4")]
+    return squeeze(columns, len(pieces), len(parse), len(settled))
+
+
+def from_piece_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Lengths of the pieces, their bytes, and the columns of open and settled rows."""
+    raw = unsqueezed(blob)
+    n_pieces, n_open, n_settled = (int(x) for x in np.frombuffer(raw, dtype="<u4", count=3))
+    (lengths,), at = taken(raw, 12, ["<u1"], n_pieces)
+    lengths = lengths.astype(np.int64)
+    (data,), at = taken(raw, at, ["<u1"], int(lengths.sum()))
+    parse, at = taken(raw, at, PARSE, n_open)
+    settled, at = taken(raw, at, PARSE, n_settled)
+    for rows in (parse, settled):
+        rows[1] = np.cumsum(rows[1])
+    return lengths, data, parse, settled
+
+
+def packed_pieces(held: dict[bytes, tuple[int, list[tuple[int, int, int]]]], parts: int) -> pa.RecordBatch:
+    """Pieces by range, each once, with the places of its first document; other places are settled and go by document."""
+    by_part: dict[int, tuple[list, list, list]] = {}
+    for piece, (key, places) in held.items():
+        pieces, parse, settled = by_part.setdefault(key % parts, ([], [], []))
+        least = min(places)[0]
+        parse += [(len(pieces), *x) for x in places if x[0] == least]
+        pieces.append(piece)
+        for x in places:
+            if x[0] > least:
+                by_part.setdefault(x[0] % parts, ([], [], []))[2].append((len(piece) - LENGTH + 1, *x))
+    rows = lambda x: np.array(sorted(x, key=lambda y: y[1:]), dtype=np.int64).reshape(-1, 4)
+    blobs = [piece_blob(pieces, rows(parse), rows(settled)) for pieces, parse, settled in by_part.values()]
+    return pa.RecordBatch.from_pydict({"part": pa.array(list(by_part), pa.int64()), "entries": pa.array(blobs, pa.binary())})
+
+
+def string_pieces(texts: DataFrame, parts: int) -> DataFrame:
+    """The open strings whose smallest window several documents hold, neighbours of one window as one piece, combined per task.
+
+    Pieces go to the range of their window; strings of a hot window go alone, to the range of the whole string.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: dict[bytes, tuple[int, list[tuple[int, int, int]]]] = {}
         n_held = 0
         for batch in batches:
             ids, versions, covered = (batch.column(k).to_pylist() for k in (0, 1, 3))
             for first, end, data, offsets, last in of_pieces(batch.column(2)):
                 at, hashes = smallest_windows(data)
-                whole, half = window_hashes(data, LENGTH), window_hashes(data, LENGTH // 2)
                 begins = open_strings(len(at), offsets, last, covered[first:end], versions[first:end])
+                view = memoryview(np.ascontiguousarray(data))
+                whole = None
                 for i in range(end - first):
                     low, high = max(0, int(offsets[i])), int(last[i])
                     if low >= high:
                         continue
-                    wanted = batch.column(4)[first + i].values.to_numpy()
-                    own = np.isin(key48(hashes[at[low:high]]).view(np.int64), wanted) & begins[low:high]
-                    places = np.flatnonzero(own) + low
+                    keys = key48(hashes[at[low:high]])
+                    wanted, hot = (batch.column(k)[first + i].values.to_numpy() for k in (4, 5))
+                    own = np.isin(keys.view(np.int64), wanted) & begins[low:high]
+                    places = np.flatnonzero(own)
                     if not len(places):
                         continue
-                    entries = np.zeros(len(places), dtype=ENTRY)
-                    entries["key"] = whole[places]
-                    entries["more"] = mix(half[places] + FOLD * half[places + LENGTH // 2])
-                    entries["doc"], entries["version"] = ids[first + i], versions[first + i]
-                    entries["start"] = places - offsets[i]
-                    entries["end"] = entries["start"] + 1
-                    held.append(entries)
-                    n_held += len(entries)
-                    if n_held >= HELD >> 2:
-                        yield packed(np.concatenate(held), parts)
-                        held, n_held = [], 0
+                    alone = np.isin(keys[places].view(np.int64), hot)
+                    if alone.any() and whole is None:
+                        whole = mix(window_hashes(data, LENGTH))
+                    new = np.concatenate(([True], (np.diff(places) > 1) | (np.diff(at[places + low]) != 0) | alone[1:]))
+                    begin = places[new] + low
+                    size = np.diff(np.append(np.flatnonzero(new), len(places)))
+                    ranges = mix(keys[places[new]])
+                    if alone.any():
+                        ranges = np.where(alone[new], whole[begin], ranges)
+                    doc, version, shift = ids[first + i], versions[first + i], int(offsets[i])
+                    for a, n, key in zip(begin.tolist(), size.tolist(), ranges.tolist(), strict=True):
+                        piece = bytes(view[a : a + n + LENGTH - 1])
+                        if piece not in held:
+                            held[piece] = key, []
+                        held[piece][1].append((doc, version, a - shift))
+                    n_held += len(begin)
+                    if n_held >= HELD >> 4:
+                        yield packed_pieces(held, parts)
+                        held, n_held = {}, 0
         if n_held:
-            yield packed(np.concatenate(held), parts)
+            yield packed_pieces(held, parts)
 
     return texts.mapInArrow(find, "part bigint, entries binary")
 
 
+def suffix_array(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the strings of 50 bytes that begin at some places by their bytes, and whether each differs from the one before."""
+    strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[places].view(f"S{LENGTH}").reshape(-1)
+    order = np.argsort(strings, kind="stable")
+    strings = strings[order]
+    return order, np.concatenate(([True], strings[1:] != strings[:-1]))
+
+
+def repeated_ranges(blobs: DataFrame) -> DataFrame:
+    """The strings of all pieces that a smaller document holds, neighbours joined to ranges."""
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        blobs = [from_piece_blob(x) for x in rows["entries"]]
+        lengths, data = (np.concatenate([x[k] for x in blobs]) for k in (0, 1))
+        shift = np.cumsum([0, *(len(x[0]) for x in blobs[:-1])])
+        own, doc, version, start = (np.concatenate([x[2][k] for x in blobs]) for k in range(4))
+        own = own.astype(np.int64) + np.repeat(shift, [len(x[2][0]) for x in blobs])
+        n, *gone = (np.concatenate([x[3][k] for x in blobs]) for k in range(4))
+        ends = [gone[2] + n.astype(np.int32)]
+        if len(lengths):
+            size = lengths - LENGTH + 1
+            at = np.cumsum(size) - size
+            piece = np.repeat(np.arange(len(size)), size)
+            places = (np.cumsum(lengths) - lengths - at)[piece] + np.arange(len(piece))
+            order, new = suffix_array(data, places)
+            holder = np.full(len(size), np.iinfo(np.int64).max)
+            np.minimum.at(holder, own, doc)
+            first = np.flatnonzero(new)
+            least = np.empty(len(order), dtype=np.int64)
+            least[order] = np.repeat(np.minimum.reduceat(holder[piece[order]], first), np.diff(np.append(first, len(order))))
+            # one row per string of each place of a piece
+            many = size[own]
+            row = np.repeat(np.arange(len(own)), many)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            late = doc[row] > least[at[own[row]] + nth]
+            row, nth = row[late], nth[late].astype(np.int32)
+            gone = [np.concatenate((x, y[row])) for x, y in zip(gone, (doc, version, start), strict=True)]
+            gone[2][len(ends[0]) :] += nth
+            ends.append(gone[2][len(ends[0]) :] + 1)
+        return joined_ranges(*gone, np.concatenate(ends))
+
+    return blobs.groupBy("part").applyInPandas(gather, RANGES)
+
+
 def spans(n: int, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Removed byte spans, maximal and in order, of ranges of string beginnings."""
     found: list[tuple[int, int]] = []
@@ -317,11 +461,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A byte goes if a string of 50 bytes that covers it also begins in a row with
     a smaller id. A row without an id loses nothing and takes nothing from
     others; rows that share an id take nothing from each other. Ids must be whole
-    numbers. Phrases and strings are compared by 128-bit hashes.
+    numbers. Phrases are compared by 128-bit hashes, strings by their bytes, and
+    rows that share an id are told apart by 32 bits of a hash of their text.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.xxhash64(text).alias("version"), text.alias("text"))
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("version"), text.alias("text"))
     n_bytes = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     name = f"texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -334,9 +479,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_texts = table.join(by_document(covered, "covered"), "doc", "left").select("doc", "version", "text", "covered")
     entries = stored(shared_entries(open_texts, max(1, n_bytes // (SPAN // 2) // HELD)))
     keys = entries.where("part is null").select("doc", "key").union(shared_keys(entries.where("part is not null").select("part", "entries")))
-    wanted = keys.where(F.col("doc") != int(SEVERAL)).groupBy("doc").agg(F.collect_set("key").alias("keys"))
-    asked = open_texts.join(wanted, "doc").select("doc", "version", "text", "covered", "keys")
-    strings = settled_ranges(string_entries(asked, max(1, n_bytes // 16 // HELD)))
+    keys = stored(keys.where(F.col("doc") != int(SEVERAL)))
+    often = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key", F.col("key").alias("hot"))
+    wanted = keys.join(often, "key", "left").groupBy("doc").agg(F.collect_set("key").alias("keys"), F.collect_set("hot").alias("hot"))
+    asked = open_texts.join(wanted, "doc").select("doc", "version", "text", "covered", "keys", "hot")
+    strings = repeated_ranges(string_pieces(asked, max(1, n_bytes // 16 // (HELD >> 2))))
 
     found = by_document(covered.unionByName(strings), "ranges")
     return table.join(found, "doc", "left").select("doc", "version", "text", "ranges")

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pytest
 
+from labelgrain.llm import suffix_dedup
 from labelgrain.llm.components import components
 from labelgrain.llm.exact_dedup import exact_groups, keep_first
 from labelgrain.llm.jaccard_join import keep_one_of_similar, prefix_length, similar_groups
@@ -120,8 +121,11 @@ def removed(rows):
     return found
 
 
-def test_repeated_strings(spark):
-    extra = ["ab" * 400, "ab" * 30 + "c" + "ab" * 30, "é" * 60, "é" * 26 + "e", "x" * 49, "x" * 50, "x" * 51]
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 2])
+def test_repeated_strings(spark, monkeypatch, hot):
+    """By pieces, and with the strings of windows that more than two documents hold going alone."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    extra = ["ab" * 400, "ab" * 30 + "c" + "ab" * 30, "é" * 60, "é" * 26 + "e", "x" * 49, "x" * 50, "x" * 51, "\0" * 60, "\0" * 52 + "z" * 50]
     rows = list(enumerate(texts(3, 40) + extra))
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeat_digests(frame(spark, rows)).collect()}
     for i, (data, gone) in removed(rows).items():
@@ -130,6 +134,16 @@ def test_repeated_strings(spark):
         assert found[i] == (len(data), sum(gone), n_spans, hashlib.sha256(kept).hexdigest()), i
 
 
+def test_suffix_array_is_in_byte_order():
+    import numpy as np
+
+    rnd = __import__("random").Random(11)
+    data = bytes(rnd.choice(b"\0\1\xff") for _ in range(400))
+    order, new = suffix_dedup.suffix_array(np.frombuffer(data * 2, dtype=np.uint8), np.arange(700))
+    strings = [(data * 2)[k : k + 50] for k in range(700)]
+    assert [strings[k] for k in order] == sorted(strings) and new.sum() == len(set(strings))
+
+
 def test_repeated_strings_of_a_very_long_text(spark):
     import random
 
