@@ -46,6 +46,8 @@ CHUNK = 1 << 18
 HELD = 1 << 21
 #: A window of more documents than this gives up its pieces string by string, to as many ranges.
 HOT = 4096
+#: Documents of a window are spread over this many when hot windows are marked.
+SALTS = 64
 ENTRY = np.dtype([("key", "<u8"), ("more", "<u8"), ("doc", "<i8"), ("version", "<u4"), ("start", "<i4"), ("end", "<i4"), ("settled", "u1")])
 RANGES = "doc bigint, version bigint, start int, end int"
 
@@ -480,8 +482,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     entries = stored(shared_entries(open_texts, max(1, n_bytes // (SPAN // 2) // HELD)))
     keys = entries.where("part is null").select("doc", "key").union(shared_keys(entries.where("part is not null").select("part", "entries")))
     keys = stored(keys.where(F.col("doc") != int(SEVERAL)))
-    often = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key", F.col("key").alias("hot"))
-    wanted = keys.join(often, "key", "left").groupBy("doc").agg(F.collect_set("key").alias("keys"), F.collect_set("hot").alias("hot"))
+    often = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    often = often.select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("key").alias("hot"))
+    salted = keys.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    wanted = salted.join(often, ["key", "salt"], "left").groupBy("doc").agg(F.collect_set("key").alias("keys"), F.collect_set("hot").alias("hot"))
     asked = open_texts.join(wanted, "doc").select("doc", "version", "text", "covered", "keys", "hot")
     strings = repeated_ranges(string_pieces(asked, max(1, n_bytes // 16 // (HELD >> 2))))
 
