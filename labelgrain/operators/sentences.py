@@ -5,7 +5,7 @@ counts alone, as Kiss and Strunk describe it in "Unsupervised multilingual
 sentence boundary detection" (2006): an abbreviation nearly always has its stop,
 is short, and may have stops inside; and two words that often meet across a
 stop are a collocation, with no sentence between them. All counts are sums over
-token types, combined before the shuffle.
+token types, combined before the shuffle and stored, so that texts are read once.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgrain.functions.text import ws_tokens
+from labelgrain.operators.shared import stored
 
 #: Fixed values of the paper: the share of stops an abbreviation has, and from which scores on types are abbreviations and pairs collocations.
 STOP_SHARE, ABBREVIATION_SCORE, COLLOCATION_SCORE = 0.99, 0.3, 7.88
-_AROUND = r"^[(\[{\"'“‘„«]+|[)\]}\"'”’»,;:!?]+$"
+_OPENING, _CLOSING = "([{\"'“‘„«", ")]}\"'”’»"
+_MARKS = ",;:!?"
 
 
 def token_rows(df: DataFrame, text_col: str, keep_cols: tuple[str, ...] = ()) -> DataFrame:
@@ -27,19 +29,30 @@ def token_rows(df: DataFrame, text_col: str, keep_cols: tuple[str, ...] = ()) ->
     and without one full stop at its end, which ``stop`` tells of; ``mark`` tells
     of a question or exclamation mark there. Null texts have no tokens.
     """
-    def token(t: Column) -> Column:
-        bare = F.regexp_replace(F.lower(t), _AROUND, "")
-        stop = bare.endswith(".")
-        return F.struct(
-            F.when(stop, F.substring(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare).alias("type"),
-            stop.alias("stop"), t.rlike(r"[!?][)\]}\"'”’»]*$").alias("mark"),
-        )
-
-    # exploded out of an array of one, tokens are made once
-    made = F.explode(F.array(F.transform(ws_tokens(F.coalesce(F.col(text_col), F.lit(""))), token)))
+    def bare(t: Column) -> Column:
+        return F.rtrim(F.ltrim(t, F.lit(_OPENING)), F.lit(_CLOSING + _MARKS))
+
+    def kind(t: Column) -> Column:
+        return F.when(t.endswith("."), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t)
+
+    # exploded out of an array of one, tokens are made once; white space splits words for the
+    # rules of lower case, too, so that a whole text may go there at once
+    made = F.explode(F.array(ws_tokens(F.lower(F.coalesce(F.col(text_col), F.lit(""))))))
     rows = df.select(*keep_cols, made.alias("_tokens"))
-    rows = rows.select(*keep_cols, F.posexplode(F.arrays_zip(F.col("_tokens").alias("t"), F.slice("_tokens", F.lit(2), F.size("_tokens")).alias("after"))).alias("pos", "_both"))
-    return rows.select(*keep_cols, "pos", "_both.t.type", "_both.t.stop", "_both.t.mark", F.col("_both.after.type").alias("next"))
+    rows = rows.select(*keep_cols, "_tokens", F.posexplode("_tokens").alias("pos", "_token"))
+    # one step after the other and outside of lambdas, no value is worked out twice
+    last = F.substring(F.rtrim(F.col("_token"), F.lit(_CLOSING)), -1, 1)
+    rows = rows.select(*keep_cols, "pos", bare(F.col("_token")).alias("_bare"), last.isin("!", "?").alias("mark"), bare(F.get("_tokens", F.col("pos") + 1)).alias("_after"))
+    return rows.select(*keep_cols, "pos", kind(F.col("_bare")).alias("type"), F.col("_bare").endswith(".").alias("stop"), "mark", kind(F.col("_after")).alias("next"))
+
+
+def pair_counts(tokens: DataFrame) -> DataFrame:
+    """``type``, ``stop``, ``next`` and ``n`` of the tokens; ``next`` only of those with a stop. Stored.
+
+    The statistics here take it wherever they take tokens.
+    """
+    after = F.when(F.col("stop"), F.col("next"))
+    return stored(tokens.select("type", "stop", after.alias("next")).groupBy("type", "stop", "next").agg(F.count("*").alias("n")))
 
 
 def _log_binomial(hits: Column, n: Column, p: Column) -> Column:
@@ -57,7 +70,12 @@ def abbreviation_statistics(tokens: DataFrame) -> DataFrame:
     stop against one that has it as often as any token, times factors for
     its length, its inner stops and its occurrences without a stop.
     """
-    counts = tokens.groupBy("type").agg(F.count_if("stop").alias("with_stop"), F.count_if(~F.col("stop")).alias("without_stop"))
+    if "n" in tokens.columns:
+        times = [F.sum(F.when(of, F.col("n")).otherwise(0)) for of in (F.col("stop"), ~F.col("stop"))]
+    else:
+        times = [F.count_if(of) for of in (F.col("stop"), ~F.col("stop"))]
+    # a filter on the type would else move below and count the tokens a second time
+    counts = stored(tokens.groupBy("type").agg(times[0].alias("with_stop"), times[1].alias("without_stop")))
     sums = counts.agg(F.struct(F.sum("with_stop").alias("stops"), F.sum(F.col("with_stop") + F.col("without_stop")).alias("n")).alias("s")).scalar()
     stops, without = F.col("with_stop"), F.col("without_stop")
     n = stops + without
@@ -81,9 +99,10 @@ def collocation_statistics(tokens: DataFrame) -> DataFrame:
     Dunning's log likelihood ratio of the pair against chance; it is 0 for pairs
     rarer than chance.
     """
-    pairs = tokens.where("stop and next is not null").groupBy("type", "next").agg(F.count("*").alias("n"))
-    firsts = tokens.where("stop").groupBy("type").agg(F.count("*").alias("n_first"))
-    seconds = tokens.groupBy(F.col("type").alias("next")).agg(F.count("*").alias("n_second"))
+    counts = tokens if "n" in tokens.columns else pair_counts(tokens)
+    pairs = counts.where("stop and next is not null").select("type", "next", "n")
+    firsts = counts.where("stop").groupBy("type").agg(F.sum("n").alias("n_first"))
+    seconds = counts.groupBy(F.col("type").alias("next")).agg(F.sum("n").alias("n_second"))
     total = seconds.agg(F.sum("n_second").alias("n")).scalar().cast("double")
     joined = pairs.join(firsts, "type").join(seconds, "next")
     n, a, b = F.col("n"), F.col("n_first"), F.col("n_second")

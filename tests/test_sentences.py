@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelgrain.operators import sentences
 
@@ -103,3 +104,29 @@ def test_sentence_ends(rows):
 def test_no_tokens(spark):
     none = sentences.token_rows(spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string"), "text", ("doc_id",))
     assert none.count() == 0 and sentences.abbreviation_statistics(none).count() == 0 and sentences.collocation_statistics(none).count() == 0
+
+
+@pytest.mark.parametrize("statistics", [sentences.abbreviation_statistics, sentences.collocation_statistics])
+def test_statistics_read_the_texts_once(spark, statistics):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    df = spark.createDataFrame([(t,) for t in TEXTS], "text string").select(F.udf(counted).asNondeterministic()("text").alias("text"))
+    assert statistics(sentences.token_rows(df, "text")).count() > 0
+    assert read.value == len(TEXTS)
+
+
+def test_statistics_of_pair_counts_are_those_of_tokens(rows):
+    counts = sentences.pair_counts(rows)
+    for statistics in (sentences.abbreviation_statistics, sentences.collocation_statistics):
+        assert sorted(map(tuple, statistics(counts).drop("score").collect())) == sorted(map(tuple, statistics(rows).drop("score").collect()))
+
+
+def test_marks_and_brackets_around_words_of_other_scripts(spark):
+    text = "(ΟΔΟΣ. «ΟΔΟΣ» ΟΔΟΣ?) ''\u2009İstanbul.\u3000\"(a).\" ,;: “B!”» .c.. )("
+    df = spark.createDataFrame([(text,)], "text string")
+    found = sentences.token_rows(df, "text").orderBy("pos").select("type", "stop", "mark").collect()
+    assert [tuple(r) for r in found] == tokens(text)
