@@ -277,9 +277,10 @@ def collocation_statistics(spark, sf_dir):
 
 def sentence_counts(spark, sf_dir):
     """Sentences per document, with abbreviations and collocations learned from all documents."""
-    tokens = stored(_token_rows(spark, sf_dir))
-    short = sentences.abbreviations(sentences.abbreviation_statistics(tokens))
-    pairs = sentences.collocation_statistics(tokens).where(F.col("score") >= sentences.COLLOCATION_SCORE)
+    tokens = _token_rows(spark, sf_dir)
+    counts = sentences.pair_counts(tokens)
+    short = sentences.abbreviations(sentences.abbreviation_statistics(counts))
+    pairs = sentences.collocation_statistics(counts).where(F.col("score") >= sentences.COLLOCATION_SCORE)
     ends = sentences.sentence_ends(tokens, short, pairs, ("doc_id",))
     return ends.groupBy("doc_id").agg(F.count("*").alias("n_sentences"))
 
