@@ -2,8 +2,10 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +171,33 @@ def test_odd_rows(spark):
         focal.train_epochs(df.withColumn("label", F.lit(2)), df, settings)
     none = focal.train_epochs(df.limit(0), df, settings)[0]
     assert not none.weights.any() and {r.prob for r in focal.score(none, df, "text").collect()} == {0.5}
+
+
+def test_chunks_are_every_row_and_bounded():
+    """Empty, null and very long rows in one batch, and in a slice of it."""
+    lists = [[1] * 5, [], None, [0] * (focal.CHUNK_WORDS + 7), [2, 3], [3] * 4, []]
+    weights = np.array([1.0, 2.0, 4.0, 8.0, 0.5])
+    plain = [0.5 + (sum(weights[w] for w in x) / len(x) if x else 0.0) for x in lists]
+    column = pa.array(lists, pa.list_(pa.int32()))
+    for first in (0, 1, 3, 7):
+        assert focal.margins_of(column.slice(first), weights) == pytest.approx(plain[first:])
+    chunks = list(focal.word_chunks(column))
+    assert [at for at, _ in chunks] == [0, 3, 4] and sum(len(c) for _, c in chunks) == len(lists)
+
+
+def test_memory_of_log_odds_does_not_follow_the_batch():
+    column = pa.array(np.arange(3_000_000) % 256, pa.int32())
+    column = pa.ListArray.from_arrays(pa.array(np.arange(0, 3_000_001, 300), pa.int32()), column)
+    tracemalloc.start()
+    focal.margins_of(column, np.ones(257))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+
+
+def test_texts_do_not_go_to_python(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
+    scored = focal.predict(focal.Model(np.ones(17), focal.Settings(features=16)), df, 0.5, "text")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert scored.columns == ["doc_id", "text", "prob", "pred"]
