@@ -16,6 +16,7 @@ from labelgrain.fixed_values import (
     TASK_FILES,
     UNLABELLED_COLUMNS,
     VECTOR_NAMES,
+    WHITESPACE,
 )
 from labelgrain.functions.labels import collapse_grade, fail_when, normalise_key, parse_vector
 from labelgrain.functions.text import strip, tab_field_count, tab_fields
@@ -87,11 +88,13 @@ def read_annotations(
     The two ids, the tag and the annotator count come from the stripped line,
     counted from its ends; the fields between come from the line as it is.
     """
-    lines = read_lines(spark, path, header_lines, index)
-    raw, stripped = F.col("value"), strip(F.col("value"))
-    short = (tab_field_count(stripped) < 2) | (tab_field_count(raw) < 8)
-    good = _checked(lines, short, "too few fields", on_bad)
-    split = good.select("row_no", tab_fields(stripped).alias("p"), tab_fields(raw).alias("q"))
+    raw = F.col("value")
+    # exploded out of an array of one, the fields are made once; few lines have white space at an end to strip
+    lines = read_lines(spark, path, header_lines, index).select("row_no", "value", F.explode(F.array(tab_fields(raw))).alias("q"))
+    padded = F.substring(raw, 1, 1).isin(*WHITESPACE) | F.substring(raw, -1, 1).isin(*WHITESPACE)
+    stripped = F.when(padded, tab_fields(strip(raw))).otherwise(F.col("q"))
+    lines = lines.select("row_no", "value", F.explode(F.array(stripped)).alias("p"), "q")
+    split = _checked(lines, (F.size("p") < 2) | (F.size("q") < 8), "too few fields", on_bad)
     ends = {"par_id": F.get("p", F.lit(0)), "art_id": F.get("p", F.lit(1)),
             "label": F.element_at("p", -2), "num_annotators": F.element_at("p", -1)}
     return split.select(

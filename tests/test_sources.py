@@ -169,6 +169,23 @@ def test_metrics_are_recorded_once(spark, tmp_path):
     assert sorted(map(tuple, found), key=repr) == sorted([("a", 1, 0.1), ("a", 2, 0.25), ("b", 1, 0.3), (None, 1, 0.4)], key=repr)
 
 
+def test_annotations_make_the_fields_of_a_line_once(spark, tmp_path):
+    """White space of all kinds at either end, and a plan that neither strips nor cuts a line twice."""
+    fields = ["1", "@a", "text", "kw", "us", "0", "4", "sp an", "tag", "2"]
+    lines = ["\t".join(fields), " \t" + "\t".join(fields), "\t".join(fields) + "\t\u2003", "\u00a0" + "\t".join(fields) + "\x1c", "\t".join(["1", "@a", "", "", "", "", "", "", "tag", " 2 "])]
+    path = str(tmp_path / "padded.tsv")
+    (tmp_path / "padded.tsv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    back = readers.read_annotations(spark, path, header_lines=0)
+    names = [c for c in back.columns if c != "row_no"]
+    expected = []
+    for line in lines:
+        p, q = line.strip().split("\t"), line.split("\t")
+        expected.append((p[0], p[1], *q[2:8], p[-2], p[-1]))
+    assert [tuple(r) for r in back.orderBy("row_no").select(*names).collect()] == expected
+    plan = back._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 1 and plan.count("split(") == 2 and "translate(" not in plan
+
+
 def test_annotations_mix_stripped_and_raw_fields(spark, tmp_path):
     line = " 9\ta\t text \tkw\tgb\t0\t4\tspan\tCompassion\t2\t \n"
     path = put(tmp_path, "c.tsv", HEADER + line)
