@@ -10,7 +10,7 @@ from labelgrain.llm import suffix_dedup
 from labelgrain.llm.components import components
 from labelgrain.llm.exact_dedup import exact_groups, keep_first
 from labelgrain.llm.jaccard_join import keep_one_of_similar, prefix_length, similar_groups
-from labelgrain.llm.line_dedup import drop_repeated_lines, line_groups, repeated_lines
+from labelgrain.llm.line_dedup import FREQUENT, STRETCH, drop_repeated_lines, few_edits, line_groups, repeated_lines
 from labelgrain.llm.suffix_dedup import CHUNK, repeat_digests, spans, without_repeats
 
 from corpus import SCHEMA, frame, prose, texts
@@ -244,3 +244,47 @@ def test_recall_of_alike_lines_by_length(spark):
     recall = {n: sum(found.get(digest(a), a) == found.get(digest(b), b) for a, b in pairs) / len(pairs) for n, pairs in made.items()}
     print({n: (round(recall[n], 3), len(pairs)) for n, pairs in made.items()})
     assert all(len(pairs) >= 20 for pairs in made.values()) and min(recall.values()) >= 0.9, recall
+
+
+def test_few_edits_is_the_edit_distance(spark):
+    """Pairs that either bound decides, and pairs that neither does: the distance decides as before."""
+    rnd = __import__("random").Random(10)
+    pairs = [("", ""), ("", "abc"), ("é" * 300, "é" * 299 + "e"), (FREQUENT * 40, FREQUENT * 30), ("x" * STRETCH, "x" * (STRETCH + 1))]
+    for n in (1, 3, 12, 40, 90):
+        for share in (0, 0.05, 0.2, 0.4, 1):
+            line = prose(rnd, n).split()
+            other = [prose(rnd, 1) if rnd.random() < share else w for w in line]
+            pairs += [(" ".join(line), " ".join(other)), (" ".join(line), " ".join([*other[n // 4 :], *prose(rnd, n // 5).split()])), (" ".join(line), " ".join([*prose(rnd, n // 6).split(), *other]))]
+    rows = [(a, b, int(s * max(len(a), len(b)) + 1e-9), levenshtein(a, b)) for a, b in pairs for s in (0, 0.1, 0.2, 0.35)]
+    found = spark.createDataFrame(rows, "a string, b string, most int, d int").select("most", "d", few_edits("a", "b", "most").alias("few")).collect()
+    assert all(r.few == (r.d <= r.most) for r in found)
+    assert 50 < sum(r.few for r in found) < len(found) - 50
+
+
+def test_lines_leave_no_shuffle_files(spark, monkeypatch):
+    """Each stored step of the operator ends without the shuffle files of those before it; the session's option stays as it was."""
+    import os
+    import time
+
+    from labelgrain.llm import components as of_components
+    from labelgrain.llm import line_dedup
+    from labelgrain.llm.storage import CLEANUP
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    left, there = [], files()
+
+    def watched(df, stored=line_dedup.stored):
+        out = stored(df)
+        end = time.time() + 5
+        while files() - there and time.time() < end:
+            time.sleep(0.05)
+        left.append(len(files() - there))
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    monkeypatch.setattr(of_components, "stored", watched)
+    rows = list(enumerate(texts(12, 30)))
+    assert repeated_lines(frame(spark, rows + [(100 + i, t) for i, t in rows])).count() > 0
+    assert len(left) > 6 and not any(left), left
+    assert spark.conf.get(CLEANUP, None) is None
