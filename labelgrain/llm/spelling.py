@@ -84,6 +84,15 @@ def _behind(word: Column, start: Column, part: Column) -> Column:
     return F.substring(word, start + F.length(part) + 1, F.length(word))
 
 
+def moved(df: DataFrame) -> DataFrame:
+    """``df``, never broadcast in a join.
+
+    Spark sizes a table by its compressed file, and takes an explode for one row
+    each, so it would send a whole vocabulary and all its keys by the driver.
+    """
+    return df.hint("merge")
+
+
 def near_words(words: DataFrame, levels: int = LEVELS) -> DataFrame:
     """All pairs of near words once: ``a``, ``n_a``, ``b``, ``n_b``, with ``a`` the longer word, or the first in code-point order.
 
@@ -91,8 +100,8 @@ def near_words(words: DataFrame, levels: int = LEVELS) -> DataFrame:
     selective and change no result.
     """
     names = ["word", "n", "_start", "_open"]
-    chunks = _keyed(words, [0], levels).select("_key", F.struct(*names).alias("a"))
-    grams = _keyed(words, [0, 1], levels).select("_key", F.struct(*names).alias("b"))
+    chunks = moved(_keyed(words, [0], levels).select("_key", F.struct(*names).alias("a")))
+    grams = moved(_keyed(words, [0, 1], levels).select("_key", F.struct(*names).alias("b")))
     a, b = ({n: F.col(f"{side}.{n}") for n in names} for side in "ab")
     found = chunks.join(grams, "_key").where(
         ((F.length(a["_open"]) > F.length(b["_open"])) | (a["word"] < b["word"]))
@@ -114,7 +123,7 @@ def roots(forms: DataFrame) -> DataFrame:
     steps = stored(forms.select("word", F.col("form").alias("root")))
     while True:
         on = steps.select(F.col("word").alias("_up"), F.col("root").alias("_next"))
-        step = steps.join(on, steps["root"] == on["_up"], "left")
+        step = steps.join(moved(on), steps["root"] == on["_up"], "left")
         steps = stored(step.select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")))
         if steps.where("moved").isEmpty():
             return steps.select("word", "root")
@@ -138,7 +147,7 @@ def spelling_variants(words: DataFrame, levels: int = LEVELS, ratio: int = FORM_
     best_n = -F.col("best.less")
     is_form = best_n >= ratio * F.col("n")
     rows = stored(
-        words.join(best, "word", "left").select(
+        words.join(moved(best), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
@@ -147,7 +156,7 @@ def spelling_variants(words: DataFrame, levels: int = LEVELS, ratio: int = FORM_
         )
     )
     ends_at = roots(rows.where("form is not null"))
-    return rows.join(ends_at, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return rows.join(moved(ends_at), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def document_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", typo_rate: int | None = TYPO_RATE) -> DataFrame:

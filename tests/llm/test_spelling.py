@@ -1,5 +1,6 @@
 """Spelling variants against brute force."""
 
+import itertools
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+from labelgrain.llm import spelling
 from labelgrain.llm.oracles import ORACLES
 from labelgrain.llm.spelling import document_variants, near_words, roots, spelling_variants, vocabulary, words_of
 
@@ -109,6 +111,26 @@ def test_a_half_word_that_all_words_share_makes_few_candidates(spark):
     assert near_words(rows).count() == len(words) * 4 * 7 // 2
 
 
+def test_no_vocabulary_is_broadcast(spark, conf, monkeypatch):
+    """However small Spark takes a stored vocabulary to be, keys and words go by shuffles."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "1g")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "1g")
+    plans = []
+    kept = spelling.stored
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df)
+
+    monkeypatch.setattr(spelling, "stored", recorded)
+    words = [("".join(w), 3 + i) for i, w in enumerate(itertools.product("abc", repeat=5))]
+    found = spelling_variants(spark.createDataFrame(words, "word string, n bigint"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 4
+    assert not any("Broadcast" in plan for plan in plans)
+    assert rows_of(found) == variants(dict(words))
+
+
 def test_very_long_words_and_empty_tables(spark):
     long = "ab" * 10_000
     rows = [(i, f"{long} {long}a plain") for i in range(3)]
