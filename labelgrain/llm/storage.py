@@ -3,30 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from labelgrain.operators.shared import shared_folder
+from labelgrain.operators.shared import CLEANUP, shared_folder, shuffles_removed
 
-#: Session option: the shuffle files of an execution go when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """What is executed within leaves no shuffle files behind, which otherwise wait for the driver's garbage collection.
-
-    Frames that are returned are better built outside: each of their executions
-    would have to shuffle anew.
-    """
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+__all__ = ["CLEANUP", "shuffles_removed", "stored"]
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from labelgrain.functions import labels as L
 from labelgrain.functions import numbers as N
 from labelgrain.functions import text as T
 from labelgrain.operators import categories, classify, curves, errors, explore, focal, metrics, sentences, splits, trials
-from labelgrain.operators.shared import shared_folder, stored
+from labelgrain.operators.shared import shared_folder, shuffles_removed, stored
 from labelgrain.plans.score_files import named_binary_scores, score_submission
 from labelgrain.sources import readers, sinks
 
@@ -414,13 +414,18 @@ def quoted_file(spark, sf_dir):
 
 
 def annotation_file(spark, sf_dir):
-    """Annotations written as a ten-field TSV file, read back and grouped."""
+    """Annotations written as a ten-field TSV file, read back and grouped.
+
+    The file has each text once for every tag, one line after the other, and is
+    packed, so that copies near each other take hardly any disk.
+    """
     rows = annotations(spark, sf_dir, in_order=True)
     line = F.concat_ws(
         "\t", "par_id", "art_id", "text", "keyword", "country", F.lit("0"), F.lit("4"), F.lit("span"), "tag", F.lit("2")
     )
     path = _scratch(spark, "annotations")
-    _under_headers(rows, line).write.text(path)
+    with shuffles_removed(spark):
+        _under_headers(rows, line).write.text(path, compression="lz4")
     back = readers.read_annotations(spark, path)
     keys = ["par_id", "art_id", "text", "keyword", "country"]
     lists = categories.category_lists(back, keys, "label")

@@ -1,12 +1,16 @@
 """The end-to-end jobs on small files of our own."""
 
+import base64
+import hashlib
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from labelgrain.operators import classify, splits
-from labelgrain.plans import corpus_report, error_report, score_files, train_predict
+from labelgrain.plans import corpus_report, error_report, score_files, table_queries, train_predict
 
 HEADER = "a\nb\nc\nd\n"
 GOOD, BAD = "plain report of the meeting and the plan", "those poor helpless souls need our pity"
@@ -141,3 +145,27 @@ def test_corpus_report(spark, files):
     flips = corpus_report.baseline(read_graded(spark, files["corpus"]), 7)
     assert {len(r["vector"]) for r in flips.collect()} == {7}
     assert corpus_report.baseline(spark.range(5), 1, key=None).count() == 5
+
+
+def test_annotation_file_takes_little_disk(spark, tmp_path):
+    """The file holds each text several times; on disk, copies and the shuffle that orders them take little."""
+    rng = random.Random(3)
+    rows = [(i, base64.b64encode(rng.randbytes(2_000)).decode(), "en", "src", 2_000) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    own = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    walk = lambda *tops: {os.path.join(at, f) for top in tops for at, _, names in os.walk(top) for f in names}
+    shuffles = lambda: {f for f in walk(*own) if os.path.basename(f).startswith("shuffle_")}
+    kept = spark.conf.get("spark.checkpoint.dir")
+    files, before = walk(kept), shuffles()
+    found = table_queries.annotation_file(spark, str(tmp_path))
+    made = [f for f in walk(kept) - files if "/annotations-" in f]
+    assert made and sum(map(os.path.getsize, made)) < 2 * sum(len(r[1]) for r in rows)
+    end = time.time() + 10
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.05)
+    assert not shuffles() - before
+    by_id = {int(r.par_id): r for r in found.collect()}
+    assert sorted(by_id) == [i for i in range(500) if i % 128]
+    assert all(r.text == hashlib.md5(rows[i][1].encode()).hexdigest() for i, r in by_id.items())
+    assert all(sorted(map(int, r.ids.split(","))) == [k for k in range(7) if i >> k & 1] for i, r in by_id.items())
