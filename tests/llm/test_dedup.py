@@ -288,3 +288,24 @@ def test_lines_leave_no_shuffle_files(spark, monkeypatch):
     assert repeated_lines(frame(spark, rows + [(100 + i, t) for i, t in rows])).count() > 0
     assert len(left) > 6 and not any(left), left
     assert spark.conf.get(CLEANUP, None) is None
+
+
+def test_keys_of_lines_meet_in_turns(spark, monkeypatch):
+    """No step shuffles more than a share of the keys, all turns together have each key once, and the hashes go."""
+    from labelgrain.llm import line_dedup
+
+    rows = list(enumerate(texts(13, 30)))
+    whole, seen = line_dedup.block_keys, []
+
+    def counted(hashes, *turn):
+        keys = whole(hashes, *turn)
+        seen.append((sorted(map(tuple, whole(hashes).collect())), sorted(map(tuple, keys.collect()))))
+        return keys
+
+    monkeypatch.setattr(line_dedup, "block_keys", counted)
+    tables = {t.name for t in spark.catalog.listTables()}
+    assert repeated_lines(frame(spark, rows + [(100 + i, t) for i, t in rows])).count() > 0
+    everything = seen[0][0]
+    assert everything and sorted(k for _, keys in seen for k in keys) == everything
+    assert max(len(keys) for _, keys in seen) < 0.35 * len(everything)
+    assert not [t.name for t in spark.catalog.listTables() if t.name not in tables and t.name.startswith("hashes_")]
